@@ -1,0 +1,25 @@
+"""Joining many small statistics to a large fact with few shuffles."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+from ..operators.joins import attach
+
+Part = tuple[Sequence[str], DataFrame]
+
+
+def attach_through(fact: DataFrame, grain: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """Attach every part through the distinct values of ``grain`` in the fact.
+
+    Each part joins on a subset of ``grain``. The parts meet on the (small) table of distinct grain
+    values, so the fact itself is joined once, whatever the number of parts.
+    """
+    if not parts:
+        return fact
+    table = fact.select(*grain).na.drop().distinct()
+    for on, stats in parts:
+        table = attach(table, stats, on)
+    return attach(fact, table, grain)
