@@ -89,14 +89,14 @@ def hhmm_ts(date: Column | str, hhmm: Column | str) -> Column:
 def hhmm_minutes(c: Column | str) -> Column:
     """Minutes after midnight; hours up to 47 are allowed, minutes up to 59."""
     t = num(c).cast("int")
-    hour, minute = F.floor(t / 100).cast("int"), (t % 100).cast("int")
-    return F.when((t >= 0) & (hour <= 47) & (minute <= 59), hour * 60 + minute).cast("double")
+    # 100 h + m becomes 60 h + m.
+    return F.when(t.between(0, 4799) & (t % 100 <= 59), t - 40 * F.floor(t / 100)).cast("double")
 
 
 def wrap_diff(a: Column, b: Column) -> Column:
     """``a - b`` in minutes, taken across midnight when that is the shorter way."""
     d = a - b
-    return F.when(d < -720, d + 1440).when(d > 720, d - 1440).otherwise(d)
+    return d + 1440.0 * ((d < -720).cast("int") - (d > 720).cast("int"))
 
 
 def time_block(hhmm: Column | str) -> Column:
