@@ -299,7 +299,9 @@ VIEWS = {
 def sql(views: str, body: str, **ctes: str) -> str:
     """A statement over the named views; further named queries come before the body."""
     parts = [f"{v} AS ({VIEWS[v]})" for v in views.split()] + [f"{n} AS ({q})" for n, q in ctes.items()]
-    return (f"WITH {', '.join(parts)} " if parts else "") + body
+    text = (f"WITH {', '.join(parts)} " if parts else "") + body
+    # The same small shift as on the Spark side keeps exact ties off the rounding edge.
+    return text.replace(", 6) + 0.0", " + 1e-9, 6) + 0.0")
 
 
 def r(expr: str, name: str) -> str:

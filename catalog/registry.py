@@ -35,12 +35,15 @@ def query(name: str, ids: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def plain(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that the order of a sum does not show, and dates as ISO text."""
+    """Doubles rounded, so that the order of a sum does not show, and dates as ISO text.
+
+    The small shift keeps exact ties off the rounding edge, where the last bit would decide.
+    """
     made = {}
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            made[name] = F.round(c, digits) + F.lit(0.0)
+            made[name] = F.round(c + 1e-9, digits) + F.lit(0.0)
         elif kind == "date":
             made[name] = c.cast("string")
         elif kind.startswith("timestamp"):

@@ -19,8 +19,7 @@ def _c(c: Column | str) -> Column:
 
 def num(c: Column | str) -> Column:
     """Number as double; text that is no number, and NaN, become NULL."""
-    value = _c(c).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(_c(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def day(c: Column | str) -> Column:
