@@ -59,8 +59,9 @@ def require_airports(airports: DataFrame, needed: DataFrame, examples: int = 40)
 
 def codes_from_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Codes in text lines, any number per line, quotes and blanks removed."""
-    token = F.upper(F.trim(F.regexp_replace(F.explode(F.split(F.col(value), ",")), "[\"']", "")))
-    return lines.select(token.alias("IATA")).filter(F.col("IATA") != "").distinct()
+    tokens = lines.select(F.explode(F.split(F.col(value), ",")).alias("_t"))
+    code = F.upper(F.trim(F.regexp_replace("_t", "[\"']", "")))
+    return tokens.select(code.alias("IATA")).filter(F.col("IATA") != "").distinct()
 
 
 def load_allow_list(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
