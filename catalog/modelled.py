@@ -1 +1,86 @@
-"""Placeholder."""
+"""Spark ML models; their numbers are the library's own, so they have no SQL."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tarmac.operators import evaluate, models, ordered, sampling
+
+from . import bindings as b
+from .registry import plain, query
+
+FEATS = models.Features(["TaxiOut", "AirTime", "CRSElapsedTime", "Distance"], ["Reporting_Airline", "Dest"])
+SMALL = {"maxIter": 3, "maxDepth": 3}
+KEY = ["FlightDate", "Reporting_Airline", "Origin", "Dest", "CRSDepTime", "TaxiOut", "AirTime", "Tail_Number"]
+
+
+def rows(spark: SparkSession, sf: str) -> DataFrame:
+    delay = F.coalesce("DepDelayMinutes", F.lit(0.0))
+    made = {f"y_dep_ge{t}": (delay >= t).cast("int") for t in (15, 60)}
+    return b.flights(spark, sf).withColumns({**made, "Cancelled": F.col("Cancelled").cast("int")})
+
+
+@query("ordinal_scores", "M01 M02 M04")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Two thresholds fitted and calibrated on early days, scored on the last ones."""
+    train, test = sampling.split_last_days(rows(spark, sf), 60)
+    fitted = models.fit_ordinal(train, ["y_dep_ge15", "y_dep_ge60"], FEATS, KEY, {y: SMALL for y in ("y_dep_ge15", "y_dep_ge60")})
+    scored = models.score(test, {15: fitted["y_dep_ge15"], 60: fitted["y_dep_ge60"]}, FEATS, [7.5, 37.5, 90.0])
+    cols = [c for c in scored.columns if c.startswith(("p_ge", "p_bin"))]
+    return plain(scored.select("FlightDate", "Reporting_Airline", *cols, "expected_delay_minutes", "severity_score", "pred_bin", "delay_probabilities"))
+
+
+@query("cancellation_model", "M03 A18")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Balanced class weights, calibration, and the cut with the largest TPR - FPR."""
+    train, test = sampling.split_last_days(rows(spark, sf), 60)
+    model = models.fit_cancellation(train, "Cancelled", FEATS, KEY, SMALL)
+    return plain(evaluate.youden(models.probability(model, test, FEATS, "p"), "Cancelled", "p"))
+
+
+@query("feature_set_comparison", "M05")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = sampling.split_last_days(rows(spark, sf), 60)
+    variants = {"base": models.Features(["TaxiOut"]), "with_airtime": models.Features(["TaxiOut", "AirTime"]), "with_carrier": models.Features(["TaxiOut"], ["Reporting_Airline"])}
+    return plain(models.compare_feature_sets(train, test, "y_dep_ge15", variants, SMALL))
+
+
+@query("logistic_comparison", "M06")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    known = rows(spark, sf).na.drop(subset=["TaxiOut", "AirTime", "y_dep_ge60"])
+    train, test = sampling.split_last_days(known, 60)
+    return plain(models.logistic_lift(train, test, "y_dep_ge60", ["TaxiOut"], "AirTime"))
+
+
+@query("cascade_model", "M07 A06 A07")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether an aircraft's day will see a spreading delay, from what is known beforehand."""
+    legs = b.legs(spark, sf).withColumn("delayed", (F.coalesce("DepDelayMinutes", F.lit(0.0)) >= 15).cast("double"))
+    days = ordered.cascade_daily(legs, "dep_dt_local", ["leg_id"], "delayed", "DepDelayMinutes").filter("n_legs >= 2")
+    ahead = ordered.tail_schedule(ordered.turn_time(legs, ["leg_id"]))
+    data = sampling.split_dates(days.join(ahead, ["Tail_Number", "FlightDate"]))
+    feats = models.Features(["n_legs", "mean_turn", "min_sched_dep", "max_sched_dep", "n_airports", "mean_distance"])
+    model = models.fit_threshold(data.filter("is_train"), "cascade", feats, params=SMALL)
+    scored = models.raw_probability(model, data.filter("not is_train"), feats, "p").withColumn("all", F.lit("all"))
+    auc = evaluate.auc_table(scored, ["all"], "cascade", "p")
+    return plain(auc.join(evaluate.average_precision(scored, "cascade", "p", ["all"]), ["all"]).drop("all"))
+
+
+@query("per_carrier_models", "M08 L09")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    feats = models.Features(["TaxiOut", "AirTime", "CRSElapsedTime"])
+    return plain(models.per_group(rows(spark, sf), "Reporting_Airline", b.CARRIERS[:2], "y_dep_ge15", feats, SMALL))
+
+
+@query("feature_importance", "M09")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Importance per label, next to the share of rows where the feature is known."""
+    data = rows(spark, sf)
+    parts = []
+    for y in ("y_dep_ge15", "y_dep_ge60"):
+        model = models.fit_threshold(data, y, FEATS, params=SMALL)
+        parts.append(models.importance(model).withColumn("label", F.lit(y)))
+    return plain(reduce(lambda x, z: x.unionByName(z), parts))

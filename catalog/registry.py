@@ -28,7 +28,13 @@ def query(name: str, ids: str, sql: str | None = None) -> Callable[[Run], Run]:
     def keep(run: Run) -> Run:
         if name in ENTRIES:
             raise ValueError(f"{name} is registered twice")
-        ENTRIES[name] = Entry(name, run, ids, sql)
+
+        def in_utc(spark: SparkSession, sf: str) -> DataFrame:
+            # Wall clocks and instants of the tables are read in UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return run(spark, sf)
+
+        ENTRIES[name] = Entry(name, in_utc, ids, sql)
         return run
 
     return keep
