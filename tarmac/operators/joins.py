@@ -27,26 +27,53 @@ def attach_prev_day(fact: DataFrame, daily: DataFrame, keys: Sequence[str]) -> D
     return attach(fact, daily.withColumn(DATE, F.date_add(DATE, 1)), [*keys, DATE])
 
 
-def attach_asof(fact: DataFrame, stats: DataFrame, keys: Sequence[str], date: str = DATE) -> DataFrame:
-    """Backward as-of join: the statistic of the latest day on or before the fact's day.
+def asof_table(asked: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str], date: str = DATE) -> DataFrame:
+    """For every (key, day) in ``asked``, each part's row of the latest day on or before it.
 
-    Only distinct (key, day) pairs of both sides are ordered, so the window holds days of a key
-    and never its flights. Fact rows without a day are kept and get no statistic. ``stats`` has one
-    row per key and day.
+    Only distinct (key, day) pairs are ordered, so the window holds days of a key and never its
+    flights. All parts share the one window. Each part has one row per key and day.
     """
-    names = [c for c in stats.columns if c not in {*keys, date}]
-    payload = F.struct(*names)
-    asked = fact.filter(F.col(date).isNotNull()).select(*keys, date).distinct()
-    both = stats.filter(F.col(date).isNotNull()).select(
-        *keys, date, F.lit(0).alias("_side"), payload.alias("_stat")
-    ).unionByName(asked.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    tagged = asked.filter(F.col(date).isNotNull()).select(*keys, date).distinct().withColumn("_side", F.lit(1))
+    names = []
+    for i, part in enumerate(parts):
+        fields = [c for c in part.columns if c not in {*keys, date}]
+        names.append(fields)
+        rows = part.filter(F.col(date).isNotNull()).select(
+            *keys, date, F.lit(0).alias("_side"), F.struct(*fields).alias(f"_stat{i}")
+        )
+        tagged = tagged.unionByName(rows, allowMissingColumns=True)
     seen = Window.partitionBy(*keys).orderBy(date, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        both.withColumn("_stat", F.last("_stat", ignorenulls=True).over(seen))
+    latest = {f"_stat{i}": F.last(f"_stat{i}", ignorenulls=True).over(seen) for i in range(len(parts))}
+    return (
+        tagged.withColumns(latest)
         .filter(F.col("_side") == 1)
-        .select(*keys, date, *[F.col(f"_stat.{n}").alias(n) for n in names])
+        .select(*keys, date, *[F.col(f"_stat{i}.{n}").alias(n) for i, fields in enumerate(names) for n in fields])
     )
-    return attach(fact, found, [*keys, date])
+
+
+def attach_asof(
+    fact: DataFrame, stats: DataFrame, keys: Sequence[str], date: str = DATE, asked: DataFrame | None = None
+) -> DataFrame:
+    """Backward as-of join: the statistic of the latest day on or before the fact's day.
+
+    Fact rows without a day are kept and get no statistic. ``asked`` may name a cheaper table with
+    the same keys and days than the fact itself.
+    """
+    return attach(fact, asof_table(asked if asked is not None else fact, [stats], keys, date), [*keys, date])
+
+
+def attach_asof_parts(
+    fact: DataFrame, parts: Sequence[tuple[Sequence[str], DataFrame]], asked: DataFrame | None = None
+) -> DataFrame:
+    """As-of joins of many statistics: one window and one join of the fact per set of keys."""
+    source = asked if asked is not None else fact
+    groups: dict[tuple[str, ...], list[DataFrame]] = {}
+    for keys, stats in parts:
+        groups.setdefault(tuple(keys), []).append(stats)
+    out = fact
+    for keys, tables in groups.items():
+        out = attach(out, asof_table(source, tables, keys), [*keys, DATE])
+    return out
 
 
 def known_keys(hist: DataFrame, fact: DataFrame, keys: Sequence[str]) -> DataFrame:

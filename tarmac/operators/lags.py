@@ -17,9 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parse import day_number, flown, num
+from ..functions.parse import day_number, flown, hhmm_minutes, num, time_block, wrap_diff
 from .daily import daily_agg, daily_mean, daily_median, daily_rate, late_aircraft
-from .joins import attach, attach_asof
+from .joins import attach, attach_asof_parts
 
 DATE = "FlightDate"
 WINDOWS = (1, 7, 14)
@@ -164,6 +164,69 @@ def cause_rates(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = WINDO
     return attach(attach(fact, at_origin, [ORIGIN, DATE]), by_carrier, [CARRIER, DATE])
 
 
+# --- one pass over the history ------------------------------------------------------------------
+
+
+def station_cube(hist: DataFrame, delays_from: Column | None = None) -> DataFrame:
+    """Counts and sums per carrier, origin and day, from which coarser daily statistics follow.
+
+    ``delays_from`` marks the rows that feed delay statistics (flown ones, as a rule); rates of
+    cancelled and diverted flights use every row. A statistic over millions of flights then starts
+    from a few rows per station and day, and the history is read once for all of them.
+    """
+    held = delays_from if delays_from is not None else F.lit(True)
+    delay = F.when(held, num("DepDelayMinutes"))
+
+    def n(cond: Column, among: Column = F.lit(True)) -> Column:
+        return F.sum((F.coalesce(cond, F.lit(False)) & among).cast("bigint"))
+
+    def flag(c: str) -> Column:
+        return num(c) > 0 if c in hist.columns else F.lit(False)
+
+    late = late_aircraft() if "LateAircraftDelay" in hist.columns else F.lit(False)
+    cancelled = F.coalesce(num("Cancelled"), F.lit(0.0)) if "Cancelled" in hist.columns else F.lit(0.0)
+    return daily_agg(
+        hist,
+        [CARRIER, ORIGIN],
+        {
+            "n_all": F.count(F.lit(1)),
+            "n_held": n(held),
+            "n_delay": F.count(delay),
+            "s_delay": F.coalesce(F.sum(delay), F.lit(0.0)),
+            "n_nas": n(flag("NASDelay"), held),
+            "n_late": n(late, held),
+            "n_late_known": n(late, delay.isNotNull()),
+            "n_weather": n(flag("WeatherDelay"), held),
+            "n_nas_all": n(flag("NASDelay")),
+            "n_carrier_all": n(flag("CarrierDelay")),
+            "s_cancelled": F.sum(cancelled),
+            "n_cancelled": n(cancelled != 0),
+            "n_diverted": n(flag("Diverted")),
+        },
+    )
+
+
+def from_cube(cube: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[str, str]], require: str | None = None) -> DataFrame:
+    """Daily ratios of two sums at a coarser key; days without any ``require`` have no row."""
+    cols = {c for pair in ratios.values() for c in pair} | ({require} if require else set())
+    sums = cube.groupBy(*keys, DATE).agg(*[F.sum(c).alias(c) for c in sorted(cols)])
+    if require:
+        sums = sums.filter(F.col(require) > 0)
+    return sums.select(
+        *keys, DATE, *[(F.col(a) / F.nullif(b, F.lit(0))).alias(out) for out, (a, b) in ratios.items()]
+    )
+
+
+def value_cube(hist: DataFrame) -> DataFrame:
+    """Flights per carrier, origin, day and distinct delay, from which every median follows."""
+    known = hist.withColumn("_x", num("DepDelayMinutes")).na.drop(subset=[CARRIER, ORIGIN, DATE, "_x"])
+    return known.groupBy(CARRIER, ORIGIN, DATE, "_x").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def median_from(values: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    return values.groupBy(*keys, DATE).agg(F.expr("percentile(_x, 0.5, _n)").alias(out))
+
+
 # --- hubs: rows of a shared date spine ----------------------------------------------------------
 
 
@@ -180,7 +243,12 @@ def hub_stats(
         [ORIGIN],
         {"_v": F.avg(num("DepDelayMinutes")), "_late": F.avg(late_aircraft().cast("double"))},
     )
-    wide = hub_wide(daily, hubs, ["_v", "_late"])
+    return hub_lags(daily, hubs, windows)
+
+
+def hub_lags(daily: DataFrame, hubs: Sequence[str], windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """The same from a daily table with ``_v`` and ``_late`` per origin."""
+    wide = hub_wide(daily.filter(F.col(ORIGIN).isin(list(hubs))), hubs, ["_v", "_late"])
     frames = {w: Window.partitionBy(F.lit(0)).orderBy(DATE).rowsBetween(-w, -1) for w in windows}
     out = []
     for i in range(len(hubs)):
@@ -209,7 +277,11 @@ def hub_spillover(
 def hub_medians(hist: DataFrame, hubs: Sequence[str]) -> DataFrame:
     """Yesterday's flight-level median of every hub, one row per date."""
     at_hub = hist.filter(F.col(ORIGIN).isin(list(hubs)))
-    wide = hub_wide(next_day(daily_median(at_hub, [ORIGIN], "DepDelayMinutes", "_m")), hubs, ["_m"])
+    return hub_median_wide(daily_median(at_hub, [ORIGIN], "DepDelayMinutes", "_m"), hubs)
+
+
+def hub_median_wide(daily: DataFrame, hubs: Sequence[str]) -> DataFrame:
+    wide = hub_wide(next_day(daily.filter(F.col(ORIGIN).isin(list(hubs)))), hubs, ["_m"])
     return wide.select(
         DATE, *[F.col(f"_m_{i}").alias(f"hub_{i}_depdelay_median_last1") for i in range(len(hubs))]
     )
@@ -289,7 +361,10 @@ def divert_rate(fact: DataFrame, hist: DataFrame, w: int = 14) -> DataFrame:
 
 
 def cancel_anomaly_stats(hist: DataFrame) -> DataFrame:
-    daily = daily_agg(hist, [CARRIER], {"_r": F.avg(F.coalesce(num("Cancelled"), F.lit(0.0)))})
+    return cancel_score(daily_agg(hist, [CARRIER], {"_r": F.avg(F.coalesce(num("Cancelled"), F.lit(0.0)))}))
+
+
+def cancel_score(daily: DataFrame) -> DataFrame:
     score = (row_mean("_r", [CARRIER], 7) - row_mean("_r", [CARRIER], 60, 7)) / F.nullif(
         row_std("_r", [CARRIER], 60, 7), F.lit(0.0)
     )
@@ -303,7 +378,10 @@ def cancel_anomaly(fact: DataFrame, hist: DataFrame) -> DataFrame:
 
 def carrier_anomaly_stats(hist: DataFrame) -> DataFrame:
     held = F.coalesce(num("CarrierDelay"), F.lit(0.0)) > 0
-    daily = daily_rate(hist, [CARRIER], held, "_r")
+    return carrier_score(daily_rate(hist, [CARRIER], held, "_r"))
+
+
+def carrier_score(daily: DataFrame) -> DataFrame:
     spread = row_std("_r", [CARRIER], 60, 14)
     floored = F.when(spread.isNotNull(), F.greatest(spread, F.lit(0.01)))
     score = (row_mean("_r", [CARRIER], 7, 3) - row_mean("_r", [CARRIER], 60, 14)) / floored
@@ -371,13 +449,34 @@ def range_stats(
         med = weighted.select(
             *keys,
             DATE,
-            *[F.expr(f"percentile(_x, 0.5, _n)").over(_range(keys, w)).alias(m) for w, m in medians.items()],
+            *[F.expr("percentile(_x, 0.5, _n)").over(_range(keys, w)).alias(m) for w, m in medians.items()],
         )
         med = med.groupBy(*keys, DATE).agg(*[F.max(m).alias(m) for m in medians.values()])
         stats = stats.join(med, [*keys, DATE], "left")
     return stats
 
 
+Parts = list[tuple[list[str], DataFrame]]
+
+
+def route_arrival_parts(
+    hist: DataFrame, mean_windows: Sequence[int] = (7, 14), median_windows: Sequence[int] = (7,)
+) -> Parts:
+    return [
+        (
+            keys,
+            range_stats(
+                hist,
+                keys,
+                "ArrDelayMinutes",
+                {w: (f"arrdelay_mean_{w}d_{tag}", f"arrdelay_n_{w}d_{tag}") for w in mean_windows},
+                {w: f"arrdelay_median_{w}d_{tag}" for w in median_windows},
+            ),
+        )
+        for keys, tag in ((FLIGHT_OD, "fn_od"), (CARRIER_OD, "car_od"))
+    ]
+
+
 def route_arrival_stats(
     fact: DataFrame,
     hist: DataFrame,
@@ -385,49 +484,50 @@ def route_arrival_stats(
     median_windows: Sequence[int] = (7,),
 ) -> DataFrame:
     """Arrival delay of the flight number and of the carrier on the route, carried forward."""
-    out = fact
-    for keys, tag in ((FLIGHT_OD, "fn_od"), (CARRIER_OD, "car_od")):
-        stats = range_stats(
-            hist,
-            keys,
-            "ArrDelayMinutes",
-            {w: (f"arrdelay_mean_{w}d_{tag}", f"arrdelay_n_{w}d_{tag}") for w in mean_windows},
-            {w: f"arrdelay_median_{w}d_{tag}" for w in median_windows},
-        )
-        out = attach_asof(out, stats, keys)
-    return out
+    return attach_asof_parts(fact, route_arrival_parts(hist, mean_windows, median_windows))
 
 
-def elapsed_ratio_stats(fact: DataFrame, hist: DataFrame, days: int = 14) -> DataFrame:
-    """Actual over scheduled elapsed time of the flight number on the route."""
+def elapsed_ratio_parts(hist: DataFrame, days: int = 14) -> Parts:
     ratio = num("ActualElapsedTime") / F.nullif(num("CRSElapsedTime"), F.lit(0.0))
     names = {days: (f"elapsed_time_ratio_last{days}d", f"elapsed_time_ratio_n_last{days}d")}
-    stats = range_stats(hist.withColumn("_ratio", ratio), FLIGHT_OD, "_ratio", names)
-    return attach_asof(fact, stats, FLIGHT_OD)
+    return [(FLIGHT_OD, range_stats(hist.withColumn("_ratio", ratio), FLIGHT_OD, "_ratio", names))]
+
+
+def elapsed_ratio_stats(fact: DataFrame, hist: DataFrame, days: int = 14) -> DataFrame:
+    """Actual over scheduled elapsed time of the flight number on the route."""
+    return attach_asof_parts(fact, elapsed_ratio_parts(hist, days))
+
+
+def airtime_parts(hist: DataFrame, windows: Sequence[int] = (7, 14)) -> Parts:
+    return [
+        (keys, range_stats(hist, keys, "AirTime", {w: (f"airtime_mean_{w}d_{tag}", f"airtime_n_{w}d_{tag}") for w in windows}))
+        for keys, tag in ((FLIGHT_OD, "fn_od"), (CARRIER_OD, "car_od"))
+    ]
 
 
 def airtime_stats(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = (7, 14)) -> DataFrame:
-    out = fact
-    for keys, tag in ((FLIGHT_OD, "fn_od"), (CARRIER_OD, "car_od")):
-        names = {w: (f"airtime_mean_{w}d_{tag}", f"airtime_n_{w}d_{tag}") for w in windows}
-        out = attach_asof(out, range_stats(hist, keys, "AirTime", names), keys)
-    return out
+    return attach_asof_parts(fact, airtime_parts(hist, windows))
 
 
-def wheels_off_slip_stats(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = (7, 14)) -> DataFrame:
-    """Minutes from scheduled departure to wheels off, per flight number and per origin hour block."""
-    from ..functions.parse import hhmm_minutes, time_block, wrap_diff
+def with_time_block(df: DataFrame) -> DataFrame:
+    return df if "DepTimeBlk" in df.columns else df.withColumn("DepTimeBlk", time_block("CRSDepTime"))
 
-    def with_block(df: DataFrame) -> DataFrame:
-        return df if "DepTimeBlk" in df.columns else df.withColumn("DepTimeBlk", time_block("CRSDepTime"))
 
-    out = with_block(fact)
+def wheels_off_slip_parts(hist: DataFrame, windows: Sequence[int] = (7, 14)) -> Parts:
     slip = wrap_diff(hhmm_minutes("WheelsOff"), hhmm_minutes("CRSDepTime"))
-    slipped = with_block(hist).withColumn("_slip", slip)
-    for keys, tag in ((FLIGHT_OD, "fn_od"), ([ORIGIN, "DepTimeBlk"], "origin_blk")):
-        names = {w: (f"wo_slip_mean_{w}d_{tag}", f"wo_slip_n_{w}d_{tag}") for w in windows}
-        out = attach_asof(out, range_stats(slipped, keys, "_slip", names), keys)
-    return out
+    slipped = with_time_block(hist).withColumn("_slip", slip)
+    return [
+        (
+            keys,
+            range_stats(slipped, keys, "_slip", {w: (f"wo_slip_mean_{w}d_{tag}", f"wo_slip_n_{w}d_{tag}") for w in windows}),
+        )
+        for keys, tag in ((FLIGHT_OD, "fn_od"), ([ORIGIN, "DepTimeBlk"], "origin_blk"))
+    ]
+
+
+def wheels_off_slip_stats(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = (7, 14)) -> DataFrame:
+    """Minutes from scheduled departure to wheels off, per flight number and per origin hour block."""
+    return attach_asof_parts(with_time_block(fact), wheels_off_slip_parts(hist, windows))
 
 
 # --- trial features -----------------------------------------------------------------------------

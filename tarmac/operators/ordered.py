@@ -1,9 +1,9 @@
 """Operators that need the order of an aircraft's or a flight number's legs.
 
-A key is normally small (an aircraft flies a few legs a day) and one window per key is right. A key
-that holds more than ``split_over`` rows, such as a placeholder tail number, is cut into minutes: the
-window then runs inside a minute, and what crosses from one minute to the next is carried by a small
-table with one row per minute of such a key.
+A key is normally small (an aircraft flies a few legs a day) and one window per key is right. Sizes
+are measured first. If a key holds more than ``split_over`` rows, such as a placeholder tail number,
+it is cut into minutes: the window then runs inside a minute, and what crosses from one minute to the
+next is carried by a small table with one row per minute of such a key.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import minute_of
+from ..session import materialise
 from .joins import attach
 
 DATE = "FlightDate"
@@ -23,10 +24,15 @@ SPLIT_OVER = 1_000_000
 _SEG = "_segment"
 
 
-def _segments(df: DataFrame, keys: Sequence[str], time: str, split_over: int) -> DataFrame:
-    """Adds the minute for rows of oversized keys, and NULL for all others."""
+def _large_keys(df: DataFrame, keys: Sequence[str], split_over: int) -> DataFrame | None:
+    """Keys with too many rows for one task, or None; at most (rows / split_over) of them exist."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = sizes.filter(F.col("_size") > split_over).select(*keys, F.lit(True).alias("_large"))
+    return None if large.isEmpty() else large
+
+
+def _segments(df: DataFrame, keys: Sequence[str], time: str, large: DataFrame) -> DataFrame:
+    """Adds the minute for rows of oversized keys, and NULL for all others."""
     return df.join(large, list(keys), "left").withColumn(
         _SEG, F.when(F.col("_large"), minute_of(time))
     ).drop("_large")
@@ -44,11 +50,17 @@ def previous(
 
     Rows are ordered by ``time`` and then ``ties``, which should make the order total.
     """
-    cut = _segments(df, keys, time, split_over)
     order = [time, *ties]
     packed = F.struct(*[F.col(c).alias(n) for n, c in carry.items()])
+    large = _large_keys(df, keys, split_over)
+    if large is None:
+        before = F.lag(packed).over(Window.partitionBy(*keys).orderBy(*order))
+        joined, prior = df.withColumn("_before", before), F.col("_before")
+        return joined.select(*df.columns, *[prior[n].alias(n) for n in carry])
     inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
-    cut = cut.withColumn("_before", F.lag(packed).over(inside))
+    cut = materialise(
+        _segments(df, keys, time, large).withColumn("_before", F.lag(packed).over(inside)), "segments"
+    )
     ends = (
         cut.filter(F.col(_SEG).isNotNull())
         .groupBy(*keys, _SEG)
@@ -57,9 +69,8 @@ def previous(
     carried = ends.select(
         *keys, _SEG, F.lag("_end").over(Window.partitionBy(*keys).orderBy(_SEG)).alias("_carried")
     )
-    joined = attach(cut, carried, [*keys, _SEG])
     prior = F.coalesce("_before", "_carried")
-    return joined.select(*df.columns, *[prior[n].alias(n) for n in carry])
+    return attach(cut, carried, [*keys, _SEG]).select(*df.columns, *[prior[n].alias(n) for n in carry])
 
 
 def position(
@@ -71,9 +82,14 @@ def position(
     split_over: int = SPLIT_OVER,
 ) -> DataFrame:
     """Number of the row within its key, from 1."""
-    cut = _segments(df, keys, time, split_over)
-    inside = Window.partitionBy(*keys, _SEG).orderBy(time, *ties)
-    cut = cut.withColumn("_n", F.row_number().over(inside))
+    order = [time, *ties]
+    large = _large_keys(df, keys, split_over)
+    if large is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
+    cut = materialise(
+        _segments(df, keys, time, large).withColumn("_n", F.row_number().over(inside)), "segments"
+    )
     sizes = cut.filter(F.col(_SEG).isNotNull()).groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, _SEG, F.sum("_rows").over(earlier).alias("_offset"))

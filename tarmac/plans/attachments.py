@@ -11,15 +11,16 @@ from ..operators.joins import attach
 Part = tuple[Sequence[str], DataFrame]
 
 
-def attach_through(fact: DataFrame, grain: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+def attach_through(fact: DataFrame, grain: Sequence[str], parts: Sequence[Part], asked: DataFrame) -> DataFrame:
     """Attach every part through the distinct values of ``grain`` in the fact.
 
     Each part joins on a subset of ``grain``. The parts meet on the (small) table of distinct grain
-    values, so the fact itself is joined once, whatever the number of parts.
+    values, so the fact itself is joined once, whatever the number of parts. The grain is read from
+    ``asked``, a table with the fact's keys that is cheap to read again.
     """
     if not parts:
         return fact
-    table = fact.select(*grain).na.drop().distinct()
+    table = asked.select(*grain).na.drop().distinct()
     for on, stats in parts:
         table = attach(table, stats, on)
     return attach(fact, table, grain)

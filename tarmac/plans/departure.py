@@ -13,6 +13,7 @@ from ..functions.parse import between_days, clean_tail, flown, hhmm_hour, key_in
 from ..functions.weather import row_max, weather_units, wind_x_precip
 from ..operators import actions as act
 from ..operators import congestion, history, joins, lags, ordered, sampling, stats
+from ..session import materialise
 from ..sources import sinks
 from .attachments import Part, attach_through
 from .config import enabled, option
@@ -48,46 +49,72 @@ def base_columns(fact: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     return out.withColumns({"is_peak_hour": calendar.is_peak_hour(F.col("sched_dep_hour")), "wind_x_precip": wind_x_precip(out)})
 
 
-def station_parts(hist: DataFrame, delays: DataFrame, config: Mapping[str, Any], windows: Sequence[int]) -> list[Part]:
-    """Statistics keyed by some of carrier, origin and day.
+def station_parts(cube: DataFrame, values: DataFrame | None, config: Mapping[str, Any], windows: Sequence[int]) -> list[Part]:
+    """Statistics keyed by some of carrier, origin and day, all from the two cubes.
 
-    ``delays`` is the history without cancelled flights; rates use all of it.
+    Delay statistics rest on the rows the cube marks as held, rates on all of them.
     """
-    at_origin, by_carrier = lags.cause_rate_stats(delays, windows)
+    delay = {"_v": ("s_delay", "n_delay")}
+
+    def rolling(keys: list[str], prefix: str) -> Part:
+        daily = lags.from_cube(cube, keys, delay, "n_delay")
+        return [*keys, DATE], lags.row_lags(daily, keys, {f"{prefix}_mean": "_v"}, windows, {f"{prefix}_std": "_v"})
+
+    causes = {"_nas": ("n_nas", "n_held"), "_late": ("n_late", "n_held"), "_wx": ("n_weather", "n_held")}
+    at_origin = lags.row_lags(
+        lags.from_cube(cube, [ORIGIN], causes, "n_held"),
+        [ORIGIN],
+        {"origin_nas_rate": "_nas", "origin_lateaircraft_rate": "_late", "origin_weather_rate": "_wx"},
+        windows,
+    )
+    by_carrier = lags.row_lags(
+        lags.from_cube(cube, [CARRIER], {"_late": causes["_late"]}, "n_held"),
+        [CARRIER],
+        {"carrier_lateaircraft_rate": "_late"},
+        windows,
+    )
     parts: list[Part] = [
-        ([CARRIER, DATE], lags.carrier_stats(delays, windows)),
-        ([CARRIER, ORIGIN, DATE], lags.carrier_origin_stats(delays, windows)),
-        ([ORIGIN, DATE], lags.origin_stats(delays, windows)),
+        rolling([CARRIER], "carrier_depdelay"),
+        rolling([CARRIER, ORIGIN], "carrier_origin_depdelay"),
+        rolling([ORIGIN], "origin_depdelay"),
         ([ORIGIN, DATE], at_origin),
         ([CARRIER, DATE], by_carrier),
     ]
     hubs = option(config, "hub_spillover", "hubs", [])
     if hubs and enabled(config, "hub_spillover", True):
-        parts.append(([DATE], lags.hub_stats(delays, hubs, windows)))
-    if enabled(config, "delay_median_last1"):
+        daily = lags.from_cube(cube, [ORIGIN], {**delay, "_late": causes["_late"]}, "n_held")
+        parts.append(([DATE], lags.hub_lags(daily, hubs, windows)))
+    if values is not None:
         for keys, name in (([CARRIER], "carrier_depdelay_median_last1"), ([CARRIER, ORIGIN], "carrier_origin_depdelay_median_last1")):
-            parts.append(([*keys, DATE], lags.next_day(lags.daily_median(delays, keys, "DepDelayMinutes", name))))
+            parts.append(([*keys, DATE], lags.next_day(lags.median_from(values, keys, name))))
         if hubs:
-            parts.append(([DATE], lags.hub_medians(delays, hubs)))
+            parts.append(([DATE], lags.hub_median_wide(lags.median_from(values, [ORIGIN], "_m"), hubs)))
+
+    def rate(keys: list[str], num_: str, den: str, out: str) -> DataFrame:
+        return lags.from_cube(cube, keys, {out: (num_, den)})
+
     if enabled(config, "nas_rate_last1d"):
-        parts.append(([ORIGIN, DATE], lags.nas_rate_last1d(hist)))
+        parts.append(([ORIGIN, DATE], lags.next_day(rate([ORIGIN], "n_nas_all", "n_all", "origin_nasdelay_rate_last1d"))))
     if enabled(config, "cancel_rate_last1d"):
-        parts.append(([ORIGIN, DATE], lags.cancel_rate_last1d(hist)))
+        parts.append(([ORIGIN, DATE], lags.next_day(rate([ORIGIN], "n_cancelled", "n_all", "cancel_rate_origin_last1d"))))
     if enabled(config, "divert_rate_last14d"):
-        parts.append(([ORIGIN, DATE], lags.divert_stats(hist)))
+        daily = rate([ORIGIN], "n_diverted", "n_all", "_r")
+        parts.append(([ORIGIN, DATE], lags.row_lags(daily, [ORIGIN], {"divert_rate_origin": "_r"}, [14], suffix="d")))
     if enabled(config, "cancel_anomaly_7d"):
-        parts.append(([CARRIER, DATE], lags.cancel_anomaly_stats(hist)))
+        parts.append(([CARRIER, DATE], lags.cancel_score(rate([CARRIER], "s_cancelled", "n_all", "_r"))))
     if enabled(config, "strike"):
-        parts.append(([CARRIER, DATE], lags.carrier_anomaly_stats(hist)))
+        parts.append(([CARRIER, DATE], lags.carrier_score(rate([CARRIER], "n_carrier_all", "n_all", "_r"))))
     return parts
 
 
-def dest_parts(delays: DataFrame, config: Mapping[str, Any], windows: Sequence[int]) -> list[Part]:
+def dest_parts(cube: DataFrame, values: DataFrame | None, config: Mapping[str, Any], windows: Sequence[int]) -> list[Part]:
     parts: list[Part] = []
     if enabled(config, "dest_rolling", True):
-        parts.append(([DEST, DATE], lags.dest_stats(delays, windows)))
-    if enabled(config, "delay_median_last1"):
-        med = lags.next_day(lags.daily_median(delays, [ORIGIN], "DepDelayMinutes", "dest_depdelay_median_last1"))
+        daily = lags.from_cube(cube, [ORIGIN], {"_v": ("s_delay", "n_delay"), "_late": ("n_late_known", "n_delay")}, "n_delay")
+        named = {"dest_depdelay_mean": "_v", "dest_lateaircraft_rate": "_late"}
+        parts.append(([DEST, DATE], lags.row_lags(daily, [ORIGIN], named, windows).withColumnRenamed(ORIGIN, DEST)))
+    if values is not None:
+        med = lags.next_day(lags.median_from(values, [ORIGIN], "dest_depdelay_median_last1"))
         parts.append(([DEST, DATE], med.withColumnRenamed(ORIGIN, DEST)))
     return parts
 
@@ -105,33 +132,38 @@ def features(
 ) -> DataFrame:
     """The departure feature table.
 
-    ``config`` is the feature block of a configuration. Every statistic is a small table; those keyed
-    by station and day reach the fact in one join, those keyed by destination in another.
-    ``ties`` orders flights that leave at the same minute.
+    ``config`` is the feature block of a configuration, and ``ties`` orders flights that leave at the
+    same minute. The history is read once into two small cubes per station and day, which are written
+    down; those statistics meet on the distinct stations and days and reach the fact in one join. Keys
+    and times to look up come from the fact as given, never from the widened one, so a step does not
+    repeat the steps before it.
     """
     windows = [int(w) for w in config.get("rolling_windows_days", lags.WINDOWS)]
-    out = base_columns(fact, config)
+    base = out = base_columns(fact, config)
     hist = norm_keys(hist, [CARRIER, ORIGIN, DEST], [DATE]).withColumn(FLIGHT_NUM, key_int(FLIGHT_NUM))
     if TAIL in hist.columns:
         hist = hist.withColumn(TAIL, clean_tail(TAIL))
-    delays = hist.filter(flown()) if delays_flown_only and "Cancelled" in hist.columns else hist
-    if reports is not None and "dep_utc" in out.columns:
-        out = joins.report_visibility(out, reports)
-    out = congestion.departure_congestion(out, hist)
+    held = flown() if delays_flown_only and "Cancelled" in hist.columns else F.lit(True)
+    delays = hist.filter(held)
     tails = enabled(config, "tail_history") and TAIL in out.columns
     if tails:
-        out = ordered.recent_arrival(ordered.hours_since_first(ordered.tail_leg_number(out, ties)), ties)
-    out = history.flight_history(out, delays, windows, int(config.get("low_support_leq", 2)))
-    out = attach_through(out, [CARRIER, ORIGIN, DATE], station_parts(hist, delays, config, windows))
-    out = attach_through(out, [DEST, DATE], dest_parts(delays, config, windows))
+        out = ordered.recent_arrival(ordered.tail_leg_number(out, ties), ties)
+        out = materialise(ordered.turn_time(out, ties), "legs")
+        out = ordered.tail_cascade(ordered.hours_since_first(out))
+    if reports is not None and "dep_utc" in out.columns:
+        out = joins.report_visibility(out, reports)
+    out = congestion.departure_congestion(out, hist, asked=base)
+    out = history.flight_history(out, delays, windows, int(config.get("low_support_leq", 2)), asked=base)
+    cube = materialise(lags.station_cube(hist, held), "cube")
+    values = materialise(lags.value_cube(delays), "values") if enabled(config, "delay_median_last1") else None
+    out = attach_through(out, [CARRIER, ORIGIN, DATE], station_parts(cube, values, config, windows), base)
+    out = attach_through(out, [DEST, DATE], dest_parts(cube, values, config, windows), base)
     if enabled(config, "otp_rate_last14d"):
         out = lags.otp_rate(out, hist)
     if actions is not None and enabled(config, "strike"):
         out = act.days_to_action(out, actions)
     if tails and TAIL in hist.columns:
         out = lags.tail_history(out, delays, windows)
-    if tails:
-        out = ordered.tail_cascade(ordered.turn_time(out, ties))
     if enabled(config, "prior_leg") and TAIL in hist.columns:
         out = ordered.prior_leg_features(out, delays, ties, [w for w in windows if w > 1])
     if hub_weather is not None:
