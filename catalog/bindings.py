@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.session import spread
+
 AIRPORTS = (
     "ATL BOS DEN DFW ORD EWR PHX BWI MDW BNA LAX SFO SEA LAS MCO MIA CLT MSP DTW SLC SAN AUS HNL JFK ZZZ"
 ).split()
@@ -16,8 +18,12 @@ CARRIERS = ["AF", "AO", "NF", "NO", "RF", "RO"]
 HUBS = ["ATL", "ORD", "LAX"]
 
 
+BIG = {"lineitem", "orders", "events", "documents"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if name in BIG else df
 
 
 def _list(values: list[str]) -> str:

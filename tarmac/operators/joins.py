@@ -22,6 +22,27 @@ def attach(fact: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
     return fact.join(stats, list(on), "left")
 
 
+def attach_through(
+    fact: DataFrame,
+    grain: Sequence[str],
+    parts: Sequence[tuple[Sequence[str], DataFrame]],
+    asked: DataFrame | None = None,
+) -> DataFrame:
+    """Attach every part through the distinct values of ``grain`` in the fact.
+
+    Each part joins on a subset of ``grain``. The parts meet on the (small) table of distinct grain
+    values, so the fact itself is joined once, whatever the number of parts. The grain is read from
+    ``asked``, a table with the fact's keys that is cheap to read again.
+    """
+    if not parts:
+        return fact
+    source = asked if asked is not None else fact
+    table = source.select(*grain).na.drop().distinct()
+    for on, stats in parts:
+        table = attach(table, stats, on)
+    return attach(fact, table, grain)
+
+
 def attach_prev_day(fact: DataFrame, daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of yesterday's statistic."""
     return attach(fact, daily.withColumn(DATE, F.date_add(DATE, 1)), [*keys, DATE])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import day_number, flown, hhmm_minutes, num, time_block, wrap_diff
 from .daily import daily_agg, daily_mean, daily_median, daily_rate, late_aircraft
-from .joins import attach, attach_asof_parts
+from .joins import attach, attach_asof_parts, attach_through
 
 DATE = "FlightDate"
 WINDOWS = (1, 7, 14)
@@ -88,8 +88,11 @@ def carrier_origin_stats(hist: DataFrame, windows: Sequence[int] = WINDOWS) -> D
 
 def carrier_baselines(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Carrier and carrier-at-origin means and deviations."""
-    out = attach(fact, carrier_stats(hist, windows), [CARRIER, DATE])
-    return attach(out, carrier_origin_stats(hist, windows), [CARRIER, ORIGIN, DATE])
+    parts = [
+        ([CARRIER, DATE], carrier_stats(hist, windows)),
+        ([CARRIER, ORIGIN, DATE], carrier_origin_stats(hist, windows)),
+    ]
+    return attach_through(fact, [CARRIER, ORIGIN, DATE], parts)
 
 
 def origin_stats(hist: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
@@ -161,7 +164,8 @@ def cause_rate_stats(hist: DataFrame, windows: Sequence[int] = WINDOWS) -> tuple
 
 def cause_rates(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     at_origin, by_carrier = cause_rate_stats(hist, windows)
-    return attach(attach(fact, at_origin, [ORIGIN, DATE]), by_carrier, [CARRIER, DATE])
+    parts = [([ORIGIN, DATE], at_origin), ([CARRIER, DATE], by_carrier)]
+    return attach_through(fact, [CARRIER, ORIGIN, DATE], parts)
 
 
 # --- one pass over the history ------------------------------------------------------------------
@@ -319,18 +323,18 @@ def hub_weather(fact: DataFrame, weather: DataFrame, hubs: Sequence[str], variab
 
 def median_last1(fact: DataFrame, hist: DataFrame, hubs: Sequence[str] = ()) -> DataFrame:
     """Yesterday's flight-level medians for the carrier, carrier at origin, destination and hubs."""
-    plans = [
-        ([CARRIER], [CARRIER], "carrier_depdelay_median_last1"),
-        ([CARRIER, ORIGIN], [CARRIER, ORIGIN], "carrier_origin_depdelay_median_last1"),
-        ([ORIGIN], [DEST], "dest_depdelay_median_last1"),
+    def yesterday(keys: list[str], name: str) -> DataFrame:
+        return next_day(daily_median(hist, keys, "DepDelayMinutes", name))
+
+    at_dest = yesterday([ORIGIN], "dest_depdelay_median_last1").withColumnRenamed(ORIGIN, DEST)
+    parts = [
+        ([CARRIER, DATE], yesterday([CARRIER], "carrier_depdelay_median_last1")),
+        ([CARRIER, ORIGIN, DATE], yesterday([CARRIER, ORIGIN], "carrier_origin_depdelay_median_last1")),
+        ([DEST, DATE], at_dest),
     ]
-    out = fact
-    for keys, on, name in plans:
-        stat = next_day(daily_median(hist, keys, "DepDelayMinutes", name))
-        for a, b in zip(keys, on):
-            stat = stat.withColumnRenamed(a, b)
-        out = attach(out, stat, [*on, DATE])
-    return attach(out, hub_medians(hist, hubs), [DATE]) if hubs else out
+    if hubs:
+        parts.append(([DATE], hub_medians(hist, hubs)))
+    return attach_through(fact, [CARRIER, ORIGIN, DEST, DATE], parts)
 
 
 def nas_rate_last1d(hist: DataFrame) -> DataFrame:
@@ -344,8 +348,8 @@ def cancel_rate_last1d(hist: DataFrame) -> DataFrame:
 
 def prior_day_rates(fact: DataFrame, hist: DataFrame) -> DataFrame:
     """Yesterday's NAS-delay and cancellation rates at the origin."""
-    out = attach(fact, nas_rate_last1d(hist), [ORIGIN, DATE])
-    return attach(out, cancel_rate_last1d(hist), [ORIGIN, DATE])
+    parts = [([ORIGIN, DATE], nas_rate_last1d(hist)), ([ORIGIN, DATE], cancel_rate_last1d(hist))]
+    return attach_through(fact, [ORIGIN, DATE], parts)
 
 
 def divert_stats(hist: DataFrame, w: int = 14) -> DataFrame:

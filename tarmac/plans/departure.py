@@ -13,13 +13,14 @@ from ..functions.parse import between_days, clean_tail, flown, hhmm_hour, key_in
 from ..functions.weather import row_max, weather_units, wind_x_precip
 from ..operators import actions as act
 from ..operators import congestion, history, joins, lags, ordered, sampling, stats
+from ..operators.joins import attach_through
 from ..session import materialise
 from ..sources import sinks
-from .attachments import Part, attach_through
 from .config import enabled, option
 
 DATE, CARRIER, ORIGIN, DEST = "FlightDate", "Reporting_Airline", "Origin", "Dest"
 FLIGHT_NUM, TAIL = "Flight_Number_Reporting_Airline", "Tail_Number"
+Part = tuple[Sequence[str], DataFrame]
 ROW_ID = [DATE, CARRIER, FLIGHT_NUM, ORIGIN, DEST, "CRSDepTime"]
 
 
