@@ -88,10 +88,13 @@ def carrier_origin_stats(hist: DataFrame, windows: Sequence[int] = WINDOWS) -> D
 
 def carrier_baselines(fact: DataFrame, hist: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Carrier and carrier-at-origin means and deviations."""
-    parts = [
-        ([CARRIER, DATE], carrier_stats(hist, windows)),
-        ([CARRIER, ORIGIN, DATE], carrier_origin_stats(hist, windows)),
-    ]
+    cube = station_cube(hist)
+
+    def part(keys: list[str], prefix: str) -> tuple[list[str], DataFrame]:
+        daily = from_cube(cube, keys, {"_v": ("s_delay", "n_delay")}, "n_delay")
+        return [*keys, DATE], row_lags(daily, keys, {f"{prefix}_mean": "_v"}, windows, {f"{prefix}_std": "_v"})
+
+    parts = [part([CARRIER], "carrier_depdelay"), part([CARRIER, ORIGIN], "carrier_origin_depdelay")]
     return attach_through(fact, [CARRIER, ORIGIN, DATE], parts)
 
 
@@ -189,31 +192,29 @@ def station_cube(hist: DataFrame, delays_from: Column | None = None) -> DataFram
 
     late = late_aircraft() if "LateAircraftDelay" in hist.columns else F.lit(False)
     cancelled = F.coalesce(num("Cancelled"), F.lit(0.0)) if "Cancelled" in hist.columns else F.lit(0.0)
-    return daily_agg(
-        hist,
-        [CARRIER, ORIGIN],
-        {
-            "n_all": F.count(F.lit(1)),
-            "n_held": n(held),
-            "n_delay": F.count(delay),
-            "s_delay": F.coalesce(F.sum(delay), F.lit(0.0)),
-            "n_nas": n(flag("NASDelay"), held),
-            "n_late": n(late, held),
-            "n_late_known": n(late, delay.isNotNull()),
-            "n_weather": n(flag("WeatherDelay"), held),
-            "n_nas_all": n(flag("NASDelay")),
-            "n_carrier_all": n(flag("CarrierDelay")),
-            "s_cancelled": F.sum(cancelled),
-            "n_cancelled": n(cancelled != 0),
-            "n_diverted": n(flag("Diverted")),
-        },
-    )
+    measures = {
+        "n_all": F.count(F.lit(1)),
+        "n_held": n(held),
+        "n_delay": F.count(delay),
+        "s_delay": F.coalesce(F.sum(delay), F.lit(0.0)),
+        "n_nas": n(flag("NASDelay"), held),
+        "n_late": n(late, held),
+        "n_late_known": n(late, delay.isNotNull()),
+        "n_weather": n(flag("WeatherDelay"), held),
+        "n_nas_all": n(flag("NASDelay")),
+        "n_carrier_all": n(flag("CarrierDelay")),
+        "s_cancelled": F.sum(cancelled),
+        "n_cancelled": n(cancelled != 0),
+        "n_diverted": n(flag("Diverted")),
+    }
+    dated = hist.filter(F.col(DATE).isNotNull())
+    return dated.groupBy(CARRIER, ORIGIN, DATE).agg(*[e.alias(n_) for n_, e in measures.items()])
 
 
 def from_cube(cube: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[str, str]], require: str | None = None) -> DataFrame:
     """Daily ratios of two sums at a coarser key; days without any ``require`` have no row."""
     cols = {c for pair in ratios.values() for c in pair} | ({require} if require else set())
-    sums = cube.groupBy(*keys, DATE).agg(*[F.sum(c).alias(c) for c in sorted(cols)])
+    sums = cube.na.drop(subset=list(keys)).groupBy(*keys, DATE).agg(*[F.sum(c).alias(c) for c in sorted(cols)])
     if require:
         sums = sums.filter(F.col(require) > 0)
     return sums.select(
@@ -223,12 +224,13 @@ def from_cube(cube: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[s
 
 def value_cube(hist: DataFrame) -> DataFrame:
     """Flights per carrier, origin, day and distinct delay, from which every median follows."""
-    known = hist.withColumn("_x", num("DepDelayMinutes")).na.drop(subset=[CARRIER, ORIGIN, DATE, "_x"])
+    known = hist.withColumn("_x", num("DepDelayMinutes")).na.drop(subset=[DATE, "_x"])
     return known.groupBy(CARRIER, ORIGIN, DATE, "_x").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def median_from(values: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    return values.groupBy(*keys, DATE).agg(F.expr("percentile(_x, 0.5, _n)").alias(out))
+    known = values.na.drop(subset=list(keys))
+    return known.groupBy(*keys, DATE).agg(F.expr("percentile(_x, 0.5, _n)").alias(out))
 
 
 # --- hubs: rows of a shared date spine ----------------------------------------------------------
@@ -323,8 +325,10 @@ def hub_weather(fact: DataFrame, weather: DataFrame, hubs: Sequence[str], variab
 
 def median_last1(fact: DataFrame, hist: DataFrame, hubs: Sequence[str] = ()) -> DataFrame:
     """Yesterday's flight-level medians for the carrier, carrier at origin, destination and hubs."""
+    values = value_cube(hist)
+
     def yesterday(keys: list[str], name: str) -> DataFrame:
-        return next_day(daily_median(hist, keys, "DepDelayMinutes", name))
+        return next_day(median_from(values, keys, name))
 
     at_dest = yesterday([ORIGIN], "dest_depdelay_median_last1").withColumnRenamed(ORIGIN, DEST)
     parts = [
@@ -333,7 +337,7 @@ def median_last1(fact: DataFrame, hist: DataFrame, hubs: Sequence[str] = ()) ->
         ([DEST, DATE], at_dest),
     ]
     if hubs:
-        parts.append(([DATE], hub_medians(hist, hubs)))
+        parts.append(([DATE], hub_median_wide(median_from(values, [ORIGIN], "_m"), hubs)))
     return attach_through(fact, [CARRIER, ORIGIN, DEST, DATE], parts)
 
 
@@ -440,24 +444,23 @@ def range_stats(
         .withColumns({"_x": num(value), "_day": day_number(DATE)})
     )
     at_day = [*keys, DATE, "_day"]
-    daily = known.groupBy(*at_day).agg(F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_s"))
-    out = []
+    if medians:
+        # One row per key, day and distinct value: the frames hold values, not flights. Mean, count
+        # and median come from one window, whose partitioning also serves the last step.
+        rows = known.groupBy(*at_day, "_x").agg(F.count(F.lit(1)).alias("_n"))
+        total = F.col("_n") * F.col("_x")
+    else:
+        rows = known.groupBy(*at_day).agg(F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_s"))
+        total = F.col("_s")
+    out = {}
     for w, (mean, count) in means.items():
         frame = _range(keys, w)
         n = F.sum("_n").over(frame)
-        out += [(F.sum("_s").over(frame) / n).alias(mean), F.coalesce(n, F.lit(0)).alias(count)]
-    stats = daily.select(*keys, DATE, *out)
-    if medians:
-        # One row per key, day and distinct value: the frame holds values, not flights.
-        weighted = known.groupBy(*at_day, "_x").agg(F.count(F.lit(1)).alias("_n"))
-        med = weighted.select(
-            *keys,
-            DATE,
-            *[F.expr("percentile(_x, 0.5, _n)").over(_range(keys, w)).alias(m) for w, m in medians.items()],
-        )
-        med = med.groupBy(*keys, DATE).agg(*[F.max(m).alias(m) for m in medians.values()])
-        stats = stats.join(med, [*keys, DATE], "left")
-    return stats
+        out[mean], out[count] = F.sum(total).over(frame) / n, F.coalesce(n, F.lit(0))
+    for w, name in (medians or {}).items():
+        out[name] = F.expr("percentile(_x, 0.5, _n)").over(_range(keys, w))
+    stats = rows.select(*keys, DATE, *[e.alias(n) for n, e in out.items()])
+    return stats.groupBy(*keys, DATE).agg(*[F.max(n).alias(n) for n in out]) if medians else stats
 
 
 Parts = list[tuple[list[str], DataFrame]]
