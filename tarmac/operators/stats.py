@@ -97,6 +97,16 @@ def dataset_stats(df: DataFrame, date: str = "FlightDate", carrier: str = "Repor
     )
 
 
+def impute_median(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
+    """Unknown numbers replaced by the exact median of the training rows, or 0 if none is known."""
+    source = fitted_on if fitted_on is not None else df
+    middle = quantiles(long_form(source, cols), ["feature"], "value", [0.5], ["m"])
+    one = middle.agg(*[F.max(F.when(F.col("feature") == c, F.col("m"))).alias(f"m{i}") for i, c in enumerate(cols)])
+    known = df.withColumn("_medians", one.select(F.struct("*")).scalar())
+    made = {c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[f"m{i}"], F.lit(0.0)) for i, c in enumerate(cols)}
+    return known.withColumns(made).drop("_medians")
+
+
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean, sample deviation and bias-corrected skewness per column."""
     n = F.count("value")
