@@ -109,7 +109,7 @@ def test_prepare_departure_arrival(spark, world):
     )
     arr = spark.read.parquet(out["arr"])
     assert arr.count() == enriched.count()
-    for c in ("arrdelay_median_14d_car_od", "elapsed_time_ratio_last14d", "airtime_mean_14d_fn_od", "wo_slip_mean_7d_origin_blk", "dest_arrivals_pm60_eta", "y_arr_ge120"):
+    for c in ("arrdelay_median_14d_car_od", "elapsed_time_ratio_last14d", "airtime_mean_14d_fn_od", "wo_slip_mean_14d_origin_blk", "dest_arrivals_pm60_eta", "y_arr_ge120"):
         assert arr.filter(F.col(c).isNotNull()).count() > 0, c
 
 
