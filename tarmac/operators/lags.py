@@ -334,11 +334,10 @@ def median_last1(fact: DataFrame, hist: DataFrame, hubs: Sequence[str] = ()) ->
     parts = [
         ([CARRIER, DATE], yesterday([CARRIER], "carrier_depdelay_median_last1")),
         ([CARRIER, ORIGIN, DATE], yesterday([CARRIER, ORIGIN], "carrier_origin_depdelay_median_last1")),
-        ([DEST, DATE], at_dest),
     ]
     if hubs:
         parts.append(([DATE], hub_median_wide(median_from(values, [ORIGIN], "_m"), hubs)))
-    return attach_through(fact, [CARRIER, ORIGIN, DEST, DATE], parts)
+    return attach(attach_through(fact, [CARRIER, ORIGIN, DATE], parts), at_dest, [DEST, DATE])
 
 
 def nas_rate_last1d(hist: DataFrame) -> DataFrame:
