@@ -178,7 +178,9 @@ def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, precisio
         return []
     points = [k / BINS for k in range(1, BINS)]
     found = rows.agg(*[F.percentile_approx(F.col("stats")[f].cast("double"), points, 10_000).alias(f) for f in FEATURES]).first()
-    edges = {f: sorted(set(found[f])) for f in FEATURES}
+    # Thresholds lie midway between neighbouring quantiles, clear of the rows on either side.
+    values = {f: sorted(set(found[f])) for f in FEATURES}
+    edges = {f: [(a + b) / 2 for a, b in zip(v, v[1:], strict=False)] or v for f, v in values.items()}
     places = {f"bin_{f}": reduce(lambda a, b: a + b, [(F.col("stats")[f] > e).cast("int") for e in edges[f]]) for f in FEATURES}
     rows = materialise(rows.withColumns(places), "labelled")
     bad_pruning = sum(r["bad"] for r in total if r["part"] == 2)
