@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import materialise, shuffle_width
 
-__all__ = ["held_out", "let", "materialise", "shuffle_width", "table"]
+__all__ = ["held_out", "let", "materialise", "shuffle_width", "table", "tokenizer_file"]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,3 +24,10 @@ def held_out(doc_id: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, which every machine has under the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, quality_rules
-from .common import table
+from . import decontaminate, jaccard_join, packing, personal, quality_rules, secrets
+from .common import table, tokenizer_file
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +19,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The source stands for the repository; whoever holds one text, in any number of copies, is one owner.
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.scan(docs, F.col("source"), F.xxhash64("text")))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), 2048)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_classes(table(spark, sf_dir, "documents"), 4, 85)
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join}
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_personal_data": op9_personal_data,
+}
 SQL: dict[str, str] = {}
