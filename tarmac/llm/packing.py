@@ -141,13 +141,11 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = GROUP_ROWS)
             if again.select("sequence_id").distinct().count() >= before:
                 break
         # What meets its bound, or fills its sequence, stays; the rest is dealt anew.
-        if packed is not None:
-            packed = None
         stays = (F.col("gap") <= 0) | (F.col("room") == 0)
         done = done.union(again.where(stays).select(done.columns))
-        packed = pool_rows = again.where(~stays)
-        n = pool_rows.count()
-        pool = pool_rows.select(*pieces.columns)
+        packed = again.where(~stays)
+        n = packed.count()
+        pool = packed.select(*pieces.columns)
         turn += 1
         if turn == MAX_ROUNDS or groups == 1:
             break

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import decontaminate, jaccard_join, packing, personal, quality_rules, secrets
 from .common import table, tokenizer_file
 
@@ -45,5 +47,6 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_personal_data": op9_personal_data,
+    "pipeline": corpus_pipeline.run,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
