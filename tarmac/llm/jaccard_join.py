@@ -14,7 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -22,14 +22,14 @@ from .common import materialise, shuffle_width
 from .graph import components
 
 BAND_RATIO = 1.3
-SPARE_SEGMENTS = 4
 # What a pair met by chance costs, in signatures.
 PAIR_COST = 0.05
 # Bits of the filter of wanted sets; 2 MB whatever the input.
 FILTER_BITS = 1 << 24
 
 SET_SCHEMA = "doc_id long, n_shingles long, sid long"
-SIGN_SCHEMA = "sig long, sid long, parity long, n int"
+# Of a signature's set: its size, the band, and how many of its signatures may be left out.
+SIGN_SCHEMA = "sig long, sid long, n int, band short, spare short"
 
 
 def band_of(n: np.ndarray) -> np.ndarray:
@@ -52,6 +52,15 @@ def most_apart(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return ((100 - percent) * (a + b)) // (100 + percent)
 
 
+def spare_of(size: int) -> int:
+    """How many segments more than needed a band has: similar sets then agree on that many more.
+
+    Each set may leave out so many of its most frequent signatures, which are those that unrelated
+    sets share: empty segments and pieces of common passages.
+    """
+    return 2 + min(6, size // 40)
+
+
 def allocate(sets_by_band: dict[int, int], percent: int) -> dict[int, tuple[int, int]]:
     """For each band the numbers of (exact, one-deletion) segments with the least cost.
 
@@ -72,7 +81,7 @@ def allocate(sets_by_band: dict[int, int], percent: int) -> dict[int, tuple[int,
             if best is None or cost < best[0]:
                 best = (cost, exact, wide)
         _, exact, wide = best
-        plan[band] = (exact + SPARE_SEGMENTS if exact else 0, wide)
+        plan[band] = (exact + spare_of(size) if exact else 0, wide)
     return plan
 
 
@@ -87,10 +96,10 @@ def _bands_of_sets(n: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.nda
     return out
 
 
-def sign(n: np.ndarray, row: np.ndarray, value: np.ndarray, plan: dict[int, tuple[int, int]], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of all sets; ``row`` and ``value`` are their sorted elements."""
+def sign(n: np.ndarray, value: np.ndarray, plan: dict[int, tuple[int, int]], percent: int) -> list[np.ndarray]:
+    """Row, signature, band and spare signatures of all sets; ``value`` are their elements in turn."""
     first = np.concatenate(([0], np.cumsum(n)))
-    rows_out, sigs_out = [], []
+    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int16)], [np.zeros(0, np.int16)]]
     full = np.flatnonzero(n > 0)
     for at, bands in _bands_of_sets(n[full], percent):
         at = full[at]
@@ -103,13 +112,15 @@ def sign(n: np.ndarray, row: np.ndarray, value: np.ndarray, plan: dict[int, tupl
             # The largest partner whose pair belongs to this band.
             partner = np.minimum(band_top(int(band)), size * 100 // percent)
             apart = most_apart(size, partner, percent)
-            _segments(docs, size, apart, first, value, exact, wide, int(band), rows_out, sigs_out)
-    if not rows_out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(rows_out), np.concatenate(sigs_out)
+            _segments(docs, size, apart, first, value, exact, wide, int(band), out)
+    return [np.concatenate(o) for o in out]
 
 
-def _segments(docs, size, apart, first, value, exact, wide, band, rows_out, sigs_out) -> None:
+def _segments(docs, size, apart, first, value, exact, wide, band, out) -> None:
+    def emit(at, sigs, spare):
+        for held, values in zip(out, (docs[at], sigs, np.full(len(at), band, np.int16), np.full(len(at), spare, np.int16)), strict=True):
+            held.append(values)
+
     total = int(size.sum())
     doc = np.repeat(np.arange(len(docs)), size)
     within = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
@@ -132,18 +143,18 @@ def _segments(docs, size, apart, first, value, exact, wide, band, rows_out, sigs
         order_key = np.where(held > 254, 0, 255 - np.minimum(held, 255)).astype(np.uint64) << np.uint64(56) | mark >> np.uint64(8)
         grid = order_key.reshape(len(docs), parts)[:, :exact]
         order = np.argsort(grid, axis=1, kind="stable")
-        keep = np.clip(apart - 2 * wide + 1, 0, exact)
+        # The first H + 1 + spare of them: similar sets share spare + 1 of these, or a wide segment.
+        spare = spare_of(band_top(band))
+        need = apart - 2 * wide + 1
+        keep = np.where(need > 0, np.minimum(need + spare, exact), 0)
         taken = np.arange(exact)[None, :] < keep[:, None]
         where_doc, where_rank = np.nonzero(taken)
-        rows_out.append(docs[where_doc])
-        sigs_out.append(mark.reshape(len(docs), parts)[where_doc, order[where_doc, where_rank]])
+        emit(where_doc, mark.reshape(len(docs), parts)[where_doc, order[where_doc, where_rank]], spare)
     if wide:
         own = np.flatnonzero(~kind)
-        rows_out.append(docs[own // parts])
-        sigs_out.append(mark[own])
+        emit(own // parts, mark[own], 0)
         less = np.flatnonzero(segment >= exact)
-        rows_out.append(docs[doc[less]])
-        sigs_out.append(tx.mix(sums[cell[less]] - fresh[less] + label[cell[less]]))
+        emit(doc[less], tx.mix(sums[cell[less]] - fresh[less] + label[cell[less]]), 0)
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -163,63 +174,46 @@ def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at[0], len(at)), pa.array(n), pa.array(sid.view(np.int64))], ["doc_id", "n_shingles", "sid"])
 
 
-def _parity(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
-    """For each set 64 bits, each the parity of the elements that fall on it.
-
-    Sets that differ in d elements differ in at most d of these bits.
-    """
-    bit = np.uint64(1) << (tx.mix(value + np.uint64(99)) & np.uint64(63))
-    out = np.zeros(n_rows, np.uint64)
-    np.bitwise_xor.at(out, row, bit)
-    return out
-
-
 def _signed(batches: Iterator[pa.RecordBatch], size: int, plan: dict[int, tuple[int, int]], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, n, row, value, sid in _sets(batch, size):
-            at, sig = sign(n, row, value, plan, percent)
-            parity = _parity(row, value, len(n))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(sid[at].view(np.int64)), pa.array(parity[at].view(np.int64)), pa.array(n[at].astype(np.int32))],
-                ["sig", "sid", "parity", "n"],
-            )
+        for _, n, _, value, sid in _sets(batch, size):
+            at, sig, band, spare = sign(n, value, plan, percent)
+            columns = [sig.view(np.int64), sid[at].view(np.int64), n[at].astype(np.int32), band, spare]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "sid", "n", "band", "spare"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, sid): each further set of a signature beside its first one.
+    """Of rows sorted by (sig, sid) those of signatures with two sets or more, each set once.
 
-    Only the last row is carried from batch to batch, so a signature may have any number of sets.
+    Only one row is carried from batch to batch, so a signature may have any number of sets.
     """
-    last_sig = last_sid = None
-    leader: dict[str, int] = {}
+    carried: list | None = None  # the last row, unless it has gone out
+    last: tuple | None = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sig, sid, parity, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        new_sig = np.ones(len(sig), bool)
-        new_sig[1:] = sig[1:] != sig[:-1]
-        new_sid = new_sig.copy()
-        new_sid[1:] |= sid[1:] != sid[:-1]
-        if last_sig is not None and sig[0] == last_sig:
-            new_sig[0] = False
-            new_sid[0] = sid[0] != last_sid
-        head = np.maximum.accumulate(np.where(new_sig, np.arange(len(sig)), -1))
-        take = np.flatnonzero(new_sid & ~new_sig)
-        head_taken = head[take]
-        columns = [sig[take], sid[take], parity[take], n[take]]
-        for name, values in (("sid", sid), ("parity", parity), ("n", n)):
-            picked = values[np.maximum(head_taken, 0)]
-            if leader:
-                picked = np.where(head_taken < 0, np.asarray(leader[name], values.dtype), picked)
-            columns.append(picked)
-        last_sig, last_sid = sig[-1], sid[-1]
-        if head[-1] >= 0:
-            leader = {"sid": sid[head[-1]], "parity": parity[head[-1]], "n": n[head[-1]]}
-        if len(take):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "sid", "parity", "n", "lead_sid", "lead_parity", "lead_n"])
-
-
-SHARED_SCHEMA = SIGN_SCHEMA + ", lead_sid long, lead_parity long, lead_n int"
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if carried is not None:
+            columns = [np.concatenate((np.asarray([x], c.dtype), c)) for x, c in zip(carried, columns, strict=True)]
+        sig, sid = columns[:2]
+        fresh = np.ones(len(sig), bool)
+        fresh[1:] = (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])
+        if carried is None and last is not None:
+            fresh[0] = (sig[0], sid[0]) != last
+        columns = [c[fresh] for c in columns]
+        before, sig = last, columns[0]
+        if not len(sig):
+            continue
+        same = sig[1:] == sig[:-1]
+        multi = np.zeros(len(sig), bool)
+        multi[1:] |= same
+        multi[:-1] |= same
+        if carried is None and before is not None and sig[0] == before[0]:
+            multi[0] = True
+        last = (sig[-1], columns[1][-1])
+        carried = None if multi[-1] else [c[-1] for c in columns]
+        if multi.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[multi]) for c in columns], ["sig", "sid", "n", "band", "spare"])
 
 
 def _wanted(batches: Iterator[pa.RecordBatch], size: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -252,12 +246,10 @@ def _filter_of(sids: DataFrame) -> np.ndarray:
     return bits
 
 
-def _may_pair(a: str, b: str, parity_a: str, parity_b: str, percent: int) -> Column:
-    """Whether sizes and parities allow two sets to be similar; false means that they cannot be."""
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    """Whether sets of two sizes can be similar at all."""
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
-    apart = F.floor((100 - percent) * (x + y) / (100 + percent))
-    close = F.bit_count(F.col(parity_a).bitwiseXOR(F.col(parity_b))) <= apart
-    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & close
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -272,6 +264,13 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
     return both.where(100 * met >= percent * (F.size("left") + F.size("right") - met)).select("a", "b")
 
 
+def _of_two_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are not of one class."""
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
+    return pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+
+
 def similar_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -296,28 +295,40 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     plan = allocate(counts, percent)
     signed = docs.mapInArrow(partial(_signed, size=size, plan=plan, percent=percent), SIGN_SCHEMA)
     ordered = signed.repartition(2 * shuffle_width(docs.sparkSession), "sig").sortWithinPartitions("sig", "sid")
-    shared = materialise(ordered.mapInArrow(_shared, SHARED_SCHEMA), "shared")
-    # First every set against the first one of its signatures.
-    stars = shared.where(_may_pair("n", "lead_n", "parity", "lead_parity", percent))
-    tried = materialise(stars.select(F.col("lead_sid").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
+    shared = materialise(ordered.mapInArrow(_shared, SIGN_SCHEMA), "shared")
+    # Every set leaves out its most frequent signatures; similar sets still meet in a rarer one.
+    often = shared.groupBy("sig").count()
+    by_set = Window.partitionBy("sid", "band", "spare").orderBy(F.desc("count"), "sig")
+    ranked = shared.join(often, "sig").withColumn("rank", F.row_number().over(by_set))
+    kept = materialise(ranked.where("rank > spare").select("sig", "sid", "n"), "kept")
+    # First each set against the set it meets most often among the first ones of its signatures.
+    first = kept.groupBy("sig").agg(F.min(F.struct("sid", "n")).alias("lead"))
+    stars = kept.join(first, "sig").select("sid", "n", F.col("lead.sid").alias("lead"), F.col("lead.n").alias("lead_n"))
+    stars = stars.where((F.col("sid") != F.col("lead")) & _sizes_fit("n", "lead_n", percent))
+    stars = materialise(stars.groupBy(F.col("lead").alias("a"), F.col("sid").alias("b")).count(), "stars")
+    tried = materialise(stars.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b"), "pairs")
     links = materialise(_verify(docs, tried, size, percent), "links")
     classes = materialise(components(links), "classes")
-    # Signatures some of whose sets are not yet of one class: their other pairs are tried as well.
-    met = shared.select("sig", F.col("sid").alias("node"), "parity", "n").union(shared.select("sig", "lead_sid", "lead_parity", "lead_n"))
-    named = shared.join(classes.select(F.col("node").alias("sid"), F.col("component").alias("own")), "sid", "left")
-    named = named.join(classes.select(F.col("node").alias("lead_sid"), F.col("component").alias("lead")), "lead_sid", "left")
-    apart = F.coalesce("own", "sid") != F.coalesce("lead", "lead_sid")
-    open_sigs = named.where(apart).groupBy("sig").count().where("count > 1").select("sig")
-    members = met.join(open_sigs, "sig", "left_semi").distinct().join(classes, "node", "left")
-    members = materialise(members.withColumn("component", F.coalesce("component", "node")), "open")
-    one = members.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    two = members.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
-    fits = (one.sig == two.sig) & (one.a < two.b) & (one.ca != two.cb) & _may_pair("na", "nb", "pa", "pb", percent)
-    more = one.join(two, fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    # Then against the other first ones that are not of its class yet.
+    more = _of_two_classes(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), classes).select("a", "b")
     more = materialise(more, "pairs")
-    late = materialise(_verify(docs, more, size, percent), "links")
-    if not late.isEmpty():
-        classes = materialise(components(links.union(late)), "classes")
+    if not more.isEmpty():
+        links = links.union(materialise(_verify(docs, more, size, percent), "links"))
+        classes = materialise(components(links), "classes")
+        tried = tried.union(more)
+    # Last, signatures whose sets are still of several classes: all pairs across classes.
+    members = kept.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
+    members = members.withColumn("component", F.coalesce("component", "sid"))
+    open_sigs = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    members = materialise(members.join(open_sigs.select("sig"), "sig", "left_semi"), "open")
+    one = members.select("sig", F.col("sid").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    two = members.select("sig", F.col("sid").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    fits = (one.sig == two.sig) & (one.a < two.b) & (one.ca != two.cb) & _sizes_fit("na", "nb", percent)
+    more = materialise(one.join(two, fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    if not more.isEmpty():
+        late = materialise(_verify(docs, more, size, percent), "links")
+        if not late.isEmpty():
+            classes = materialise(components(links.union(late)), "classes")
     # Classes of sets to classes of documents.
     nodes = known.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
     nodes = nodes.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
