@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,13 @@ PAIR_COST = 0.05
 # Bits of the filter of wanted sets; 2 MB whatever the input.
 FILTER_BITS = 1 << 24
 
-SET_SCHEMA = "doc_id long, n_shingles long, sid long"
+# Bits of the parity sketch that tells most unlike sets apart without their elements.
+SKETCH_BITS = 1024
+SKETCH = [f"p{k}" for k in range(SKETCH_BITS // 64)]
+# Sets of each signature that all others are compared with first.
+LEADERS = 4
+
+SET_SCHEMA = "doc_id long, n_shingles long, sid long, " + ", ".join(f"{p} long" for p in SKETCH)
 # Of a signature's set: its size, the band, and how many of its signatures may be left out.
 SIGN_SCHEMA = "sig long, sid long, n int, band short, spare short"
 
@@ -170,8 +176,20 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.nda
 
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, n, _, _, sid in _sets(batch, size):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at[0], len(at)), pa.array(n), pa.array(sid.view(np.int64))], ["doc_id", "n_shingles", "sid"])
+        for at, n, row, value, sid in _sets(batch, size):
+            sketch = [pa.array(c) for c in _sketch(row, value, len(n))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at[0], len(at)), pa.array(n), pa.array(sid.view(np.int64)), *sketch], ["doc_id", "n_shingles", "sid", *SKETCH])
+
+
+def _sketch(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
+    """For each set ``SKETCH_BITS`` bits, each the parity of the elements that fall on it, by word.
+
+    Sets that differ in d elements differ in at most d of these bits.
+    """
+    slot = tx.mix(value + np.uint64(99)) & np.uint64(SKETCH_BITS - 1)
+    out = np.zeros(n_rows * len(SKETCH), np.uint64)
+    np.bitwise_xor.at(out, row * len(SKETCH) + (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+    return out.view(np.int64).reshape(n_rows, len(SKETCH)).T.copy()
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, plan: dict[int, tuple[int, int]], percent: int) -> Iterator[pa.RecordBatch]:
@@ -246,10 +264,12 @@ def _filter_of(sids: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    """Whether sets of two sizes can be similar at all."""
-    x, y = F.col(a).cast("long"), F.col(b).cast("long")
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches let two rows (struct columns) be similar; false means they aren't."""
+    x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
+    fits = 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    apart = reduce(lambda m, n: m + n, [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in SKETCH])
+    return fits & (apart * (100 + percent) <= (100 - percent) * (x + y))
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -264,13 +284,6 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
     return both.where(100 * met >= percent * (F.size("left") + F.size("right") - met)).select("a", "b")
 
 
-def _of_two_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are not of one class."""
-    for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
-    return pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-
-
 def similar_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -301,29 +314,28 @@ def similar_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     by_set = Window.partitionBy("sid", "band", "spare").orderBy(F.desc("count"), "sig")
     ranked = shared.join(often, "sig").withColumn("rank", F.row_number().over(by_set))
     kept = materialise(ranked.where("rank > spare").select("sig", "sid", "n"), "kept")
-    # First each set against the set it meets most often among the first ones of its signatures.
-    first = kept.groupBy("sig").agg(F.min(F.struct("sid", "n")).alias("lead"))
-    stars = kept.join(first, "sig").select("sid", "n", F.col("lead.sid").alias("lead"), F.col("lead.n").alias("lead_n"))
-    stars = stars.where((F.col("sid") != F.col("lead")) & _sizes_fit("n", "lead_n", percent))
-    stars = materialise(stars.groupBy(F.col("lead").alias("a"), F.col("sid").alias("b")).count(), "stars")
-    tried = materialise(stars.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b"), "pairs")
+    marks = known.join(kept.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
+    marks = materialise(marks.select("sid", F.struct(F.col("n_shingles").alias("n"), *SKETCH).alias("mark")), "marks")
+    # First each set against a few sets of each of its signatures.
+    orders = [F.min_by("sid", F.xxhash64("sid", F.lit(k))) for k in range(LEADERS)]
+    first = kept.groupBy("sig").agg(F.array_distinct(F.array(*orders)).alias("leads"))
+    stars = kept.join(first, "sig").select("sid", F.explode("leads").alias("lead")).where("sid <> lead")
+    stars = stars.select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
+    for side in ("a", "b"):
+        stars = stars.join(marks.select(F.col("sid").alias(side), F.col("mark").alias(f"mark_{side}")), side)
+    tried = materialise(stars.where(_may_link("mark_a", "mark_b", percent)).select("a", "b"), "pairs")
     links = materialise(_verify(docs, tried, size, percent), "links")
     classes = materialise(components(links), "classes")
-    # Then against the other first ones that are not of its class yet.
-    more = _of_two_classes(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), classes).select("a", "b")
-    more = materialise(more, "pairs")
-    if not more.isEmpty():
-        links = links.union(materialise(_verify(docs, more, size, percent), "links"))
-        classes = materialise(components(links), "classes")
-        tried = tried.union(more)
-    # Last, signatures whose sets are still of several classes: all pairs across classes.
+    # Then signatures whose sets are still of several classes: all pairs across classes that sizes and
+    # sketches don't exclude.
     members = kept.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
     members = members.withColumn("component", F.coalesce("component", "sid"))
     open_sigs = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    members = materialise(members.join(open_sigs.select("sig"), "sig", "left_semi"), "open")
-    one = members.select("sig", F.col("sid").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    two = members.select("sig", F.col("sid").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    fits = (one.sig == two.sig) & (one.a < two.b) & (one.ca != two.cb) & _sizes_fit("na", "nb", percent)
+    members = members.join(open_sigs.select("sig"), "sig", "left_semi").join(marks, "sid")
+    members = materialise(members.select("sig", "sid", "component", "mark"), "open")
+    one = members.select("sig", F.col("sid").alias("a"), F.col("component").alias("of_a"), F.col("mark").alias("mark_a"))
+    two = members.select("sig", F.col("sid").alias("b"), F.col("component").alias("of_b"), F.col("mark").alias("mark_b"))
+    fits = (one.sig == two.sig) & (one.a < two.b) & (one.of_a != two.of_b) & _may_link("mark_a", "mark_b", percent)
     more = materialise(one.join(two, fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         late = materialise(_verify(docs, more, size, percent), "links")
