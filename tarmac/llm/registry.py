@@ -7,20 +7,34 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, jaccard_join, packing, personal, quality_rules, secrets
+from . import decontaminate, jaccard_join, language, packing, personal, quality_rules, secrets, token_counts, toxicity
 from .common import table, tokenizer_file
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
     counts = [F.col(f"stats.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The source stands for the repository; whoever holds one text, in any number of copies, is one owner.
     docs = table(spark, sf_dir, "documents")
@@ -41,8 +55,11 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language": op5_language,
     "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
