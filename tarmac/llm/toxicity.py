@@ -32,6 +32,8 @@ DECAY = 0.6
 SPAN = 5
 # Words less similar than this to every landmark are all alike.
 LEAST = 0.4
+# The kernel is raised to this power (again a kernel), which sets close spellings apart from chance.
+POWER = 3
 SYMBOLS = 32
 SLOTS = 1 << 20
 THRESHOLD = 0.3
@@ -104,7 +106,7 @@ class Kernel:
 
     def __post_init__(self) -> None:
         made = features([symbols_of(w) for w in self.words])
-        gram = made @ made.T
+        gram = (made @ made.T) ** POWER
         values, vectors = np.linalg.eigh(gram.astype(np.float64))
         self.root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
         self.table = np.ascontiguousarray(made.T)
@@ -143,7 +145,7 @@ class Kernel:
                 out[rows[begin_at]] = np.add.reduceat(scaled, begin_at, axis=0)
         out /= np.maximum(norm, 1e-9)[:, None]
         near = out.max(axis=1) >= LEAST
-        return close[near], out[near]
+        return close[near], out[near] ** POWER
 
 
 @dataclass
@@ -218,16 +220,19 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     """Words that mark toxic texts, unlike one another, and frequent words of other texts.
 
     ``rows`` has text and toxic. The words of toxic texts are ranked by how many of these hold them, if
-    nine in ten of the texts that hold them are toxic; the frequent ones fill the last quarter.
+    nine in ten of the texts that hold them are toxic and they are in one in a hundred of the toxic
+    texts; the frequent ones fill the last quarter.
     """
+    rows = rows.dropDuplicates(["text"])
+    least = max(3, (rows.agg(F.sum("toxic")).first()[0] or 0) // 100)
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
     each = rows.select("toxic", F.explode(words).alias("word")).where(F.length("word").between(3, 24))
-    counts = each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where("n >= 3")
+    counts = each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(F.col("n") >= least)
     bad = [r["word"] for r in counts.where("bad >= 0.9 * n").orderBy(F.desc("bad"), "word").limit(CANDIDATES).collect()]
     common = [r["word"] for r in counts.where("bad < 0.5 * n").orderBy(F.desc("n"), "word").limit(limit).collect()]
     chosen: list[str] = []
     held = np.zeros((0, SYMBOLS**3), np.float32)
-    for pool, most, apart in ((bad, limit - limit // 4, 0.75), (common, limit, 0.5)):
+    for pool, most, apart in ((bad, limit - limit // 4, 0.65), (common, limit, 0.5)):
         for w in pool:
             if len(chosen) >= most:
                 break
