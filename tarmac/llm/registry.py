@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, jaccard_join, language, packing, personal, quality_rules, secrets, token_counts, toxicity
+from . import decontaminate, jaccard_join, language, packing, personal, quality_rules, secrets, suffix_dedup, token_counts, toxicity
 from .common import table, tokenizer_file
 
 
@@ -54,6 +54,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -64,6 +68,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_personal_data": op9_personal_data,
+    "op10_suffix_dedup": op10_suffix_dedup,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
