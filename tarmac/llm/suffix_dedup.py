@@ -5,7 +5,7 @@ its 28-byte pieces (its anchor), so equal strings have equal anchors. Anchors th
 Of equal surroundings of an anchor (all strings that hold it) the first in the order of documents
 stands for all, and the others are repeats. Surroundings that differ go to shards by anchor. In each
 shard a suffix array is refined by doubling (Larsson-Sadakane: only groups not yet apart are sorted
-again) to the depth of 100 bytes; common prefixes of neighbours give the groups of equal strings. An
+again) until no two are alike; common prefixes of neighbours give the groups of equal strings. An
 anchor with more surroundings than a shard holds is spread over shards, whose groups are merged by
 binary search.
 """
@@ -151,7 +151,8 @@ def repeated(parts: list[bytes], doc: np.ndarray, start: np.ndarray) -> tuple[np
     codes = raw.astype(np.int64)
     ends = np.cumsum(sizes + 1) - 1
     codes[ends] = 256 + np.arange(len(parts))  # no string runs on into the next part
-    sa = suffix_array(codes, LENGTH)
+    # All suffixes differ by the end of their part, so the order is whole, as Kasai's bound needs.
+    sa = suffix_array(codes, int(sizes.max()) + 1)
     lcp = common_prefixes(codes, sa, LENGTH)
     part = np.searchsorted(ends, sa, "left")
     valid = sa + LENGTH <= ends[np.minimum(part, len(parts) - 1)]
