@@ -84,13 +84,20 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order of their first ``depth`` codes at least; equal ones in any order."""
     n = len(codes)
-    sa = np.argsort(codes, kind="stable")
-    ordered = codes[sa]
+    # Four codes at once where they fit in one number.
+    bits = int(codes.max(initial=1) + 1).bit_length()
+    lead = 4 if 4 * bits < 63 else 1
+    padded = np.concatenate((codes + 1, np.zeros(lead, np.int64)))
+    packed = padded[:n].copy()
+    for k in range(1, lead):
+        packed = packed << bits | padded[k : n + k]
+    sa = np.argsort(packed)
+    ordered = packed[sa]
     head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     rank = np.empty(n + 1, np.int64)
     rank[sa] = np.repeat(head, np.diff(np.append(head, n)))
     rank[n] = -1
-    h = 1
+    h = lead
     while h < depth:
         own = rank[sa]
         same = np.r_[own[1:] == own[:-1], False]
@@ -164,10 +171,41 @@ def repeated(parts: list[bytes], doc: np.ndarray, start: np.ndarray) -> tuple[np
     return doc[part][order], where[order], group[order]
 
 
+def may_repeat(rows: list[tuple]) -> np.ndarray:
+    """Which surroundings can share a string with others of their anchor; the rest can't.
+
+    A string that reaches between 8k and 8k + 7 bytes to the left of the anchor shares 8k bytes there
+    and at least 93 - 8k bytes from the anchor on.
+    """
+    sizes = np.array([len(r[1]) for r in rows])
+    raw = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
+    first = np.cumsum(sizes) - sizes
+    lo = np.array([r[4] for r in rows])
+    hi = sizes - lo
+    at = first + lo
+    up, down = tx.powers(len(raw))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tx._BYTE[raw] * up)))
+    anchor = np.array([r[0] for r in rows]).view(np.uint64)
+    keep = np.zeros(len(rows), bool)
+    for left in range(0, REACH + 1, 8):
+        right = LENGTH - min(left + 7, REACH)
+        fits = np.flatnonzero((lo >= left) & (hi >= right))
+        a, b = at[fits] - left, at[fits] + right
+        value = tx.mix((sums[b] - sums[a]) * down[a] ^ anchor[fits])
+        _, back, count = np.unique(value, return_inverse=True, return_counts=True)
+        keep[fits[count[back] > 1]] = True
+    return keep
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (doc_id, start, key): repeats have no key; strings of a spread anchor have theirs."""
+    """Rows of (doc_id, start, stop, key): repeats, joined to runs, have no key; strings of a spread
+    anchor have theirs."""
 
     def sharded(rows: list[tuple], spread: bool) -> Iterator[pa.RecordBatch]:
+        if not spread:
+            rows = [r for r, k in zip(rows, may_repeat(rows).tolist(), strict=True) if k]
+        if not rows:
+            return
         doc, start = np.array([r[2] for r in rows]), np.array([r[3] - r[4] for r in rows])
         d, s, g = repeated([r[1] for r in rows], doc, start)
         if not len(d):
@@ -175,7 +213,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
         lead = head[np.searchsorted(head, np.arange(len(g)), "right") - 1]
         late = (d != d[lead]) | (s != s[lead])
-        yield _starts(d[late], s[late], None)
+        yield _runs(d[late], s[late])
         if spread:
             # The first of each group stands for its string in the merge of the anchor's shards.
             texts = {}
@@ -225,20 +263,34 @@ def _holder(own: list[tuple[int, int]], texts: dict, doc: int, at: int) -> int:
     return k
 
 
-def _starts(doc: np.ndarray, start: np.ndarray, key: np.ndarray | None) -> pa.RecordBatch:
-    keys = pa.nulls(len(doc), pa.int64()) if key is None else pa.array(key)
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), keys], ["doc_id", "start", "key"])
+STARTS = "doc_id long, start long, stop long, key long"
+
+
+def _starts(doc: np.ndarray, start: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(c, pa.int64()) for c in (doc, start, start + LENGTH, key)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "stop", "key"])
+
+
+def _runs(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Strings that begin one byte after another, as one run of bytes."""
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    turn = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)]) if len(doc) else np.zeros(0, np.int64)
+    last = np.append(turn[1:] - 1, len(doc) - 1)[: len(turn)]
+    columns = [pa.array(c, pa.int64()) for c in (doc[turn], start[turn], start[last] + LENGTH)]
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(turn), pa.int64())], ["doc_id", "start", "stop", "key"])
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Strings of several shards: those that another shard has earlier, found by binary search."""
-    held = pa.Table.from_batches(list(batches), pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("key", pa.int64())]))
-    if held.num_rows:
-        doc, start, key = (held.column(i).to_numpy() for i in range(3))
+    arrived = [b for b in batches if b.num_rows]
+    if arrived:
+        held = pa.Table.from_batches(arrived)
+        doc, start, key = (held.column(c).to_numpy() for c in ("doc_id", "start", "key"))
         order = np.lexsort((start, doc, key))
         first = order[np.searchsorted(key[order], key, "left")]
         late = (doc[first] != doc) | (start[first] != start)
-        yield _starts(doc[late], start[late], None)
+        yield _runs(doc[late], start[late])
 
 
 PLACED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, covered array<struct<a:bigint,b:bigint>>, ah long, around binary, pos long, lo int"
@@ -290,7 +342,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for r in batch.slice(lo, 200).to_pylist():
                 raw = r["text"].encode()
-                runs = [(c["a"], c["b"]) for c in r["covered"]] + [(s, s + LENGTH) for s in r["starts"] or []]
+                runs = [(c["a"], c["b"]) for c in r["covered"]] + [(c["start"], c["stop"]) for c in r["runs"] or []]
                 out.append((r["doc_id"], len(raw), *cut(raw, np.array(runs, np.int64).reshape(-1, 2))))
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -316,9 +368,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     placed = materialise(docs.join(marks, "doc_id", "left").mapInArrow(_place, PLACED), "placed")
     around = placed.where("around is not null").select("ah", "around", "doc_id", "pos", "lo").distinct()
     shards = around.repartition(2 * width, "ah").sortWithinPartitions("ah", "doc_id", "pos")
-    starts = materialise(shards.mapInArrow(_shards, "doc_id long, start long, key long"), "repeats")
-    across = starts.where("key is not null").repartition(width, "key").mapInArrow(_merged, "doc_id long, start long, key long")
-    late = starts.where("key is null").union(across).groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    starts = materialise(shards.mapInArrow(_shards, STARTS), "repeats")
+    across = starts.where("key is not null").repartition(width, "key").mapInArrow(_merged, STARTS)
+    late = starts.where("key is null").union(across).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     pending = placed.where("text is not null").select("doc_id", "text", "covered").join(late, "doc_id", "left")
     done = placed.where("kept_sha256 is not null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     return done.union(pending.mapInArrow(_finish, RESULT))
