@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import materialise, shuffle_width
 
-__all__ = ["held_out", "let", "materialise", "shuffle_width", "table", "tokenizer_file"]
+__all__ = ["free_name", "held_out", "let", "materialise", "shuffle_width", "table", "tokenizer_file"]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -17,6 +17,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores as it takes to differ from all names in use."""
+    used = {t.lower() for t in taken}
+    while name in used:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept out of training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as sp
-from .common import let, materialise
+from .common import free_name, let, materialise
 
 # The kinds of spans in their order: four that are always reported, then those that are judged.
 BASE = ["email", "ip", "card", "phone"]
@@ -207,17 +207,17 @@ def _found(text: Column) -> Column:
     return F.transform(find_candidates(text), voted)
 
 
-def find(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns of every row of ``docs`` and ``found``: sorted spans with their score.
+def find(docs: DataFrame, columns: list[str], result: str = "found") -> DataFrame:
+    """The named columns of every row of ``docs`` and, as ``result``, sorted spans with their score.
 
     Base spans are always there; a span of another kind is there when the classifier gives it 0.5 or
     more. Null and empty texts have none. Repeated rows are searched one by one; overlapping spans of
-    different kinds are all reported. A column of ``docs`` called ``found`` is left out, other columns
+    different kinds are all reported. A column of ``docs`` called like ``result`` is left out, others
     pass unchanged whatever their names. An empty table gives an empty one.
     """
-    names = [F.col(f"`{c}`") for c in columns if c != "found"]
-    kept = materialise(docs.select(*names, _found(F.col("text")).alias("found")), "candidates")
-    each = kept.select(F.explode("found").alias("s")).select("s.kind", "s.value", "s.vote")
+    names = [F.col(f"`{c}`") for c in columns if c != result]
+    kept = materialise(docs.select(*names, _found(F.col("text")).alias(result)), "candidates")
+    each = kept.select(F.explode(result).alias("s")).select("s.kind", "s.value", "s.vote")
     weights, intercept = fit(each)
 
     def score(s):
@@ -225,9 +225,9 @@ def find(docs: DataFrame, columns: list[str]) -> DataFrame:
         margin = reduce(lambda a, b: a + b, [w * f for w, f in zip(weights, made, strict=True)], F.lit(intercept))
         return 1 / (1 + F.exp(-margin))
 
-    scored = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), score(s).alias("score")))
+    scored = F.transform(result, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), score(s).alias("score")))
     judged = F.filter(scored, lambda s: (s["kind"] < len(BASE)) | (s["score"] >= 0.5))
-    return kept.select(*names, judged.alias("found"))
+    return kept.select(*names, judged.alias(result))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -244,7 +244,8 @@ def redact(docs: DataFrame) -> DataFrame:
     ``n_chars``, if there, is that of the new text. All other columns are unchanged.
     """
     columns = docs.columns
-    found = find(docs, columns)
+    spans = free_name("found", columns)
+    found = find(docs, columns, spans)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def merge(acc, s):
@@ -254,20 +255,20 @@ def redact(docs: DataFrame) -> DataFrame:
         joins = (F.size(acc) > 0) & (s["start"] < last["end"])
         return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(wider))).otherwise(F.concat(acc, F.array(own)))
 
-    merged = F.aggregate("found", F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)"), merge)
+    merged = F.aggregate(spans, F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)"), merge)
 
-    def rebuilt(spans):
-        n = F.size(spans)
+    def rebuilt(runs):
+        n = F.size(runs)
 
         def part(s, i):
-            before = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(spans, i - 1)["end"])
+            before = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(runs, i - 1)["end"])
             return F.concat(F.substring(F.col("text"), (before + 1).cast("int"), (s["start"] - before).cast("int")), F.get(names, s["kind"]))
 
-        tail = F.substring(F.col("text"), (F.get(spans, n - 1)["end"] + 1).cast("int"), F.length("text"))
-        return F.concat(F.array_join(F.transform(spans, part), ""), tail)
+        tail = F.substring(F.col("text"), (F.get(runs, n - 1)["end"] + 1).cast("int"), F.length("text"))
+        return F.concat(F.array_join(F.transform(runs, part), ""), tail)
 
-    text = F.when(F.size("found") == 0, F.col("text")).otherwise(let(merged, rebuilt))
-    out = found.withColumn("text", text).drop("found")
+    text = F.when(F.size(spans) == 0, F.col("text")).otherwise(let(merged, rebuilt))
+    out = found.withColumn("text", text).drop(spans)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*[F.col(f"`{c}`") for c in columns])

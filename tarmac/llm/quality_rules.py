@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialise
+from .common import free_name, let, materialise
 
 BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -223,26 +223,27 @@ def verdict(rules: list[Rule], stats: Column) -> Column:
     return chain.otherwise(True)
 
 
-def judge(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns of every row of ``docs``, ``stats`` and ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, labels: DataFrame, columns: list[str], results: tuple[str, str, str] = ("stats", "base_failed", "kept")) -> DataFrame:
+    """The named columns of every row of ``docs``, with its statistics, base verdict and verdict.
 
-    ``labels`` has ``doc_id`` and ``quality`` (0 bad, 1 good; others and nulls are not learned from).
-    Null texts are empty and fail the base rules. Repeated rows are judged one by one and alike. A
-    column of ``docs`` that is called as one of the three results is left out; others of any name
-    pass. With no labelled rows the base rules alone decide; an empty table gives an empty one.
+    ``results`` names the three; a column of ``docs`` of such a name is left out, others of any name
+    pass. ``labels`` has ``doc_id`` and ``quality`` (0 bad, 1 good; others and nulls are not learned
+    from). Null texts are empty and fail the base rules. Repeated rows are judged one by one and alike.
+    With no labelled rows the base rules alone decide; an empty table gives an empty one.
     """
-    kept_columns = [c for c in columns if c not in ("stats", "base_failed", "kept")]
-    scored = docs.select(*[F.col(f"`{c}`") for c in kept_columns], text_statistics(F.col("text")).alias("stats"))
-    scored = materialise(scored, "statistics")
+    stats, base, kept = results
+    passed = [F.col(f"`{c}`") for c in columns if c not in results]
+    scored = materialise(docs.select(*passed, text_statistics(F.col("text")).alias(stats)), "statistics")
     known = labels.where("quality in (0, 1)").select("doc_id", (1 - F.col("quality")).cast("long").alias("bad"))
-    rows = scored.select("doc_id", "stats").join(known, "doc_id").where(~base_failed(F.col("stats")))
+    rows = scored.select("doc_id", F.col(stats).alias("stats")).join(known, "doc_id").where(~base_failed(F.col("stats")))
     rows = rows.select("stats", "bad", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"))
     rules = learn(rows)
-    failed = base_failed(F.col("stats"))
-    return scored.select("*", failed.alias("base_failed"), (~failed & verdict(rules, F.col("stats"))).alias("kept"))
+    failed = base_failed(F.col(stats))
+    return scored.select("*", failed.alias(base), (~failed & verdict(rules, F.col(stats))).alias(kept))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
     columns = docs.columns
-    return judge(docs, labels, columns).where("kept").select(*[F.col(f"`{c}`") for c in columns])
+    names = tuple(free_name(n, columns) for n in ("stats", "base_failed", "kept"))
+    return judge(docs, labels, columns, names).where(F.col(names[2])).select(*[F.col(f"`{c}`") for c in columns])
