@@ -29,7 +29,7 @@ PIECE = 28
 REACH = LENGTH - PIECE
 SHARD_BYTES = 1 << 20
 
-ANCHORS = "ah long, ch long, doc_id long, pos long, lo int, hi int"
+ANCHORS = "ah long, ch long, doc_id long, pos long, lo int, hi int, own long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -71,14 +71,31 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, at - offsets[row], h[at].view(np.int64), around.view(np.int64), lo, hi
 
 
+def later_copies(ah: np.ndarray, ch: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which rows have the same surroundings as a row before them in the order of documents."""
+    _, back, count = np.unique(ch, return_inverse=True, return_counts=True)
+    at = np.flatnonzero(count[back] > 1)
+    at = at[np.lexsort((pos[at], doc[at], ah[at], ch[at]))]
+    late = np.zeros(len(ch), bool)
+    if len(at):
+        turn = np.r_[True, (ch[at][1:] != ch[at][:-1]) | (ah[at][1:] != ah[at][:-1])]
+        first = at[np.maximum.accumulate(np.where(turn, np.arange(len(at)), 0))]
+        late[at] = (doc[first] != doc[at]) | (pos[first] != pos[at])
+    return late
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors; those known here as repeats have their document in ``own``, so that they needn't meet
+    the others of their anchor."""
     for batch in batches:
         ids = batch.column("doc_id")
         for lo, _, raw, offsets in tx.chunks(batch.column("text")):
             row, pos, ah, ch, left, right = anchors(raw, offsets)
             if len(row):
-                columns = [pa.array(ah), pa.array(ch), ids.take(pa.array(row + lo)), pa.array(pos), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["ah", "ch", "doc_id", "pos", "lo", "hi"])
+                doc = ids.take(pa.array(row + lo)).to_numpy()
+                own = pa.array(doc, mask=~later_copies(ah, ch, doc, pos))
+                columns = [pa.array(ah), pa.array(ch), pa.array(doc), pa.array(pos), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), own]
+                yield pa.RecordBatch.from_arrays(columns, ["ah", "ch", "doc_id", "pos", "lo", "hi", "own"])
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -98,20 +115,18 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     rank[sa] = np.repeat(head, np.diff(np.append(head, n)))
     rank[n] = -1
     h = lead
-    while h < depth:
-        own = rank[sa]
-        same = np.r_[own[1:] == own[:-1], False]
-        active = np.flatnonzero(same | np.r_[False, same[:-1]])
-        if not len(active):
-            break
+    active = np.flatnonzero(np.repeat(np.diff(np.append(head, n)) > 1, np.diff(np.append(head, n))))
+    while h < depth and len(active):
         sub = sa[active]
-        first, second = rank[sub], rank[np.minimum(sub + h, n)]
-        order = np.lexsort((second, first))
-        sub, first, second = sub[order], first[order], second[order]
+        # The ranks of both halves as one number.
+        pair = rank[sub] * (n + 1) + rank[np.minimum(sub + h, n)] + 1
+        order = np.argsort(pair)
+        sub, pair = sub[order], pair[order]
         sa[active] = sub
-        turn = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])]
+        turn = np.r_[True, pair[1:] != pair[:-1]]
         # A group keeps the place of its first suffix as its rank.
         rank[sub] = active[np.maximum.accumulate(np.where(turn, np.arange(len(sub)), 0))]
+        active = active[~(turn & np.r_[turn[1:], True])]
         h *= 2
     return sa
 
@@ -127,7 +142,7 @@ def common_prefixes(raw: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     follow[sa[:-1]] = sa[1:]
     padded = np.concatenate((raw.astype(np.int64), -np.arange(1, limit + 2)))
     lcp = np.zeros(n, np.int64)
-    block = 16
+    block = 32
     for k in range(block):
         i = np.arange(k, n, block)
         i = i[follow[i] < n]
@@ -136,9 +151,9 @@ def common_prefixes(raw: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
             got[follow[i - 1] >= n] = 0
         live = np.flatnonzero(got < limit)
         while len(live):
-            x, y = i[live] + got[live], follow[i[live]] + got[live]
-            more = (np.maximum(x, y) < n) & (padded[np.minimum(x, n)] == padded[np.minimum(y, n)])
-            live = live[more]
+            # Beyond the end no two numbers are alike.
+            have = got[live]
+            live = live[padded[i[live] + have] == padded[follow[i[live]] + have]]
             got[live] += 1
             live = live[got[live] < limit]
         lcp[i] = got
@@ -147,11 +162,11 @@ def common_prefixes(raw: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     return out
 
 
-def repeated(parts: list[bytes], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated(parts: list[bytes], doc: np.ndarray, start: np.ndarray, lone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of all strings of ``LENGTH`` bytes in the parts: document, start, and group of equal ones.
 
     ``doc`` and ``start`` tell where each part begins. Groups are numbered; strings come by group and
-    within it in the order of documents.
+    within it in the order of documents. Strings that have no equal are told only if ``lone``.
     """
     sizes = np.array([len(p) for p in parts])
     raw = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
@@ -161,9 +176,11 @@ def repeated(parts: list[bytes], doc: np.ndarray, start: np.ndarray) -> tuple[np
     # All suffixes differ by the end of their part, so the order is whole, as Kasai's bound needs.
     sa = suffix_array(codes, int(sizes.max()) + 1)
     lcp = common_prefixes(codes, sa, LENGTH)
-    part = np.searchsorted(ends, sa, "left")
-    valid = sa + LENGTH <= ends[np.minimum(part, len(parts) - 1)]
+    part = np.repeat(np.arange(len(parts)), sizes + 1)[sa]
+    valid = sa + LENGTH <= ends[part]
     group = np.cumsum(np.r_[True, lcp[:-1] < LENGTH])
+    if not lone:
+        valid &= np.bincount(group)[group] > 1
     sa, part, group = sa[valid], part[valid], group[valid]
     first = ends - sizes
     where = start[part] + sa - first[part]
@@ -207,7 +224,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not rows:
             return
         doc, start = np.array([r[2] for r in rows]), np.array([r[3] - r[4] for r in rows])
-        d, s, g = repeated([r[1] for r in rows], doc, start)
+        d, s, g = repeated([r[1] for r in rows], doc, start, spread)
         if not len(d):
             return
         head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
@@ -296,14 +313,21 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PLACED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, covered array<struct<a:bigint,b:bigint>>, ah long, around binary, pos long, lo int"
 
 
-def cut(text: bytes, runs: np.ndarray) -> tuple[int, int, str]:
-    """Removed bytes, removed runs and hash of the rest, for (start, end) rows in any order."""
+def joined(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the maximal runs that (start, end) rows in any order cover."""
     if not len(runs):
-        return 0, 0, hashlib.sha256(text).hexdigest()
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     runs = runs[np.argsort(runs[:, 0], kind="stable")]
     reach = np.maximum.accumulate(runs[:, 1])
     turn = np.flatnonzero(np.r_[True, runs[1:, 0] > reach[:-1]])
-    a, b = runs[turn, 0], reach[np.append(turn[1:] - 1, len(runs) - 1)]
+    return runs[turn, 0], reach[np.append(turn[1:] - 1, len(runs) - 1)]
+
+
+def cut(text: bytes, runs: np.ndarray) -> tuple[int, int, str]:
+    """Removed bytes, removed runs and hash of the rest, for (start, end) rows in any order."""
+    if not len(runs):
+        return 0, 0, hashlib.sha256(text).hexdigest()
+    a, b = joined(runs)
     digest, at = hashlib.sha256(), 0
     for x, y in zip(a.tolist(), b.tolist(), strict=True):
         digest.update(text[at:x])
@@ -317,23 +341,37 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string())]
         + [("covered", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("ah", pa.int64()), ("around", pa.binary()), ("pos", pa.int64()), ("lo", pa.int32())]
     )
-    names = schema.names
+
+    def filled(columns: dict, size: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
     for batch in batches:
         for lo in range(0, batch.num_rows, 200):
-            rows = []
-            for r in batch.slice(lo, 200).to_pylist():
-                text = r["text"] or ""
-                raw = text.encode()
-                marks = r["marks"] or []
-                covered = [(m["pos"] - m["lo"], m["pos"] + m["hi"]) for m in marks if m["covered"] and m["lo"] + m["hi"] >= LENGTH]
-                open_ = [m for m in marks if not m["covered"]]
-                if open_:
-                    rows.append({"doc_id": r["doc_id"], "n_bytes": len(raw), "text": text, "covered": [{"a": a, "b": b} for a, b in covered]})
-                    rows += [{"doc_id": r["doc_id"], "ah": m["ah"], "around": raw[m["pos"] - m["lo"] : m["pos"] + m["hi"]], "pos": m["pos"], "lo": m["lo"]} for m in open_]
+            part = batch.slice(lo, 200)
+            sizes = np.array(part.column("marks").value_lengths().fill_null(0).to_pylist())
+            ends = np.cumsum(sizes)
+            flat = part.column("marks").flatten()
+            pos, ah, left, right, covered = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "ah", "lo", "hi", "covered"))
+            whole = covered & (left + right >= LENGTH)
+            done, pending, open_ = [], [], []
+            for doc, text, a, b in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), ends - sizes, ends, strict=True):
+                raw = (text or "").encode()
+                at = a + np.flatnonzero(whole[a:b])
+                runs = np.stack((pos[at] - left[at], pos[at] + right[at]), axis=1)
+                rest = a + np.flatnonzero(~covered[a:b])
+                if len(rest):
+                    pending.append((doc, len(raw), text, [{"a": x, "b": y} for x, y in zip(*(c.tolist() for c in joined(runs)), strict=True)]))
+                    begin, stop = (pos[rest] - left[rest]).tolist(), (pos[rest] + right[rest]).tolist()
+                    open_ += [(doc, raw[x:y], k) for x, y, k in zip(begin, stop, rest.tolist(), strict=True)]
                 else:
-                    removed, spans, sha = cut(raw, np.array(covered, np.int64).reshape(-1, 2))
-                    rows.append({"doc_id": r["doc_id"], "n_bytes": len(raw), "n_removed": removed, "n_spans": spans, "kept_sha256": sha})
-            yield pa.RecordBatch.from_pylist([{k: x.get(k) for k in names} for x in rows], schema=schema)
+                    done.append((doc, len(raw), *cut(raw, runs)))
+            if done:
+                yield filled(dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), zip(*done, strict=True), strict=True)), len(done))
+            if pending:
+                yield filled(dict(zip(("doc_id", "n_bytes", "text", "covered"), zip(*pending, strict=True), strict=True)), len(pending))
+                ids, around, k = zip(*open_, strict=True)
+                at = np.array(k)
+                yield filled({"doc_id": ids, "ah": ah[at], "around": around, "pos": pos[at], "lo": left[at]}, len(open_))
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,11 +397,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     width = shuffle_width(docs.sparkSession)
-    found = docs.where("doc_id is not null").mapInArrow(_anchored, ANCHORS).repartition(2 * width, "ah")
-    same = Window.partitionBy("ah", "ch").orderBy("doc_id", "pos")
-    of_anchor = Window.partitionBy("ah")
+    found = docs.where("doc_id is not null").mapInArrow(_anchored, ANCHORS).repartition(2 * width, "ah", "own")
+    same = Window.partitionBy("ah", "own", "ch").orderBy("doc_id", "pos")
+    of_anchor = Window.partitionBy("ah", "own")
     found = found.withColumn("rank", F.rank().over(same)).withColumns({"low": F.min("ch").over(of_anchor), "high": F.max("ch").over(of_anchor)})
-    marks = found.where("rank > 1 or low <> high").select("doc_id", F.struct("pos", "ah", "lo", "hi", (F.col("rank") > 1).alias("covered")).alias("mark"))
+    covered = F.col("own").isNotNull() | (F.col("rank") > 1)
+    marks = found.where(covered | F.expr("low <> high")).select("doc_id", F.struct("pos", "ah", "lo", "hi", covered.alias("covered")).alias("mark"))
     marks = materialise(marks.distinct(), "anchors").groupBy("doc_id").agg(F.collect_list("mark").alias("marks"))
     placed = materialise(docs.join(marks, "doc_id", "left").mapInArrow(_place, PLACED), "placed")
     around = placed.where("around is not null").select("ah", "around", "doc_id", "pos", "lo").distinct()
