@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import spread
-
 AIRPORTS = (
     "ATL BOS DEN DFW ORD EWR PHX BWI MDW BNA LAX SFO SEA LAS MCO MIA CLT MSP DTW SLC SAN AUS HNL JFK ZZZ"
 ).split()
@@ -18,12 +16,8 @@ CARRIERS = ["AF", "AO", "NF", "NO", "RF", "RO"]
 HUBS = ["ATL", "ORD", "LAX"]
 
 
-BIG = {"lineitem", "orders", "events", "documents"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread(df) if name in BIG else df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def _list(values: list[str]) -> str:
@@ -88,9 +82,15 @@ FLIGHTS = (
 _TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 
 
+def _zone_hours(airport: str) -> str:
+    """Hours from an airport's clock to UTC; the airports of the legs lie in four zones."""
+    arms = " ".join(f"WHEN '{v}' THEN {5 + i % 4}" for i, v in enumerate(_TYPES))
+    return f"CASE {airport} {arms} ELSE 5 END"
+
+
 def legs(spark: SparkSession, sf: str) -> DataFrame:
     """Events as aircraft legs with a unique id, in whole minutes."""
-    types = f"array({_list(_TYPES)})"
+    dest = f"element_at(array({_list(_TYPES)}), cast((event_id * 7 + user_id) % 5 as int) + 1)"
     e = table(spark, sf, "events")
     dep = F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz")
     return e.select(
@@ -100,9 +100,11 @@ def legs(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("'C' || user_id % 4").alias("Reporting_Airline"),
         F.expr("user_id % 25").alias("Flight_Number_Reporting_Airline"),
         F.upper("event_type").alias("Origin"),
-        F.expr(f"element_at({types}, cast((event_id * 7 + user_id) % 5 as int) + 1)").alias("Dest"),
+        F.expr(dest).alias("Dest"),
         dep.alias("dep_dt_local"),
         (dep + F.expr("make_dt_interval(0, 0, cast(30 + event_id % 90 as int), 0)")).alias("arr_dt_local"),
+        (dep + F.expr(f"make_dt_interval(0, {_zone_hours('upper(event_type)')}, 0, 0)")).alias("dep_utc"),
+        (dep + F.expr(f"make_dt_interval(0, {_zone_hours(dest)}, cast(30 + event_id % 90 as int), 0)")).alias("arr_utc"),
         F.expr("CASE WHEN event_id % 41 = 0 THEN NULL ELSE floor(value) END").cast("double").alias("DepDelayMinutes"),
         (F.hour(dep) * 100 + F.minute(dep)).alias("CRSDepTime"),
         F.expr("CAST(100 + event_id % 60 * 30 AS DOUBLE)").alias("Distance"),
@@ -110,12 +112,15 @@ def legs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_DEST_SQL = f"([{_list(_TYPES)}])[CAST((event_id * 7 + user_id) % 5 AS INT) + 1]"
 LEGS = (
     "SELECT event_id AS leg_id, CAST(ts AS DATE) AS FlightDate, 'T' || user_id AS Tail_Number, "
     "'C' || user_id % 4 AS Reporting_Airline, user_id % 25 AS Flight_Number_Reporting_Airline, "
     f"upper(event_type) AS Origin, ([{_list(_TYPES)}])[CAST((event_id * 7 + user_id) % 5 AS INT) + 1] AS Dest, "
     "date_trunc('minute', ts) AS dep_dt_local, "
     "date_trunc('minute', ts) + to_minutes(CAST(30 + event_id % 90 AS INT)) AS arr_dt_local, "
+    f"date_trunc('minute', ts) + to_hours({_zone_hours('upper(event_type)')}) AS dep_utc, "
+    f"date_trunc('minute', ts) + to_minutes(CAST(30 + event_id % 90 AS INT)) + to_hours({_zone_hours(_DEST_SQL)}) AS arr_utc, "
     "CASE WHEN event_id % 41 = 0 THEN NULL ELSE floor(value) END AS DepDelayMinutes, "
     "CAST(extract('hour' FROM ts) * 100 + extract('minute' FROM ts) AS INT) AS CRSDepTime, "
     "CAST(100 + event_id % 60 * 30 AS DOUBLE) AS Distance, "

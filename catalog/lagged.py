@@ -649,8 +649,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         "legs",
         f"SELECT leg_id, {rr(['prior_leg_depdelay_mean_last7', 'prior_leg_depdelay_mean_last14'])}, CAST(leg = 1 AS INT) AS is_first_leg_of_day FROM n "
         "LEFT JOIN s USING (Reporting_Airline, Flight_Number_Reporting_Airline, Origin, FlightDate)",
-        n="SELECT *, row_number() OVER (PARTITION BY Tail_Number, CAST(dep_dt_local AS DATE) ORDER BY dep_dt_local, leg_id) AS leg FROM legs",
-        q="SELECT *, lag(DepDelayMinutes) OVER w AS pd, lag(Dest) OVER w AS pdest FROM legs WINDOW w AS (PARTITION BY Tail_Number, FlightDate ORDER BY dep_dt_local, leg_id)",
+        n="SELECT *, row_number() OVER (PARTITION BY Tail_Number, CAST(dep_dt_local AS DATE) ORDER BY dep_utc, leg_id) AS leg FROM legs",
+        q="SELECT *, lag(DepDelayMinutes) OVER w AS pd, lag(Dest) OVER w AS pdest FROM legs WINDOW w AS (PARTITION BY Tail_Number, FlightDate ORDER BY dep_utc, leg_id)",
         d="SELECT Reporting_Airline, Flight_Number_Reporting_Airline, Origin, FlightDate, avg(pd) AS v FROM q WHERE pdest = Origin AND pd IS NOT NULL GROUP BY ALL",
         s=f"SELECT Reporting_Airline, Flight_Number_Reporting_Airline, Origin, FlightDate, {means([CARRIER, FLIGHT_NUM, ORIGIN], {'prior_leg_depdelay_mean': 'v'}, (7, 14))} FROM d",
     ),

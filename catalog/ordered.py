@@ -111,7 +111,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     "W16",
     b.sql(
         "legs",
-        "SELECT leg_id, CAST(row_number() OVER (PARTITION BY Tail_Number, CAST(dep_dt_local AS DATE) ORDER BY dep_dt_local, leg_id) AS INT) AS tail_leg_num_day FROM legs",
+        "SELECT leg_id, CAST(row_number() OVER (PARTITION BY Tail_Number, CAST(dep_dt_local AS DATE) ORDER BY dep_utc, leg_id) AS INT) AS tail_leg_num_day FROM legs",
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +123,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     "W17",
     b.sql(
         "legs",
-        "SELECT leg_id, round(date_diff('minute', min(dep_dt_local) OVER (PARTITION BY Reporting_Airline, Flight_Number_Reporting_Airline, CAST(dep_dt_local AS DATE)), dep_dt_local) / 60, 6) + 0.0 "
+        "SELECT leg_id, round(date_diff('minute', min(dep_utc) OVER (PARTITION BY Reporting_Airline, Flight_Number_Reporting_Airline, CAST(dep_dt_local AS DATE)), dep_utc) / 60, 6) + 0.0 "
         "AS flightnum_hours_since_first_departure_today FROM legs",
     ),
 )
@@ -133,7 +133,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lagged(keys: str) -> str:
     return (
-        f"SELECT *, lag(arr_dt_local) OVER w AS p_arr, lag(Dest) OVER w AS p_dest FROM legs WINDOW w AS (PARTITION BY {keys} ORDER BY dep_dt_local, leg_id)"
+        f"SELECT *, lag(arr_utc) OVER w AS p_arr, lag(Dest) OVER w AS p_dest FROM legs WINDOW w AS (PARTITION BY {keys} ORDER BY dep_utc, leg_id)"
     )
 
 
@@ -142,7 +142,7 @@ def _lagged(keys: str) -> str:
     "W18",
     b.sql(
         "legs",
-        "SELECT leg_id, CAST(coalesce(p_dest = Origin AND date_diff('minute', p_arr, dep_dt_local) BETWEEN 0 AND 300, false) AS INT) AS has_recent_arrival_turn_5h FROM q",
+        "SELECT leg_id, CAST(coalesce(p_dest = Origin AND date_diff('minute', p_arr, dep_utc) BETWEEN 0 AND 300, false) AS INT) AS has_recent_arrival_turn_5h FROM q",
         q=_lagged("Tail_Number"),
     ),
 )
@@ -150,7 +150,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return ordered.recent_arrival(_legs(spark, sf), TIES).select("leg_id", "has_recent_arrival_turn_5h")
 
 
-_TURN = "CASE WHEN p_dest = Origin THEN greatest(0, least(48, date_diff('minute', p_arr, dep_dt_local) / 60)) END"
+_TURN = "CASE WHEN p_dest = Origin THEN greatest(0, least(48, date_diff('minute', p_arr, dep_utc) / 60)) END"
 
 
 @query(

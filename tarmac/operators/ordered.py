@@ -1,9 +1,10 @@
 """Operators that need the order of an aircraft's or a flight number's legs.
 
-A key is normally small (an aircraft flies a few legs a day) and one window per key is right. Sizes
-are measured first. If a key holds more than ``split_over`` rows, such as a placeholder tail number,
-it is cut into minutes: the window then runs inside a minute, and what crosses from one minute to the
-next is carried by a small table with one row per minute of such a key.
+Legs are ordered and timed by instants, since a leg's two airports may lie in different zones; the
+local clock only says which day a leg belongs to. A key's rows are cut into segments of time. A window
+runs inside a segment, and what crosses from one segment to the next is carried by a small table with
+one row per key and segment, so a placeholder tail number holds no more than a segment in one task.
+Rows that lack a part of their key have no neighbours and no position.
 """
 
 from __future__ import annotations
@@ -13,29 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parse import minute_of
-from ..session import materialise
 from .joins import attach
 
 DATE = "FlightDate"
 CARRIER, FLIGHT_NUM = "Reporting_Airline", "Flight_Number_Reporting_Airline"
 ORIGIN, DEST, TAIL = "Origin", "Dest", "Tail_Number"
-SPLIT_OVER = 1_000_000
+DEP, ARR = "dep_utc", "arr_utc"
+SEGMENT = "hour"
 _SEG = "_segment"
 
 
-def _large_keys(df: DataFrame, keys: Sequence[str], split_over: int) -> DataFrame | None:
-    """Keys with too many rows for one task, or None; at most (rows / split_over) of them exist."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.filter(F.col("_size") > split_over).select(*keys, F.lit(True).alias("_large"))
-    return None if large.isEmpty() else large
-
-
-def _segments(df: DataFrame, keys: Sequence[str], time: str, large: DataFrame) -> DataFrame:
-    """Adds the minute for rows of oversized keys, and NULL for all others."""
-    return df.join(large, list(keys), "left").withColumn(
-        _SEG, F.when(F.col("_large"), minute_of(time))
-    ).drop("_large")
+def _keyed(keys: Sequence[str]) -> Column:
+    held = F.lit(True)
+    for k in keys:
+        held = held & F.col(k).isNotNull()
+    return held
 
 
 def previous(
@@ -44,7 +37,7 @@ def previous(
     time: str,
     ties: Sequence[str],
     carry: dict[str, str],
-    split_over: int = SPLIT_OVER,
+    segment: str = SEGMENT,
 ) -> DataFrame:
     """Values of the previous row of the key; ``carry`` maps a new name to the column it repeats.
 
@@ -52,25 +45,15 @@ def previous(
     """
     order = [time, *ties]
     packed = F.struct(*[F.col(c).alias(n) for n, c in carry.items()])
-    large = _large_keys(df, keys, split_over)
-    if large is None:
-        before = F.lag(packed).over(Window.partitionBy(*keys).orderBy(*order))
-        joined, prior = df.withColumn("_before", before), F.col("_before")
-        return joined.select(*df.columns, *[prior[n].alias(n) for n in carry])
-    inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
-    cut = materialise(
-        _segments(df, keys, time, large).withColumn("_before", F.lag(packed).over(inside)), "segments"
-    )
-    ends = (
-        cut.filter(F.col(_SEG).isNotNull())
-        .groupBy(*keys, _SEG)
-        .agg(F.max_by(packed, F.struct(*order)).alias("_end"))
-    )
+    cut = df.withColumn(_SEG, F.date_trunc(segment, time))
+    ends = cut.filter(_keyed(keys)).groupBy(*keys, _SEG).agg(F.max_by(packed, F.struct(*order)).alias("_end"))
     carried = ends.select(
         *keys, _SEG, F.lag("_end").over(Window.partitionBy(*keys).orderBy(_SEG)).alias("_carried")
     )
-    prior = F.coalesce("_before", "_carried")
-    return attach(cut, carried, [*keys, _SEG]).select(*df.columns, *[prior[n].alias(n) for n in carry])
+    inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
+    placed = attach(cut.withColumn("_before", F.lag(packed).over(inside)), carried, [*keys, _SEG])
+    prior = F.when(_keyed(keys), F.coalesce("_before", "_carried"))
+    return placed.select(*df.columns, *[prior[n].alias(n) for n in carry])
 
 
 def position(
@@ -79,22 +62,17 @@ def position(
     time: str,
     ties: Sequence[str],
     out: str,
-    split_over: int = SPLIT_OVER,
+    segment: str = SEGMENT,
 ) -> DataFrame:
     """Number of the row within its key, from 1."""
-    order = [time, *ties]
-    large = _large_keys(df, keys, split_over)
-    if large is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    inside = Window.partitionBy(*keys, _SEG).orderBy(*order)
-    cut = materialise(
-        _segments(df, keys, time, large).withColumn("_n", F.row_number().over(inside)), "segments"
-    )
-    sizes = cut.filter(F.col(_SEG).isNotNull()).groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("_rows"))
+    cut = df.withColumn(_SEG, F.date_trunc(segment, time))
+    sizes = cut.filter(_keyed(keys)).groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, _SEG, F.sum("_rows").over(earlier).alias("_offset"))
-    joined = attach(cut, offsets, [*keys, _SEG])
-    return joined.select(*df.columns, (F.col("_n") + F.coalesce("_offset", F.lit(0))).cast("int").alias(out))
+    inside = Window.partitionBy(*keys, _SEG).orderBy(time, *ties)
+    joined = attach(cut.withColumn("_n", F.row_number().over(inside)), offsets, [*keys, _SEG])
+    number = F.col("_n") + F.coalesce("_offset", F.lit(0))
+    return joined.select(*df.columns, F.when(_keyed(keys), number).cast("bigint").alias(out))
 
 
 def _where(df: DataFrame, held: Column, made: DataFrame) -> DataFrame:
@@ -102,11 +80,12 @@ def _where(df: DataFrame, held: Column, made: DataFrame) -> DataFrame:
     return made.unionByName(df.filter(~F.coalesce(held, F.lit(False))), allowMissingColumns=True)
 
 
-def tail_leg_number(df: DataFrame, ties: Sequence[str], split_over: int = SPLIT_OVER) -> DataFrame:
+def tail_leg_number(df: DataFrame, ties: Sequence[str], segment: str = SEGMENT) -> DataFrame:
     """Leg of the day per aircraft; NULL without a tail number or a departure time."""
-    held = F.col(TAIL).isNotNull() & F.col("dep_dt_local").isNotNull()
+    held = F.col(TAIL).isNotNull() & F.col("dep_dt_local").isNotNull() & F.col(DEP).isNotNull()
     keyed = df.filter(held).withColumn("_d", F.col("dep_dt_local").cast("date"))
-    made = position(keyed, [TAIL, "_d"], "dep_dt_local", ties, "tail_leg_num_day", split_over)
+    made = position(keyed, [TAIL, "_d"], DEP, ties, "tail_leg_num_day", segment)
+    made = made.withColumn("tail_leg_num_day", F.col("tail_leg_num_day").cast("int"))
     return _where(df, held, made.drop("_d"))
 
 
@@ -116,10 +95,10 @@ def hours_since_first(df: DataFrame) -> DataFrame:
     first = (
         df.filter(F.col("dep_dt_local").isNotNull() & F.col(FLIGHT_NUM).isNotNull())
         .groupBy(CARRIER, FLIGHT_NUM, day.alias("_d"))
-        .agg(F.min("dep_dt_local").alias("_first"))
+        .agg(F.min(DEP).alias("_first"))
     )
     joined = attach(df.withColumn("_d", day), first, [CARRIER, FLIGHT_NUM, "_d"])
-    hours = _seconds("dep_dt_local", "_first") / 3600.0
+    hours = _seconds(DEP, "_first") / 3600.0
     return joined.withColumn("flightnum_hours_since_first_departure_today", hours).drop("_d", "_first")
 
 
@@ -128,14 +107,12 @@ def _seconds(late: str, early: str) -> Column:
 
 
 def recent_arrival(
-    df: DataFrame, ties: Sequence[str], hours: float = 5.0, split_over: int = SPLIT_OVER
+    df: DataFrame, ties: Sequence[str], hours: float = 5.0, segment: str = SEGMENT
 ) -> DataFrame:
     """1 when the aircraft's previous leg arrived at this airport within the last 5 hours."""
-    held = F.col(TAIL).isNotNull() & F.col("dep_dt_local").isNotNull()
-    made = previous(
-        df.filter(held), [TAIL], "dep_dt_local", ties, {"_arr": "arr_dt_local", "_dest": DEST}, split_over
-    )
-    gap = _seconds("dep_dt_local", "_arr") / 3600.0
+    held = F.col(TAIL).isNotNull() & F.col(DEP).isNotNull()
+    made = previous(df.filter(held), [TAIL], DEP, ties, {"_arr": ARR, "_dest": DEST}, segment)
+    gap = _seconds(DEP, "_arr") / 3600.0
     near = (F.col("_dest") == F.col(ORIGIN)) & gap.between(0.0, hours)
     name = "has_recent_arrival_turn_5h"
     made = made.withColumn(name, F.coalesce(near, F.lit(False)).cast("int")).drop("_arr", "_dest")
@@ -146,16 +123,12 @@ def turn_time(
     df: DataFrame,
     ties: Sequence[str],
     keys: Sequence[str] = (CARRIER, FLIGHT_NUM),
-    split_over: int = SPLIT_OVER,
+    segment: str = SEGMENT,
 ) -> DataFrame:
     """Hours since the key's previous arrival here, between 0 and 48; NULL when it was elsewhere."""
-    held = F.col("dep_dt_local").isNotNull()
-    for k in keys:
-        held = held & F.col(k).isNotNull()
-    made = previous(
-        df.filter(held), keys, "dep_dt_local", ties, {"_arr": "arr_dt_local", "_dest": DEST}, split_over
-    )
-    hours = _seconds("dep_dt_local", "_arr") / 3600.0
+    held = F.col(DEP).isNotNull() & _keyed(keys)
+    made = previous(df.filter(held), keys, DEP, ties, {"_arr": ARR, "_dest": DEST}, segment)
+    hours = _seconds(DEP, "_arr") / 3600.0
     clipped = F.when(hours.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(48.0), hours)))
     made = made.withColumn("turn_time_hours", F.when(F.col("_dest") == F.col(ORIGIN), clipped))
     return _where(df, held, made.drop("_arr", "_dest"))
@@ -175,27 +148,27 @@ def tail_cascade(df: DataFrame, tight_hours: float = 0.75) -> DataFrame:
     return attach(df, day, [TAIL, DATE]).withColumn("tail_has_tight_turn", tight)
 
 
-def prior_leg(hist: DataFrame, ties: Sequence[str], split_over: int = SPLIT_OVER) -> DataFrame:
+def prior_leg(hist: DataFrame, ties: Sequence[str], segment: str = SEGMENT) -> DataFrame:
     """History with the delay of the same aircraft's previous leg that day, if it ended here."""
     kept = hist.filter(
-        F.col(TAIL).isNotNull() & F.col(DATE).isNotNull() & F.col("dep_dt_local").isNotNull()
+        F.col(TAIL).isNotNull() & F.col(DATE).isNotNull() & F.col(DEP).isNotNull()
     )
     made = previous(
-        kept, [TAIL, DATE], "dep_dt_local", ties, {"_delay": "DepDelayMinutes", "_dest": DEST}, split_over
+        kept, [TAIL, DATE], DEP, ties, {"_delay": "DepDelayMinutes", "_dest": DEST}, segment
     )
     linked = F.upper(F.col("_dest")) == F.upper(F.col(ORIGIN))
     return made.withColumn("prior_leg_depdelay", F.when(linked, F.col("_delay"))).drop("_delay", "_dest")
 
 
 def prior_leg_stats(
-    hist: DataFrame, ties: Sequence[str], windows: Sequence[int] = (7, 14), split_over: int = SPLIT_OVER
+    hist: DataFrame, ties: Sequence[str], windows: Sequence[int] = (7, 14), segment: str = SEGMENT
 ) -> DataFrame:
     """Rolling mean over observed days of the previous leg's delay, per flight number and origin."""
     from .daily import daily_mean
     from .lags import row_lags
 
     keys = [CARRIER, FLIGHT_NUM, ORIGIN]
-    daily = daily_mean(prior_leg(hist, ties, split_over), keys, "prior_leg_depdelay", "_v")
+    daily = daily_mean(prior_leg(hist, ties, segment), keys, "prior_leg_depdelay", "_v")
     return row_lags(daily, keys, {"prior_leg_depdelay_mean": "_v"}, windows)
 
 
@@ -204,20 +177,20 @@ def prior_leg_features(
     hist: DataFrame,
     ties: Sequence[str],
     windows: Sequence[int] = (7, 14),
-    split_over: int = SPLIT_OVER,
+    segment: str = SEGMENT,
 ) -> DataFrame:
     """First-leg flag, and how late the inbound leg of this flight number usually is."""
     leg = F.col("tail_leg_num_day") if "tail_leg_num_day" in fact.columns else F.lit(None).cast("int")
     out = fact.withColumn("is_first_leg_of_day", (leg == 1).cast("int"))
-    stats = prior_leg_stats(hist, ties, windows, split_over)
+    stats = prior_leg_stats(hist, ties, windows, segment)
     return attach(out, stats, [CARRIER, FLIGHT_NUM, ORIGIN, DATE])
 
 
 def previous_leg(
-    df: DataFrame, time: str, ties: Sequence[str], flag: str, minutes: str, split_over: int = SPLIT_OVER
+    df: DataFrame, time: str, ties: Sequence[str], flag: str, minutes: str, segment: str = SEGMENT
 ) -> DataFrame:
     """Delay flag and minutes of the aircraft's previous leg of the day."""
-    return previous(df, [TAIL, DATE], time, ties, {"prev_delayed": flag, "prev_delay_min": minutes}, split_over)
+    return previous(df, [TAIL, DATE], time, ties, {"prev_delayed": flag, "prev_delay_min": minutes}, segment)
 
 
 def cascade_daily(df: DataFrame, time: str, ties: Sequence[str], flag: str, minutes: str) -> DataFrame:
@@ -260,14 +233,14 @@ def row_rolling(
     out: str,
     rows: int = 7,
     block: int = 100_000,
-    split_over: int = SPLIT_OVER,
+    segment: str = SEGMENT,
 ) -> DataFrame:
     """Mean of the value over the last ``rows`` rows of the key, the row itself included.
 
     Rows are numbered, cut into blocks of consecutive numbers, and the last few rows of a block are
     repeated at the head of the next one, so a window never holds more than a block.
     """
-    placed = position(df.withColumn("_v", value), keys, time, ties, "_at", split_over)
+    placed = position(df.withColumn("_v", value), keys, time, ties, "_at", segment)
     number = F.floor((F.col("_at") - 1) / block)
     tail = (F.col("_at") - 1) % block >= block - (rows - 1)
     copies = F.array_compact(
@@ -277,5 +250,6 @@ def row_rolling(
         )
     )
     frame = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(-(rows - 1), 0)
-    spread = placed.select("*", F.inline(copies)).withColumn(out, F.avg("_v").over(frame))
+    mean = F.when(F.col("_at").isNotNull(), F.avg("_v").over(frame))
+    spread = placed.select("*", F.inline(copies)).withColumn(out, mean)
     return spread.filter("_own").select(*df.columns, out)

@@ -58,14 +58,3 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A table read from fewer splits than there are cores, dealt out to all of them.
-
-    A few large files would otherwise keep most cores idle up to the first shuffle. A table with
-    enough splits, as on a cluster, is returned as it is. Filters and column choices still reach the
-    scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -56,8 +56,10 @@ HISTORY_COLUMNS = [
     "CRSElapsedTime",
     "dep_dt_local",
     "dep_local_date",
+    "dep_utc",
     "arr_dt_local",
     "arr_local_date",
+    "arr_utc",
     "AirTime",
     "ActualElapsedTime",
     "WheelsOff",

@@ -15,6 +15,10 @@ from tarmac.operators import congestion, evaluate, history, joins, lags, ordered
 DAY0 = dt.date(2024, 1, 1)
 
 
+# Hours from the airports' clocks to UTC.
+ZONE = {"AAA": 5, "BBB": 6}
+
+
 def make_legs(spark, n=240, seed=1):
     """Legs with a hot tail, ties in time, nulls and day gaps."""
     rng = random.Random(seed)
@@ -24,6 +28,8 @@ def make_legs(spark, n=240, seed=1):
         day = rng.choice([0, 1, 2, 4, 5, 9])
         minute = rng.randrange(0, 1440, 5)
         dep = dt.datetime.combine(DAY0, dt.time()) + dt.timedelta(days=day, minutes=minute)
+        origin, dest = rng.choice(["AAA", "BBB"]), rng.choice(["AAA", "BBB"])
+        arr = dep + dt.timedelta(minutes=rng.choice([30, 60, 95]))
         rows.append(
             (
                 i,
@@ -31,16 +37,18 @@ def make_legs(spark, n=240, seed=1):
                 tail if i % 17 else None,
                 f"C{i % 2}",
                 i % 3,
-                rng.choice(["AAA", "BBB"]),
-                rng.choice(["AAA", "BBB"]),
+                origin,
+                dest,
                 dep,
-                dep + dt.timedelta(minutes=rng.choice([30, 60, 95])),
+                arr,
                 None if i % 13 == 0 else float(rng.randrange(0, 90)),
+                dep + dt.timedelta(hours=ZONE[origin]),
+                arr + dt.timedelta(hours=ZONE[dest]),
             )
         )
     schema = (
         "id int, FlightDate date, Tail_Number string, Reporting_Airline string, Flight_Number_Reporting_Airline int, Origin string, Dest string, "
-        "dep_dt_local timestamp_ntz, arr_dt_local timestamp_ntz, DepDelayMinutes double"
+        "dep_dt_local timestamp_ntz, arr_dt_local timestamp_ntz, DepDelayMinutes double, dep_utc timestamp_ntz, arr_utc timestamp_ntz"
     )
     return spark.createDataFrame(rows, schema), rows
 
@@ -106,20 +114,20 @@ def test_flight_history_against_brute_force(spark):
                 assert got.flightnum_od_low_support_last3d == int(len(seen) <= 2)
 
 
-@pytest.mark.parametrize("split_over", [5, 1_000_000])
-def test_ordered_operators_on_hot_keys(spark, split_over):
+@pytest.mark.parametrize("segment", ["minute", "hour", "year"])
+def test_ordered_operators_on_hot_keys(spark, segment):
     legs, rows = make_legs(spark)
-    legs_no = {r.id: r.tail_leg_num_day for r in ordered.tail_leg_number(legs, ["id"], split_over).collect()}
-    turns = {r.id: r.turn_time_hours for r in ordered.turn_time(legs, ["id"], ["Tail_Number"], split_over).collect()}
-    recent = {r.id: r.has_recent_arrival_turn_5h for r in ordered.recent_arrival(legs, ["id"], split_over=split_over).collect()}
+    legs_no = {r.id: r.tail_leg_num_day for r in ordered.tail_leg_number(legs, ["id"], segment).collect()}
+    turns = {r.id: r.turn_time_hours for r in ordered.turn_time(legs, ["id"], ["Tail_Number"], segment).collect()}
+    recent = {r.id: r.has_recent_arrival_turn_5h for r in ordered.recent_arrival(legs, ["id"], segment=segment).collect()}
     assert len(legs_no) == len(turns) == len(recent) == len(rows)
-    by_order = sorted((r for r in rows if r[2]), key=lambda r: (r[2], r[7], r[0]))
+    by_order = sorted((r for r in rows if r[2]), key=lambda r: (r[2], r[10], r[0]))
     last, count = {}, {}
     for r in by_order:
         count[(r[2], r[1])] = count.get((r[2], r[1]), 0) + 1
         assert legs_no[r[0]] == count[(r[2], r[1])]
         before = last.get(r[2])
-        gap = (r[7] - before[8]).total_seconds() / 3600 if before else None
+        gap = (r[10] - before[11]).total_seconds() / 3600 if before else None
         linked = before is not None and before[6] == r[5]
         assert turns[r[0]] == (pytest.approx(min(48.0, max(0.0, gap))) if linked else None)
         assert recent[r[0]] == int(linked and 0 <= gap <= 5)
@@ -127,10 +135,18 @@ def test_ordered_operators_on_hot_keys(spark, split_over):
     assert all(legs_no[r[0]] is None and recent[r[0]] == 0 for r in rows if not r[2])
 
 
-@pytest.mark.parametrize("block,split_over", [(10, 5), (100_000, 1_000_000)])
-def test_row_rolling_in_blocks(spark, block, split_over):
+def test_flight_number_in_two_zones(spark):
+    at = lambda h: dt.datetime.combine(DAY0, dt.time(h))
+    rows = [(1, "WN", 7, at(8), at(13)), (2, "WN", 7, at(10), at(16))]
+    legs = spark.createDataFrame(rows, "id int, Reporting_Airline string, Flight_Number_Reporting_Airline int, dep_dt_local timestamp_ntz, dep_utc timestamp_ntz")
+    got = {r.id: r.flightnum_hours_since_first_departure_today for r in ordered.hours_since_first(legs).collect()}
+    assert got == {1: 0.0, 2: 3.0}
+
+
+@pytest.mark.parametrize("block,segment", [(10, "minute"), (100_000, "hour")])
+def test_row_rolling_in_blocks(spark, block, segment):
     legs, rows = make_legs(spark)
-    made = ordered.row_rolling(legs, ["Origin"], "dep_dt_local", ["id"], F.col("id").cast("double"), "v", 7, block, split_over)
+    made = ordered.row_rolling(legs, ["Origin"], "dep_dt_local", ["id"], F.col("id").cast("double"), "v", 7, block, segment)
     got = {r.id: r.v for r in made.collect()}
     for origin in ("AAA", "BBB"):
         ids = [r[0] for r in sorted((r for r in rows if r[5] == origin), key=lambda r: (r[7], r[0]))]
