@@ -1,9 +1,11 @@
 """Exact samples and splits that do not depend on partitioning.
 
 Rows are ordered by a hash of their id. The n first rows of a class are those up to one cut value,
-which is found by counting hash prefixes (at most 65,536 counts per class) and ranking only the rows
-of the prefix in which the cut falls. Taking the sample is then a comparison with that value: no
-sort, no shuffle of the rows, and the complement is the same comparison negated.
+which is found by counting hash prefixes (at most 65,536 counts per class) and then counting the
+hashes of the prefix in which the cut falls. Taking the sample is then a comparison with that value:
+no sort, no shuffle of the rows, and the complement is the same comparison negated. Where rows share
+an id, as many of those at the cut are taken as are missing, in the order of a hash of all columns;
+only these rows are numbered.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ def class_sizes(df: DataFrame, cls: Column) -> DataFrame:
 def cut_values(
     df: DataFrame, cls: Column, ids: Sequence[str], seed: int, takes: DataFrame, names: Sequence[str]
 ) -> DataFrame:
-    """Per class, the hash of the row at each position.
+    """Per class and name, the hash of the row at that position and how many rows of this hash are in.
 
     ``takes`` holds ``_class`` and one count per name. A count of 0 gives NULL, and a count of at
     least the class size the last hash.
@@ -55,19 +57,44 @@ def cut_values(
         .filter((F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_upto")))
         .select(_K, _P, "_cut", (F.col("_take") - F.col("_before")).alias("_rank"))
     )
-    ranked = hashed.join(edges.select(_K, _P).distinct(), [_K, _P], "left_semi").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(_K, _P).orderBy(_H))
+    upto = F.sum("_copies").over(Window.partitionBy(_K, _P).orderBy(_H))
+    tallied = (
+        hashed.join(edges.select(_K, _P).distinct(), [_K, _P], "left_semi")
+        .groupBy(_K, _P, _H)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_last", upto)
     )
-    found = ranked.join(edges, [_K, _P, "_rank"])
-    return found.groupBy(_K).agg(*[F.max(F.when(F.col("_cut") == n, F.col(_H))).alias(n) for n in names])
+    before = F.col("_last") - F.col("_copies")
+    found = tallied.join(edges, [_K, _P]).filter((before < F.col("_rank")) & (F.col("_rank") <= F.col("_last")))
+    cut = F.struct(F.col(_H).alias("hash"), (F.col("_rank") - before).alias("need"))
+    return found.groupBy(_K).agg(*[F.max(F.when(F.col("_cut") == n, cut)).alias(n) for n in names])
+
+
+def _within(
+    df: DataFrame, cls: Column, ids: Sequence[str], seed: int, takes: DataFrame, names: Sequence[str]
+) -> DataFrame:
+    """``df`` with one boolean per name: whether the row is among the first so many of its class."""
+    cuts = cut_values(df, cls, ids, seed, takes, names)
+    joined = _hashed(df, cls, ids, seed).join(cuts, [_K], "left")
+    at_cut = F.lit(False)
+    for n in names:
+        at_cut = at_cut | F.coalesce(F.col(_H) == F.col(n)["hash"], F.lit(False))
+    copies = Window.partitionBy(_K, _H).orderBy(F.xxhash64(*df.columns))
+    numbered = joined.filter(at_cut).withColumn("_copy", F.row_number().over(copies))
+    rows = numbered.unionByName(joined.filter(~at_cut).withColumn("_copy", F.lit(0)))
+    held = {
+        n: F.coalesce(
+            (F.col(_H) < F.col(n)["hash"]) | ((F.col(_H) == F.col(n)["hash"]) & (F.col("_copy") <= F.col(n)["need"])),
+            F.lit(False),
+        )
+        for n in names
+    }
+    return rows.select(*df.columns, *[h.alias(n) for n, h in held.items()])
 
 
 def _flagged(df: DataFrame, cls: Column, ids: Sequence[str], seed: int, takes: DataFrame, out: str) -> DataFrame:
     """Adds whether the row is among its class's first ``_take`` rows."""
-    cuts = cut_values(df, cls, ids, seed, takes, ["_take"])
-    joined = _hashed(df, cls, ids, seed).join(cuts, [_K], "left")
-    held = F.coalesce(F.col(_H) <= F.col("_take"), F.lit(False))
-    return joined.select(*df.columns, held.alias(out))
+    return _within(df, cls, ids, seed, takes, ["_take"]).withColumnRenamed("_take", out)
 
 
 def take_exact(df: DataFrame, n: Column | int, ids: Sequence[str], seed: int) -> DataFrame:
@@ -178,10 +205,10 @@ def split_latest(df: DataFrame, frac: float, ids: Sequence[str], date: str = DAT
     edge = placed.filter((F.col("_need") > 0) & ~F.col("_whole"))
     at_edge = df.join(edge.select(date), [date], "left_semi")
     takes = edge.select(F.col(date).alias(_K), F.col("_need").alias("_take"))
-    cuts = cut_values(at_edge, F.col(date), ids, seed, takes, ["_take"]).withColumnRenamed(_K, date)
-    joined = df.withColumn(_H, row_hash(ids, seed)).join(placed.join(cuts, [date], "left"), [date], "left")
-    held = F.coalesce("_whole", F.lit(False)) | F.coalesce(F.col(_H) <= F.col("_take"), F.lit(False))
-    return joined.select(*df.columns, held.alias("is_eval"))
+    cut = _flagged(at_edge, F.col(date), ids, seed, takes, "is_eval")
+    whole = df.join(edge.select(date), [date], "left_anti").join(placed.select(date, "_whole"), [date], "left")
+    held = F.coalesce("_whole", F.lit(False)).alias("is_eval")
+    return cut.unionByName(whole.select(*df.columns, held))
 
 
 def stratified_split(
@@ -194,11 +221,11 @@ def stratified_split(
         upto += share
         cuts.append((f"_cut{i}", F.bround(F.col("_size") * upto)))
     takes = class_sizes(df, cls).withColumns(dict(cuts))
-    found = cut_values(df, cls, ids, seed, takes, [n for n, _ in cuts])
+    placed = _within(df, cls, ids, seed, takes, [n for n, _ in cuts])
     part = F.lit(names[-1])
     for (cut, _), name in reversed(list(zip(cuts, names))):
-        part = F.when(F.col(_H) <= F.col(cut), F.lit(name)).otherwise(part)
-    return _hashed(df, cls, ids, seed).join(found, [_K], "left").select(*df.columns, part.alias("split"))
+        part = F.when(F.col(cut), F.lit(name)).otherwise(part)
+    return placed.select(*df.columns, part.alias("split"))
 
 
 def split_dates(df: DataFrame, frac: float = 0.8, date: str = DATE) -> DataFrame:

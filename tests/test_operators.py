@@ -283,3 +283,15 @@ def test_merge_may_repeat_rows(spark):
     right = spark.createDataFrame([(1, "B", 5), (1, "C", 6)], "k int, x string, y int")
     assert sorted(r.y for r in joins.merge_features(left, right, ["k", "absent"]).collect()) == [5, 6]
     assert joins.duplicate_keys(right, ["k"]).count() == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 10, 155, 1000, 2000])
+def test_samples_are_exact_where_rows_share_ids(spark, n):
+    df = spark.range(1000).selectExpr("id % 100 as key", "id % 7 as v", "cast(id % 3 = 0 as int) as y", "date_add(date'2024-01-01', cast(id % 4 as int)) as FlightDate")
+    assert sampling.take_exact(df, n, ["key"], 3).count() == min(n, 1000)
+    split = sampling.stratified_split(df, "y", [0.55, 0.25, 0.2], ["a", "b", "c"], ["key"])
+    got = {(r.y, r.split): r["count"] for r in split.groupBy("y", "split").count().collect()}
+    assert [got[1, s] for s in "abc"] == [184, 83, 67] and [got[0, s] for s in "abc"] == [366, 167, 133]
+    assert sampling.split_latest(df, 0.333, ["key"]).filter("is_eval").count() == 333
+    again = sampling.take_exact(df.repartition(7), n, ["key"], 3)
+    assert again.exceptAll(sampling.take_exact(df, n, ["key"], 3)).count() == 0
