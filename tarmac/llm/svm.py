@@ -14,7 +14,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 120) ->
     n, d = x.shape
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float64)
     reg = 1.0 / (c * 100)
-    size = float(np.sqrt((x.astype(np.float64) ** 2).sum(axis=1).max(initial=1e-12)))
+    size = float(np.sqrt(np.einsum("ij,ij->i", x, x).max(initial=1e-12)))
     rate = 1.0 / (2 * (size**2 + 1) + reg)
     w = v = np.zeros(d + 1)
     for k in range(steps):

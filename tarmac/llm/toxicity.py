@@ -87,7 +87,8 @@ def features(words: list[np.ndarray]) -> np.ndarray:
     for k, w in enumerate(words):
         for _, code, weight in _codes(w, np.zeros(1, np.int64)):
             np.add.at(out[k], code, weight)
-    return out / np.maximum(np.sqrt((out**2).sum(axis=1, keepdims=True)), 1e-9)
+    out /= np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out)), 1e-9)[:, None]
+    return out
 
 
 def symbols_of(word: str) -> np.ndarray:
@@ -112,6 +113,10 @@ class Kernel:
         self.table = np.ascontiguousarray(made.T)
         self.top = made.max(axis=0) if len(self.words) else np.zeros(SYMBOLS**3, np.float32)
 
+    def __reduce__(self) -> tuple:
+        # Tasks build the tables from the words; these are a thousandth of their size.
+        return Kernel, (self.words,)
+
     def similarity(self, stream: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(unit, similarities to all landmarks) of the units that are close to one of them."""
         n = len(first)
@@ -231,7 +236,7 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     bad = [r["word"] for r in counts.where("bad >= 0.9 * n").orderBy(F.desc("bad"), "word").limit(CANDIDATES).collect()]
     common = [r["word"] for r in counts.where("bad < 0.5 * n").orderBy(F.desc("n"), "word").limit(limit).collect()]
     chosen: list[str] = []
-    held = np.zeros((0, SYMBOLS**3), np.float32)
+    held = np.zeros((limit, SYMBOLS**3), np.float32)
     for pool, most, apart in ((bad, limit - limit // 4, 0.65), (common, limit, 0.5)):
         for w in pool:
             if len(chosen) >= most:
@@ -240,9 +245,9 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
             if len(s) < 3:
                 continue
             v = features([s])
-            if not len(held) or float((held @ v[0]).max()) < apart:
+            if not chosen or float((held[: len(chosen)] @ v[0]).max()) < apart:
+                held[len(chosen)] = v[0]
                 chosen.append(w)
-                held = np.concatenate((held, v))
     return chosen
 
 
@@ -268,7 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         return None
     x = np.frombuffer(b"".join(r["x"] for r in vectors), np.float32).reshape(-1, len(kernel.words))
     y = np.array([r["toxic"] for r in vectors])
-    z = (x @ kernel.root).astype(np.float32)
+    z = x @ kernel.root.astype(np.float32)
     w, b = fit_svm(z, np.where(y > 0, 1.0, -1.0), c=100.0, steps=300)
     # In toxic texts most sentences are not: those that the first machine finds unlike are left out.
     margin = z @ w + b
