@@ -5,14 +5,15 @@ from __future__ import annotations
 import numpy as np
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 120) -> tuple[np.ndarray, float]:
+def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 120, counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise the squared hinge loss, classes weighted alike.
 
-    ``y`` is 1 or -1. Accelerated gradient steps of fixed number and size; the result depends on the
+    ``y`` is 1 or -1; ``counts`` says how often each row stands (once each without it). Accelerated gradient steps of fixed number and size; the result depends on the
     rows alone, not on their order beyond rounding.
     """
     n, d = x.shape
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float64)
+    counts = np.ones(n) if counts is None else counts
+    share = counts * np.where(y > 0, 0.5 / max(1, counts[y > 0].sum()), 0.5 / max(1, counts[y < 0].sum())).astype(np.float64)
     reg = 1.0 / (c * 100)
     size = float(np.sqrt(np.einsum("ij,ij->i", x, x).max(initial=1e-12)))
     rate = 1.0 / (2 * (size**2 + 1) + reg)

@@ -4,7 +4,7 @@ The kernel compares two words by the letter triples that they share in order, wi
 ``SPAN`` letters and each letter of span costing a factor ``DECAY``. Signs between letters don't
 count and single letters in a row are one word, so inserted characters and spaced or gapped
 spellings stay close to the plain ones. A sentence is described by its greatest similarity to each
-landmark, mapped by the inverse root of the landmarks' own kernel matrix (Nyström); a linear machine
+landmark, scaled to a length of one at most and mapped by the inverse root of the landmarks' own kernel matrix (Nyström); a linear machine
 learns from labelled sentences, and a text has the score of its most toxic sentence.
 """
 
@@ -16,7 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -28,6 +28,12 @@ SAMPLE_ROWS = 8000
 LANDMARKS = 128
 # Candidates that landmarks are chosen from.
 CANDIDATES = 2000
+# Landmarks are less similar to one another than this.
+APART = 0.65
+# Of all words looked at, about so many would pass as marks of toxic texts by chance.
+CHANCE = 0.05
+# At most so many different sentences of each label are fitted, those with the smallest hashes.
+SAMPLE_SENTENCES = 20000
 DECAY = 0.6
 SPAN = 5
 # Words less similar than this to every landmark are all alike.
@@ -204,50 +210,84 @@ class Sentences:
         sentence = breaks[starts[word]]
         # Words come in the order of the text, so those of a sentence are neighbours.
         turn = np.flatnonzero(np.r_[True, (rows[word][1:] != rows[word][:-1]) | (sentence[1:] != sentence[:-1])])
-        return rows[word][turn], np.maximum.reduceat(values[which], turn, axis=0)
+        x = np.maximum.reduceat(values[which], turn, axis=0)
+        # Several toxic words together say no more than one, so each of them has to stand for itself.
+        return rows[word][turn], x / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1)[:, None]
 
 
 def _learned(batches: Iterator[pa.RecordBatch], kernel: Kernel) -> Iterator[pa.RecordBatch]:
     made = Sentences(kernel)
     for batch in batches:
         toxic = batch.column("toxic")
-        ids = batch.column("key")
+        for lo, _, raw, offsets in tx.chunks(batch.column("text")):
+            row, x = made.describe(raw, offsets)
+            values = pa.array([v.tobytes() for v in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([toxic.take(pa.array(row + lo)), values], ["toxic", "x"])
+
+
+def _margins(batches: Iterator[pa.RecordBatch], model: Model, kept: str) -> Iterator[pa.RecordBatch]:
+    """The column ``kept`` and the margin of each text's most toxic sentence."""
+    made = Sentences(model.kernel)
+    for batch in batches:
         for lo, hi, raw, offsets in tx.chunks(batch.column("text")):
             row, x = made.describe(raw, offsets)
-            # A text without such a sentence stands for itself with an empty vector.
-            rest = np.setdiff1d(np.arange(hi - lo), row)
-            at = pa.array(np.concatenate((row, rest)) + lo)
-            values = [v.tobytes() for v in x] + [b""] * len(rest)
-            yield pa.RecordBatch.from_arrays([ids.take(at), toxic.take(at), pa.array(values, pa.binary())], ["key", "toxic", "x"])
+            # A text without a word near any landmark is as far from toxic as the plainest sentence.
+            best = np.full(hi - lo, min(model.bias, -1.0))
+            if len(row):
+                top = np.full(hi - lo, -np.inf)
+                np.maximum.at(top, row, x @ model.weights + model.bias)
+                best = np.where(np.isfinite(top), top, best)
+            yield pa.RecordBatch.from_arrays([batch.column(kept).slice(lo, hi - lo), pa.array(best)], [kept, "margin"])
+
+
+def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in _margins(batches, model, "doc_id"):
+        margin = batch.column("margin").to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(model.slope * margin + model.shift))], ["doc_id", "score"])
+
+
+def _smallest_shingle(words: Column) -> Column:
+    """The smallest hash of three words in a row (of all words if there are fewer)."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, 3)))
+    return F.array_min(runs)
 
 
 def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
-    """Words that mark toxic texts, unlike one another, and frequent words of other texts.
+    """Words that mark toxic texts, unlike one another.
 
-    ``rows`` has text and toxic. The words of toxic texts are ranked by how many of these hold them, if
-    nine in ten of the texts that hold them are toxic and they are in one in a hundred of the toxic
-    texts; the frequent ones fill the last quarter.
+    ``rows`` has text and toxic. Texts with the same smallest shingle, which near copies mostly have,
+    count as one, so that a group of copies doesn't make its words look toxic. The words of toxic texts
+    are ranked by how many of these hold them, if nine in ten of the texts that hold them are toxic,
+    they are in one in a hundred of the toxic texts, and chance would hardly make any of the words
+    looked at so one-sided.
     """
-    rows = rows.dropDuplicates(["text"])
-    least = max(3, (rows.agg(F.sum("toxic")).first()[0] or 0) // 100)
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    each = rows.select("toxic", F.explode(words).alias("word")).where(F.length("word").between(3, 24))
+    split = rows.select("toxic", F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("words"))
+    split = split.select("toxic", F.array_distinct("words").alias("words"), _smallest_shingle(F.col("words")).alias("mark"))
+    # Of texts that count as one, the same one whatever the order of rows.
+    once = split.groupBy("mark").agg(F.min_by(F.struct("toxic", "words"), F.xxhash64("toxic", "words")).alias("r")).select("r.*")
+    each = once.select("toxic", F.explode("words").alias("word")).where(F.length("word").between(3, 24))
+    totals = once.agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).first()
+    least = max(3, (totals["bad"] or 0) // 100)
     counts = each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(F.col("n") >= least)
-    bad = [r["word"] for r in counts.where("bad >= 0.9 * n").orderBy(F.desc("bad"), "word").limit(CANDIDATES).collect()]
-    common = [r["word"] for r in counts.where("bad < 0.5 * n").orderBy(F.desc("n"), "word").limit(limit).collect()]
+    # Log-likelihood ratio of a word's share of toxic texts against that of all; times the words looked at.
+    base = F.lit(min(max((totals["bad"] or 0) / max(1, totals["n"]), 1e-9), 1 - 1e-9))
+    good = F.col("n") - F.col("bad")
+    ratio = F.col("bad") * F.log(F.col("bad") / (F.col("n") * base)) + F.when(good > 0, good * F.log(good / (F.col("n") * (1 - base)))).otherwise(0.0)
+    tested = max(1, counts.count())
+    sure = counts.where((F.col("bad") >= 0.9 * F.col("n")) & (ratio >= float(np.log(tested / CHANCE))))
+    bad = [r["word"] for r in sure.orderBy(F.desc("bad"), "word").limit(CANDIDATES).collect()]
     chosen: list[str] = []
     held = np.zeros((limit, SYMBOLS**3), np.float32)
-    for pool, most, apart in ((bad, limit - limit // 4, 0.65), (common, limit, 0.5)):
-        for w in pool:
-            if len(chosen) >= most:
-                break
-            s = symbols_of(w)
-            if len(s) < 3:
-                continue
-            v = features([s])
-            if not chosen or float((held[: len(chosen)] @ v[0]).max()) < apart:
-                held[len(chosen)] = v[0]
-                chosen.append(w)
+    for w in bad:
+        if len(chosen) >= limit:
+            break
+        s = symbols_of(w)
+        if len(s) < 3:
+            continue
+        v = features([s])
+        if not chosen or float((held[: len(chosen)] @ v[0]).max()) < APART:
+            held[len(chosen)] = v[0]
+            chosen.append(w)
     return chosen
 
 
@@ -264,46 +304,34 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     picked = usable.where(F.col("key") <= F.when(F.col("toxic") == 1, edge[1]).otherwise(edge[0])).limit(2 * sample_rows)
     # The sample is bounded, so it is sent to the documents.
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
+    clean = float(rows.where("toxic = 0").count())
     kernel = Kernel(choose_landmarks(rows))
     if not kernel.words:
         return None
-    made = rows.select("key", "toxic", "text").mapInArrow(partial(_learned, kernel=kernel), "key long, toxic int, x binary").collect()
-    vectors = [r for r in made if r["x"]]
-    if len({r["toxic"] for r in vectors}) < 2:
+    # Equal sentences are counted where they are made; a bounded number of them reaches the driver.
+    made = rows.select("toxic", "text").mapInArrow(partial(_learned, kernel=kernel), "toxic int, x binary")
+    made = made.groupBy("toxic", "x").count().withColumn("turn", F.xxhash64("x"))
+    vectors = [r for label in (0, 1) for r in made.where(F.col("toxic") == label).orderBy("turn", "x").limit(SAMPLE_SENTENCES).collect()]
+    if not any(r["toxic"] for r in vectors):
         return None
     x = np.frombuffer(b"".join(r["x"] for r in vectors), np.float32).reshape(-1, len(kernel.words))
     y = np.array([r["toxic"] for r in vectors])
+    n = np.array([float(r["count"]) for r in vectors])
+    # Each clean text has a sentence without a word near any landmark.
+    x, y, n = np.vstack((x, np.zeros_like(x[:1]))), np.append(y, 0), np.append(n, clean)
     z = x @ kernel.root.astype(np.float32)
-    w, b = fit_svm(z, np.where(y > 0, 1.0, -1.0), c=100.0, steps=300)
+    w, b = fit_svm(z, np.where(y > 0, 1.0, -1.0), c=100.0, steps=300, counts=n)
     # In toxic texts most sentences are not: those that the first machine finds unlike are left out.
     margin = z @ w + b
     sure = (y == 0) | (margin > 0)
     if (y[sure] > 0).any():
-        w, b = fit_svm(z[sure], np.where(y[sure] > 0, 1.0, -1.0), c=100.0, steps=300)
-    weights = (kernel.root @ w).astype(np.float32)
-    margin = x @ weights + b
-    best: dict[int, tuple[float, int]] = {}
-    for r, s in zip(vectors, margin.tolist(), strict=True):
-        best[r["key"]] = max(best.get(r["key"], (-np.inf, 0)), (s, r["toxic"]))
-    for r in made:
-        best.setdefault(r["key"], (min(b, -1.0), r["toxic"]))
-    scores, truth = np.array([v[0] for v in best.values()]), np.array([float(v[1]) for v in best.values()])
-    slope, shift = fit_sigmoid(scores, truth)
-    return Model(kernel, weights, b, slope, shift)
-
-
-def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    made = Sentences(model.kernel)
-    for batch in batches:
-        for lo, hi, raw, offsets in tx.chunks(batch.column("text")):
-            row, x = made.describe(raw, offsets)
-            best = np.full(hi - lo, min(model.bias, -1.0))
-            if len(row):
-                top = np.full(hi - lo, -np.inf)
-                np.maximum.at(top, row, x @ model.weights + model.bias)
-                best = np.where(np.isfinite(top), top, best)
-            score = sigmoid(model.slope * best + model.shift)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(score)], ["doc_id", "score"])
+        w, b = fit_svm(z[sure], np.where(y[sure] > 0, 1.0, -1.0), c=100.0, steps=300, counts=n[sure])
+    model = Model(kernel, (kernel.root @ w).astype(np.float32), b, 1.0, 0.0)
+    # The curve is fitted to whole texts of the sample, one margin each.
+    made = rows.select("toxic", "text").mapInArrow(partial(_margins, model=model, kept="toxic"), "toxic int, margin double").collect()
+    scores, truth = np.array([r["margin"] for r in made]), np.array([float(r["toxic"]) for r in made])
+    model.slope, model.shift = fit_sigmoid(scores, truth)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
