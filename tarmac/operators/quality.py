@@ -5,7 +5,6 @@ A finding has ``check``, ``subject``, ``status`` (PASS, WARN, FAIL) and ``detail
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -21,75 +20,161 @@ FINDING = ["check", "subject", "status", "detail"]
 
 @dataclass(frozen=True)
 class Rule:
-    """Type and range of every feature whose whole name matches."""
+    """Type and range of one feature."""
 
-    pattern: str
     kind: str = "num"
     low: float = 0.0
     high: float = 1.0
 
 
-# Kinds and ranges of the known features, by name pattern; the first match counts.
-REGISTRY = [
-    Rule(r"FlightDate|Flight_Number_Reporting_Airline|Tail_Number|od_pair|DepTimeBlk", "cat"),
-    Rule(r"Origin|Dest|Reporting_Airline", "cat"),
-    Rule(r"origin_daily_weathercode|origin_dep_hour_weathercode|dep_dow|sched_(dep|arr)_hour", "cat"),
-    Rule(r"is_holiday|is_spring_break|has_recent_arrival_turn_5h|flight_month", "cat"),
-    Rule(r"(Dep|Arr)DelayMinutes", "num", 0, 5000),
-    Rule(r"origin_temp_(max|min)_K|origin_dep_temp_K", "num", 180, 340),
-    Rule(r"origin_daily_precip_sum_mm|origin_daily_windgusts_max_kmh", "num", 0, 500),
-    Rule(r"origin_daily_windspeed_max_kmh|origin_dep_windspeed_kmh", "num", 0, 400),
-    Rule(r"origin_dep_precip_mm|dest_arr_precipitation", "num", 0, 300),
-    Rule(r"origin_dep_windgusts_kmh|dest_arr_windgusts_10m", "num", 0, 500),
-    Rule(r"origin_dep_visibility_m|dest_arr_visibility", "num", 0, 100000),
-    Rule(r"origin_dep_cape_jkg|dest_arr_cape", "num", 0, 10000),
-    Rule(r"origin_dep_log1p_cape", "num", 0, 15),
-    Rule(r"origin_dep_cloudcover_pct|dest_arr_cloudcover", "num", 0, 100),
-    Rule(r"dest_arr_temperature_2m", "num", -60, 60),
-    Rule(r"dest_arr_windspeed_10m", "num", 0, 400),
-    Rule(r"flightnum_od_depdelay_(mean|median)_last(1|7|14)", "num", -30, 5000),
-    Rule(r"flightnum_od_depdelay_std_last(7|14)", "num", 0, 5000),
-    Rule(r"flightnum_od_support_count_last14d", "num", 0, 500),
-    Rule(r"flightnum_od_low_support_last14d|flightnum_od_otp_rate_last14d", "num", 0, 1),
-    Rule(r"(carrier|carrier_origin|origin|dest)_depdelay_(mean|median)_last(1|7|14)", "num", -30, 5000),
-    Rule(r"(carrier|carrier_origin|origin)_depdelay_std_last(7|14)", "num", 0, 5000),
-    Rule(r"origin_(lateaircraft|nas|weather)_rate_last(1|7|14)", "num", 0, 1),
-    Rule(r"(carrier|dest|hub_\w+)_lateaircraft_rate_last(1|7|14)", "num", 0, 1),
-    Rule(r"hub_max_lateaircraft_last1|is_peak_hour", "num", 0, 1),
-    Rule(r"hub_\w+_depdelay_(mean|median)_last(1|7|14)", "num", -30, 5000),
-    Rule(r"origin_(airline_)?congestion_3h_total", "num", 0, 1000),
-    Rule(r"flightnum_hours_since_first_departure_today", "num", 0, 24),
-    Rule(r"CRS(Dep|Arr)Time", "num", 0, 2400),
-    Rule(r"CRSElapsedTime", "num", -200, 1000),
-    Rule(r"Distance", "num", 0, 6000),
-    Rule(r"prior_leg_depdelay_mean_last(7|14)", "num", -30, 5000),
-    Rule(r"arrdelay_(mean|median)_(7|14)d_(fn|car)_od", "num", -30, 5000),
-    Rule(r"(arrdelay|airtime)_n_(7|14)d_(fn|car)_od|wo_slip_n_(7|14)d_fn_od", "num", 0, 500),
-    Rule(r"airtime_mean_(7|14)d_(fn|car)_od", "num", 0, 1000),
-    Rule(r"wo_slip_mean_(7|14)d_fn_od", "num", -900, 800),
-    Rule(r"wo_slip_mean_(7|14)d_origin_blk", "num", -600, 500),
-    Rule(r"wo_slip_n_(7|14)d_origin_blk", "num", 0, 1200),
-    Rule(r"dest_(airline_)?arrivals_pm60_(sched|eta)", "num", 0, 800),
-    Rule(r"wind_x_precip", "num", 0, 200000),
-    Rule(r"strike_severity", "num", 0, 5),
-    Rule(r"days_to_strike", "num", 0, 90),
-    Rule(r"carrier_delay_rate_anomaly_7d|airline_cancel_rate_anomaly_7d", "num", -10, 10),
-    Rule(r"origin_nasdelay_rate_last1d|cancel_rate_origin_last1d|divert_rate_origin_last14d", "num", 0, 1),
-    Rule(r"elapsed_time_ratio_last14d", "num", 0, 10),
-    Rule(r"elapsed_time_ratio_n_last14d", "num", 0, 500),
-    Rule(
-        r"origin_(dep_)?(temperature_2m(_max|_min)?|precipitation(_sum)?|windspeed_10m(_max)?|weathercode|"
-        r"windgusts_10m(_max)?|visibility|cape|cloudcover)",
-        "num",
-        -500,
-        100000,
-    ),
+# Features without a range.
+CATEGORIES = [
+    "FlightDate",
+    "Reporting_Airline",
+    "Flight_Number_Reporting_Airline",
+    "Tail_Number",
+    "od_pair",
+    "Origin",
+    "Dest",
+    "DepTimeBlk",
+    "origin_daily_weathercode",
+    "origin_dep_hour_weathercode",
+    "dep_dow",
+    "sched_dep_hour",
+    "sched_arr_hour",
+    "is_holiday",
+    "is_spring_break",
+    "has_recent_arrival_turn_5h",
+    "flight_month",
 ]
+# Least and greatest value of each feature.
+RANGES = {
+    "DepDelayMinutes": (0, 5000),
+    "ArrDelayMinutes": (0, 5000),
+    "origin_temp_max_K": (180, 340),
+    "origin_temp_min_K": (180, 340),
+    "origin_daily_precip_sum_mm": (0, 500),
+    "origin_daily_windspeed_max_kmh": (0, 400),
+    "origin_daily_windgusts_max_kmh": (0, 500),
+    "origin_dep_temp_K": (180, 340),
+    "origin_dep_precip_mm": (0, 300),
+    "origin_dep_windspeed_kmh": (0, 400),
+    "origin_dep_windgusts_kmh": (0, 500),
+    "origin_dep_visibility_m": (0, 100000),
+    "origin_dep_cape_jkg": (0, 10000),
+    "origin_dep_log1p_cape": (0, 15),
+    "origin_dep_cloudcover_pct": (0, 100),
+    "dest_arr_temperature_2m": (-60, 60),
+    "dest_arr_precipitation": (0, 300),
+    "dest_arr_windspeed_10m": (0, 400),
+    "dest_arr_windgusts_10m": (0, 500),
+    "dest_arr_visibility": (0, 100000),
+    "dest_arr_cape": (0, 10000),
+    "dest_arr_cloudcover": (0, 100),
+    "flightnum_od_support_count_last14d": (0, 500),
+    "flightnum_od_low_support_last14d": (0, 1),
+    "flightnum_od_otp_rate_last14d": (0, 1),
+    "origin_congestion_3h_total": (0, 1000),
+    "origin_airline_congestion_3h_total": (0, 1000),
+    "flightnum_hours_since_first_departure_today": (0, 24),
+    "CRSDepTime": (0, 2400),
+    "CRSArrTime": (0, 2400),
+    "CRSElapsedTime": (-200, 1000),
+    "Distance": (0, 6000),
+    "dest_arrivals_pm60_sched": (0, 800),
+    "dest_airline_arrivals_pm60_sched": (0, 800),
+    "dest_arrivals_pm60_eta": (0, 800),
+    "dest_airline_arrivals_pm60_eta": (0, 800),
+    "is_peak_hour": (0, 1),
+    "hub_max_lateaircraft_last1": (0, 1),
+    "wind_x_precip": (0, 200000),
+    "strike_severity": (0, 5),
+    "days_to_strike": (0, 90),
+    "carrier_delay_rate_anomaly_7d": (-10, 10),
+    "airline_cancel_rate_anomaly_7d": (-10, 10),
+    "origin_nasdelay_rate_last1d": (0, 1),
+    "cancel_rate_origin_last1d": (0, 1),
+    "divert_rate_origin_last14d": (0, 1),
+    "elapsed_time_ratio_last14d": (0, 10),
+    "elapsed_time_ratio_n_last14d": (0, 500),
+    "origin_temperature_2m_max": (-500, 100000),
+    "origin_temperature_2m_min": (-500, 100000),
+    "origin_precipitation_sum": (-500, 100000),
+    "origin_windspeed_10m_max": (-500, 100000),
+    "origin_windgusts_10m_max": (-500, 100000),
+    "origin_weathercode": (-500, 100000),
+    "origin_dep_temperature_2m": (-500, 100000),
+    "origin_dep_precipitation": (-500, 100000),
+    "origin_dep_windspeed_10m": (-500, 100000),
+    "origin_dep_weathercode": (-500, 100000),
+    "origin_dep_windgusts_10m": (-500, 100000),
+    "origin_dep_visibility": (-500, 100000),
+    "origin_dep_cape": (-500, 100000),
+    "origin_dep_cloudcover": (-500, 100000),
+}
+# Features of a window of days, the windows that exist, and their range.
+WINDOWED = {
+    "flightnum_od_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "flightnum_od_depdelay_median_last{days}": ([1, 7, 14], -30, 5000),
+    "flightnum_od_depdelay_std_last{days}": ([7, 14], 0, 5000),
+    "carrier_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "carrier_depdelay_median_last{days}": ([1], -30, 5000),
+    "carrier_depdelay_std_last{days}": ([7, 14], 0, 5000),
+    "carrier_lateaircraft_rate_last{days}": ([1, 7, 14], 0, 1),
+    "carrier_origin_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "carrier_origin_depdelay_median_last{days}": ([1], -30, 5000),
+    "carrier_origin_depdelay_std_last{days}": ([7, 14], 0, 5000),
+    "origin_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "origin_depdelay_median_last{days}": ([1], -30, 5000),
+    "origin_depdelay_std_last{days}": ([7, 14], 0, 5000),
+    "origin_lateaircraft_rate_last{days}": ([1, 7, 14], 0, 1),
+    "origin_nas_rate_last{days}": ([1, 7, 14], 0, 1),
+    "origin_weather_rate_last{days}": ([1, 7, 14], 0, 1),
+    "dest_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "dest_depdelay_median_last{days}": ([1], -30, 5000),
+    "dest_lateaircraft_rate_last{days}": ([1, 7, 14], 0, 1),
+    "prior_leg_depdelay_mean_last{days}": ([7, 14], -30, 5000),
+    "arrdelay_mean_{days}d_fn_od": ([7, 14], -30, 5000),
+    "arrdelay_median_{days}d_fn_od": ([7, 14], -30, 5000),
+    "arrdelay_n_{days}d_fn_od": ([7, 14], 0, 500),
+    "arrdelay_mean_{days}d_car_od": ([7, 14], -30, 5000),
+    "arrdelay_median_{days}d_car_od": ([7, 14], -30, 5000),
+    "arrdelay_n_{days}d_car_od": ([7, 14], 0, 500),
+    "airtime_mean_{days}d_fn_od": ([7, 14], 0, 1000),
+    "airtime_n_{days}d_fn_od": ([7, 14], 0, 500),
+    "airtime_mean_{days}d_car_od": ([7, 14], 0, 1000),
+    "airtime_n_{days}d_car_od": ([7, 14], 0, 500),
+    "wo_slip_mean_{days}d_fn_od": ([7, 14], -900, 800),
+    "wo_slip_n_{days}d_fn_od": ([7, 14], 0, 500),
+    "wo_slip_mean_{days}d_origin_blk": ([7, 14], -600, 500),
+    "wo_slip_n_{days}d_origin_blk": ([7, 14], 0, 1200),
+}
+# The same for features of a hub, by its rank or by its code.
+HUB_RANKS = ["0", "1", "2", "3", "4"]
+HUB_CODES = ["DEN", "PHX", "BWI", "MDW", "BNA"]
+OF_EACH_HUB = {
+    "hub_{hub}_depdelay_mean_last{days}": ([1, 7, 14], -30, 5000),
+    "hub_{hub}_lateaircraft_rate_last{days}": ([1, 7, 14], 0, 1),
+}
+OF_RANKED_HUBS = {"hub_{hub}_depdelay_median_last{days}": ([1], -30, 5000)}
+
+
+def build_registry(ranks: Sequence[str] = HUB_RANKS, codes: Sequence[str] = HUB_CODES) -> dict[str, Rule]:
+    """The rule of every known feature by its exact name, for the given hubs."""
+    rules = {name: Rule("cat") for name in CATEGORIES}
+    rules |= {name: Rule("num", low, high) for name, (low, high) in RANGES.items()}
+    for family, hubs in ((WINDOWED, [""]), (OF_EACH_HUB, [*ranks, *codes]), (OF_RANKED_HUBS, ranks)):
+        for name, (windows, low, high) in family.items():
+            rules |= {name.format(hub=h, days=d): Rule("num", low, high) for h in hubs for d in windows}
+    return rules
+
+
+REGISTRY = build_registry()
 CODE_PATTERNS = {"Origin": ("^[A-Z]{3}$", "FAIL"), "Dest": ("^[A-Z]{3}$", "FAIL"), "Reporting_Airline": ("^[A-Z0-9]{2}$", "WARN")}
 
 
-def rule_for(name: str, registry: Sequence[Rule] = REGISTRY) -> Rule | None:
-    return next((r for r in registry if re.fullmatch(r.pattern, name)), None)
+def rule_for(name: str, registry: Mapping[str, Rule] = REGISTRY) -> Rule | None:
+    return registry.get(name)
 
 
 def _finding(check: Column | str, subject: Column | str, status: Column, detail: Column) -> Column:
@@ -109,7 +194,7 @@ def validate_features(
     df: DataFrame,
     expected: Sequence[str] = (),
     null_limit: float = 0.5,
-    registry: Sequence[Rule] = REGISTRY,
+    registry: Mapping[str, Rule] = REGISTRY,
 ) -> DataFrame:
     """Row count, expected columns, unknown values, types, ranges and code shapes, in one scan."""
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -276,6 +276,9 @@ def test_empty_and_incomplete_tables_fail(spark):
     assert findings[("codes", "Origin")] == "FAIL" and findings[("range", "Distance")] == "FAIL"
     assert quality.roll_up(quality.validate_features(some)).first().status == "FAIL"
     assert quality.rule_for("hub_DEN_depdelay_mean_last14").high == 5000 and quality.rule_for("unheard_of") is None
+    unknown = "carrier_depdelay_median_last14 hub_ZZZ_depdelay_median_last14 hub_9_lateaircraft_rate_last7 origin_dep_temperature_2m_max"
+    assert not [n for n in unknown.split() if quality.rule_for(n)]
+    assert quality.rule_for("hub_3_depdelay_median_last1") and quality.rule_for("hub_DEN_depdelay_median_last1") is None
 
 
 def test_merge_may_repeat_rows(spark):
