@@ -15,6 +15,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -214,9 +215,9 @@ def may_repeat(rows: list[tuple]) -> np.ndarray:
     return keep
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Rows of (doc_id, start, stop, key): repeats, joined to runs, have no key; strings of a spread
-    anchor have theirs."""
+    anchor have theirs. Shards have about ``limit`` bytes."""
 
     def sharded(rows: list[tuple], spread: bool) -> Iterator[pa.RecordBatch]:
         if not spread:
@@ -233,9 +234,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _runs(d[late], s[late])
         if spread:
             # The first of each group stands for its string in the merge of the anchor's shards.
-            texts = {}
+            # Parts at the start of a document begin alike; the longest holds the others.
+            texts: dict[tuple[int, int], bytes] = {}
             for r, begin in zip(rows, start.tolist(), strict=True):
-                texts.setdefault((r[2], begin), r[1])
+                texts[r[2], begin] = max(texts.get((r[2], begin), b""), r[1], key=len)
             own = sorted(texts)
             keys = []
             for a, b in zip(d[head].tolist(), s[head].tolist(), strict=True):
@@ -249,7 +251,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     anchor, spread = None, False
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if size >= SHARD_BYTES:
+            if size >= limit:
                 if row[0] != anchor:
                     yield from sharded(held, spread)
                     held, size, spread = [], 0, False
@@ -258,7 +260,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own = [r for r in held if r[0] == anchor]
                     yield from sharded([r for r in held if r[0] != anchor], spread)
                     held, size, spread = own, sum(len(r[1]) for r in own), False
-                if held and size >= SHARD_BYTES:
+                if held and size >= limit:
                     yield from sharded(held, True)
                     held, size, spread = [], 0, True
             if spread and row[0] != anchor:
@@ -274,9 +276,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _holder(own: list[tuple[int, int]], texts: dict, doc: int, at: int) -> int:
     """The part, by binary search, that holds the string of a document at a place."""
+    # Parts that begin later end no earlier, so the last one that begins at the string or before it holds it.
     k = bisect.bisect_right(own, (doc, at)) - 1
-    while own[k][1] + len(texts[own[k]]) < at + LENGTH:
-        k -= 1
+    if k < 0 or own[k][0] != doc or own[k][1] + len(texts[own[k]]) < at + LENGTH:
+        raise ValueError(f"no part holds the string at {at} of document {doc}")
     return k
 
 
@@ -407,7 +410,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     placed = materialise(docs.join(marks, "doc_id", "left").mapInArrow(_place, PLACED), "placed")
     around = placed.where("around is not null").select("ah", "around", "doc_id", "pos", "lo").distinct()
     shards = around.repartition(2 * width, "ah").sortWithinPartitions("ah", "doc_id", "pos")
-    starts = materialise(shards.mapInArrow(_shards, STARTS), "repeats")
+    starts = materialise(shards.mapInArrow(partial(_shards, limit=SHARD_BYTES), STARTS), "repeats")
     across = starts.where("key is not null").repartition(width, "key").mapInArrow(_merged, STARTS)
     late = starts.where("key is null").union(across).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     pending = placed.where("text is not null").select("doc_id", "text", "covered").join(late, "doc_id", "left")

@@ -147,6 +147,18 @@ def test_repeats(spark, docs, empty, monkeypatch, shard):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard", [700, 2000])
+def test_repeats_behind_a_common_opening(spark, monkeypatch, shard):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    rng = np.random.default_rng(8)
+    tails = [" ".join(rng.choice(WORDS, 30)) for _ in range(8)]
+    # The hash of 28 semicolons is small, so they are the anchor of all strings that hold them.
+    texts = [";" * 80 + f"{i:02} " + tails[i % 8] + f" {i}" for i in range(24)] + [";" * 80 + tails[i % 8] for i in range(24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(suffix_dedup.remove_repeats(docs))
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for _, r in sorted(got.items())] == brute_repeats(texts)
+
+
 def test_suffix_order_and_prefixes():
     raw = RNG.integers(1, 4, 300).astype(np.int64)
     sa = suffix_dedup.suffix_array(raw, len(raw))
