@@ -1,10 +1,12 @@
-"""Numbers of pieces that a unigram tokenizer cuts texts into, without making the pieces.
+"""Numbers of pieces that a model's own library cuts texts into.
 
-An automaton over the bytes of all pieces finds every piece that ends at each byte; dynamic
-programming keeps the best score, its number of pieces and whether the last is unknown. Of equal
-scores the one met first stays, that is, the one whose last piece begins first, and unknown
-characters in a row are one piece, as in the library. Text is cut before each blank; units are
-counted once for each chunk and remembered.
+In a BPE model no piece has a blank after another character, so no merge joins a character with a
+blank behind it: text is cut there, with runs of blanks whole, and the library counts each unit once for
+each chunk; counts are remembered. Of models or normalizers for which that doesn't hold the library
+counts whole texts.
+
+``Counter`` counts by unigram scores, by an automaton over the bytes of all pieces and dynamic
+programming. Read so, a BPE model's merge ranks give other counts than its own, so no query uses it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ MARK = "▁"
 SLOTS = 1 << 20
 
 _counters: dict[str, Counter] = {}
+_libraries: dict[str, LibraryCounter] = {}
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -41,6 +44,76 @@ def counter(path: str) -> Counter:
     return _counters[path]
 
 
+def library_counter(path: str) -> LibraryCounter:
+    """The library's counter of a model, one for each worker process."""
+    if path not in _libraries:
+        _libraries[path] = LibraryCounter(path)
+    return _libraries[path]
+
+
+class LibraryCounter:
+    def __init__(self, path: str):
+        import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
+
+        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as file:
+            model = sentencepiece_model_pb2.ModelProto.FromString(file.read())
+        rule, kinds = model.normalizer_spec, model.SentencePiece
+        plain = rule.add_dummy_prefix and rule.escape_whitespaces and not rule.remove_extra_whitespaces and not rule.precompiled_charsmap
+        plain = plain and not model.trainer_spec.treat_whitespace_as_suffix and model.trainer_spec.model_type == model.trainer_spec.BPE
+        own = {kinds.NORMAL, kinds.BYTE, kinds.CONTROL, kinds.UNKNOWN}
+        self.cut = plain and all(p.type in own and MARK not in p.piece.lstrip(MARK) for p in model.pieces)
+        # A lone blank behind a character; the library would add one to the empty text's none.
+        self.blank = len(self.library.encode("a ")) - len(self.library.encode("a"))
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.held = np.zeros(SLOTS, np.int64)
+
+    def _counted(self, texts: list[str]) -> np.ndarray:
+        return np.fromiter(map(len, self.library.encode(texts, num_threads=1)), np.int64, len(texts))
+
+    def count(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The number of pieces of each text."""
+        n = len(offsets) - 1
+        if len(raw) == 0:
+            return np.zeros(n, np.int64)
+        data = raw.tobytes()
+        if not self.cut:
+            return self._counted([data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+        # A unit begins at a text and at the first of each run of blanks, which is the mark that the
+        # library puts before a text. The mark itself in a text reads as a blank.
+        blank = (raw == 32).astype(np.int64)
+        mark = MARK.encode()
+        if len(raw) >= 3:
+            blank[:-2][(raw[:-2] == mark[0]) & (raw[1:-1] == mark[1]) & (raw[2:] == mark[2])] = 3
+        at = np.flatnonzero(blank)
+        behind = np.zeros(len(raw) + 3, bool)
+        behind[at + blank[at]] = True
+        begins = (blank > 0) & ~behind[: len(raw)]
+        opening = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins[opening] = True
+        # At a text's start the mark comes before its own blanks.
+        blank[opening] = 0
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(raw))
+        body = starts + blank[starts]
+        hashes = tx.span_hashes(raw, body, ends) | np.uint64(1)
+        slot = ((hashes >> np.uint64(20)) & np.uint64(SLOTS - 1)).astype(np.int64)
+        value = self.held[slot]
+        missing = np.flatnonzero(self.keys[slot] != hashes)
+        if len(missing):
+            fresh, first, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            where = missing[first]
+            made = self._counted([data[a:b].decode() for a, b in zip(body[where].tolist(), ends[where].tolist(), strict=True)])
+            made[body[where] == ends[where]] = self.blank
+            value[missing] = made[back]
+            place = ((fresh >> np.uint64(20)) & np.uint64(SLOTS - 1)).astype(np.int64)
+            self.keys[place], self.held[place] = fresh, made
+        total = np.concatenate(([0], np.cumsum(value)))
+        edge = np.searchsorted(starts, offsets, "left")
+        return total[edge[1:]] - total[edge[:-1]]
+
+
 class Counter:
     def __init__(self, vocabulary: list[tuple[str, float]], unknown: int = 0):
         self.unknown_score = min(s for _, s in vocabulary) - UNKNOWN_PENALTY
@@ -176,7 +249,7 @@ class Counter:
 
 
 def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    made = counter(path)
+    made = library_counter(path)
     for batch in batches:
         for lo, hi, raw, offsets in tx.chunks(batch.column("text")):
             n = made.count(raw, offsets)
@@ -186,9 +259,9 @@ def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     """One row for every row of ``docs``: doc_id, n_tokens.
 
-    Null and empty texts have 0. Each text is taken to begin with a blank unless it does. Repeated
-    rows are counted one by one; only ``doc_id`` and ``text`` are used. An empty table gives an empty
-    one.
+    Counts are those of the model's own library, without its marks of start and end. Null and empty
+    texts have 0. Repeated rows are counted one by one; only ``doc_id`` and ``text`` are used. An empty
+    table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(partial(_counted, path=model_path), "doc_id long, n_tokens long")

@@ -247,6 +247,26 @@ def test_token_counts_follow_the_library():
     assert got.tolist() == [len(whole.encode(t).ids) for t in texts]
 
 
+def test_token_counts_are_those_of_the_model(spark):
+    import sentencepiece
+
+    from tarmac.llm import token_counts
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(3)
+    odd = ["".join(rng.choice(list(" ▁ab\nÿ日1<."), 60)) for _ in range(200)]
+    texts = [*TEXTS, "日本 ÿÿ <unk> <s> ▁x", "  two  blanks ", " ", "▁", "a ", "a  ", "a▁", "def f():\n    return 1", "\0 \t x" + " " * 70 + "y", *odd]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(token_counts.count_tokens(docs, path))
+    want = [len(library.encode(t or "")) for t in texts]
+    assert [got[i]["n_tokens"] for i in range(len(texts))] == want
+    made = token_counts.LibraryCounter(path)
+    assert made.cut
+    made.cut = False
+    assert np.concatenate([made.count(r, o) for _, _, r, o in tx.chunks(pa.array(texts))]).tolist() == want
+
+
 def test_language(spark):
     parts = {"en": "the and that with ing tion ".split(), "de": "der die und sch heit keit ".split(), "fr": "le les que eaux ment tre ".split(), "es": "el los que ción mente ado ".split()}
     rows = [(i, " ".join(RNG.choice(parts[k], 30)), k) for i, k in enumerate(list(parts) * 60)]
