@@ -20,6 +20,8 @@ from .common import free_name, let, materialise
 BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 BINS = 48
+# Shares in either tail at which there are edges as well.
+TAILS = (0.001, 0.003, 0.01)
 
 FEATURES = [
     "n_words",
@@ -137,6 +139,11 @@ def _matches(rule: Rule, stats: Column) -> Column:
     return reduce(lambda a, b: a & b, [c.column(stats) for c in rule], F.lit(True))
 
 
+def _place(value: Column, edges: list[float]) -> Column:
+    """How many edges lie below a value; an array keeps the expression small for any number of them."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: value > e))
+
+
 def _counts(rows: DataFrame) -> dict[str, dict[int, list[float]]]:
     """For every statistic and bin the numbers of bad and good rows."""
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"bin_{f}").alias("bin")) for f in FEATURES])).alias("cell")
@@ -176,12 +183,14 @@ def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, precisio
     total = rows.groupBy("part").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")).collect()
     if not total or sum(r["bad"] for r in total) in (0, sum(r["n"] for r in total)):
         return []
-    points = [k / BINS for k in range(1, BINS)]
-    found = rows.agg(*[F.percentile_approx(F.col("stats")[f].cast("double"), points, 10_000).alias(f) for f in FEATURES]).first()
+    points = sorted({k / BINS for k in range(1, BINS)} | set(TAILS) | {1 - t for t in TAILS})
+    # The quantiles of the bad rows as well, so that a rare kind of bad row has edges of its own.
+    of = {"all": lambda f: F.col("stats")[f].cast("double"), "bad": lambda f: F.when(F.col("bad") == 1, F.col("stats")[f].cast("double"))}
+    found = rows.agg(*[F.percentile_approx(value(f), points, 10_000).alias(f"{f}_{k}") for f in FEATURES for k, value in of.items()]).first()
     # Thresholds lie midway between neighbouring quantiles, clear of the rows on either side.
-    values = {f: sorted(set(found[f])) for f in FEATURES}
+    values = {f: sorted({*found[f"{f}_all"], *found[f"{f}_bad"]}) for f in FEATURES}
     edges = {f: [(a + b) / 2 for a, b in zip(v, v[1:], strict=False)] or v for f, v in values.items()}
-    places = {f"bin_{f}": reduce(lambda a, b: a + b, [(F.col("stats")[f] > e).cast("int") for e in edges[f]]) for f in FEATURES}
+    places = {f"bin_{f}": _place(F.col("stats")[f], edges[f]) for f in FEATURES}
     rows = materialise(rows.withColumns(places), "labelled")
     bad_pruning = sum(r["bad"] for r in total if r["part"] == 2)
     rules: list[Rule] = []

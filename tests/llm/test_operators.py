@@ -80,6 +80,20 @@ def test_decision_list_learns_a_threshold(spark):
     assert quality_rules.keep_good(docs, labels.limit(0)).count() == 400
 
 
+def test_decision_list_learns_a_rare_kind(spark):
+    rng = np.random.default_rng(4)
+    rare = {i for i in range(3000) if i % 100 == 0}
+    rows = []
+    for i in range(3000):
+        chars = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 100)
+        at = rng.choice(100, rng.integers(60, 70) if i in rare else rng.integers(0, 40), replace=False)
+        chars[at] = rng.choice(list("0123456789"), len(at))
+        rows.append((i, " ".join("".join(chars[k : k + 5]) for k in range(0, 100, 5))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i not in rare)) for i in range(3000)], "doc_id long, quality int")
+    assert {i for i, r in by_id(quality_rules.judge(docs, labels, ["doc_id"])).items() if not r["kept"]} == rare
+
+
 def test_quality_of_odd_tables(spark, docs, empty):
     labels = spark.createDataFrame([(0, 1), (3, 0), (None, 0)], "doc_id long, quality int")
     out = quality_rules.keep_good(docs, labels)
