@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import held_out
+from .common import held_out, materialise
 from .svm import fit_sigmoid, fit_svm, sigmoid
 
 # At most so many labelled rows are learned from, those with the smallest hash of their id.
@@ -28,6 +28,8 @@ SAMPLE_ROWS = 8000
 LANDMARKS = 128
 # Candidates that landmarks are chosen from.
 CANDIDATES = 2000
+# A landmark is in so many texts.
+FEWEST = 3
 # Landmarks are less similar to one another than this.
 APART = 0.65
 # Of all words looked at, about so many would pass as marks of toxic texts by chance.
@@ -252,23 +254,25 @@ def _smallest_shingle(words: Column) -> Column:
     return F.array_min(runs)
 
 
-def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
+def choose_landmarks(docs: DataFrame, labels: DataFrame, limit: int = LANDMARKS) -> list[str]:
     """Words that mark toxic texts, unlike one another.
 
-    ``rows`` has text and toxic. Texts with the same smallest shingle, which near copies mostly have,
+    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. Texts with the same smallest shingle, which near copies mostly have,
     count as one, so that a group of copies doesn't make its words look toxic. The words of toxic texts
     are ranked by how many of these hold them, if nine in ten of the texts that hold them are toxic,
-    they are in one in a hundred of the toxic texts, and chance would hardly make any of the words
-    looked at so one-sided.
+    they are in ``FEWEST`` texts, and chance would hardly make any of the words looked at so one-sided.
     """
-    split = rows.select("toxic", F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("words"))
-    split = split.select("toxic", F.array_distinct("words").alias("words"), _smallest_shingle(F.col("words")).alias("mark"))
-    # Of texts that count as one, the same one whatever the order of rows.
-    once = split.groupBy("mark").agg(F.min_by(F.struct("toxic", "words"), F.xxhash64("toxic", "words")).alias("r")).select("r.*")
-    each = once.select("toxic", F.explode("words").alias("word")).where(F.length("word").between(3, 24))
+    words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+    tie = F.xxhash64("text").alias("tie")
+    marked = docs.where("text is not null").select("doc_id", tie, _smallest_shingle(F.array_distinct(words)).alias("mark")).join(labels, "doc_id")
+    # Of texts that count as one, the same one whatever the order of rows; only ids are dealt out for it.
+    turn = F.struct(F.xxhash64("toxic", "tie").alias("turn"), "doc_id", "toxic", "tie")
+    once = materialise(marked.groupBy("mark").agg(F.min(turn).alias("r")).select("r.doc_id", "r.toxic", "r.tie"), "chosen")
+    texts = docs.where("text is not null").select("doc_id", tie, F.array_distinct(words).alias("words")).join(once, ["doc_id", "tie"])
+    texts = texts.dropDuplicates(["doc_id", "tie"])
+    each = texts.select("toxic", F.explode("words").alias("word")).where(F.length("word").between(3, 24))
     totals = once.agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).first()
-    least = max(3, (totals["bad"] or 0) // 100)
-    counts = each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(F.col("n") >= least)
+    counts = materialise(each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(F.col("n") >= FEWEST), "words")
     # Log-likelihood ratio of a word's share of toxic texts against that of all; times the words looked at.
     base = F.lit(min(max((totals["bad"] or 0) / max(1, totals["n"]), 1e-9), 1 - 1e-9))
     good = F.col("n") - F.col("bad")
@@ -305,7 +309,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # The sample is bounded, so it is sent to the documents.
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
     clean = float(rows.where("toxic = 0").count())
-    kernel = Kernel(choose_landmarks(rows))
+    # Words are counted over all labelled rows, so that rare ones have landmarks as well.
+    kernel = Kernel(choose_landmarks(docs, usable.select("doc_id", "toxic")))
     if not kernel.words:
         return None
     # Equal sentences are counted where they are made; a bounded number of them reaches the driver.

@@ -302,3 +302,13 @@ def test_toxicity(spark):
     odd = spark.createDataFrame([(1, "a s c o u n d r e l here"), (2, "scoun-drel"), (3, ""), (4, None)], "doc_id long, text string")
     assert [r["predicted"] for r in toxicity.score(odd, model).orderBy("doc_id").collect()] == [1, 1, 0, 0]
     assert toxicity.train(docs, labels.limit(0)) is None
+
+
+def test_rare_words_of_toxic_texts_are_landmarks(spark):
+    # 12 of 1,500 toxic texts hold the rare word; the sample has 20 of them.
+    # Numbers keep the texts from sharing their smallest shingle.
+    rows = [(i, " ".join(f"{w} {i}" for w in RNG.choice(WORDS, 8)) + (" nincompoop" if i < 12 else " scoundrel" if i % 2 == 0 else ""), int(i < 12 or i % 2 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    words = toxicity.train(docs, labels, sample_rows=40).kernel.words
+    assert {"scoundrel", "nincompoop"} <= set(words)
