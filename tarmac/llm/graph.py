@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
+# A key with more than one in so many rows is hot; there can't be more of them.
+HOT_SHARE = 200
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of ``links``; the component is its smallest node.
@@ -34,3 +39,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     # A fixed point is a set of stars: every node has one link, to the smallest of its component.
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def attach(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``named`` (one row for each key), nulls where it has none.
+
+    Keys of more than one in ``HOT_SHARE`` rows, of which there are fewer than that, are sent to the
+    rows; only the others are dealt out by key.
+    """
+    total = rows.count()
+    hot = materialise(rows.groupBy(key).count().where(F.col("count") * HOT_SHARE > total).select(key), "hot")
+    few = materialise(named.join(F.broadcast(hot), key, "left_semi"), "hot")
+    others = [c for c in named.columns if c != key]
+    usual = rows.join(F.broadcast(hot), key, "left_anti").join(named, key, "left")
+    often = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(few), key, "left")
+    return reduce(DataFrame.union, [d.select(*rows.columns, *others) for d in (usual, often)])

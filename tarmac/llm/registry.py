@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
-from . import decontaminate, jaccard_join, language, packing, personal, quality_rules, secrets, suffix_dedup, token_counts, toxicity
+from . import decontaminate, jaccard_join, language, minhash, packing, personal, quality_rules, secrets, suffix_dedup, token_counts, toxicity, whitening
 from .common import table, tokenizer_file
 
 
@@ -58,6 +56,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Read here, so that the other queries don't need the pipeline's file.
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -69,6 +82,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
-    "pipeline": corpus_pipeline.run,
+    "op11_minhash_dedup": op11_minhash_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
+    "pipeline": pipeline,
 }
-SQL: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+# The pipeline learns rules and hashes, so it has no SQL (corpus_pipeline.ORACLE_SQL is None).
+SQL: dict[str, str] = {}
