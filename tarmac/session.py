@@ -44,15 +44,17 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Later stages then start from files that outlive an executor, and values that depend on the
-    physical layout (a partition number) can no longer change.
+    physical layout (a partition number) can no longer change. With ``by`` the files are parted by that
+    column (the last one), so that readers of one of its values leave the others alone.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

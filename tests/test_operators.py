@@ -80,7 +80,7 @@ def test_hub_spine_counts_empty_days(spark):
 
 def test_cube_gives_the_same_statistics(spark):
     _, rows = make_legs(spark)
-    legs = spark.createDataFrame([r[1:2] + r[3:4] + r[5:6] + r[9:] + (float(r[0] % 2),) for r in rows], "FlightDate date, Reporting_Airline string, Origin string, DepDelayMinutes double, Cancelled double")
+    legs = spark.createDataFrame([r[1:2] + r[3:4] + r[5:6] + r[9:10] + (float(r[0] % 2),) for r in rows], "FlightDate date, Reporting_Airline string, Origin string, DepDelayMinutes double, Cancelled double")
     held = F.col("Cancelled") == 0
     cube = lags.station_cube(legs, held)
     direct = lags.daily_mean(legs.filter(held), ["Origin"], "DepDelayMinutes", "v")
