@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 # The white space that separates words: blank and U+0009 to U+000D.
 SPACE = np.zeros(256, dtype=bool)
@@ -28,13 +28,20 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
+    """The first ``n`` powers of the base and of its inverse, modulo 2**64.
+
+    Those for a chunk are kept; longer rows, which are chunks of their own, have theirs made anew.
+    """
+    if n > CHUNK_BYTES or not _powers:
         size = max(n, CHUNK_BYTES)
+        made = {}
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, np.uint64(base), dtype=np.uint64)
             steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+            made[name] = np.multiply.accumulate(steps)
+        if n > CHUNK_BYTES:
+            return made["up"], made["down"]
+        _powers.update(made)
     return _powers["up"][:n], _powers["down"][:n]
 
 

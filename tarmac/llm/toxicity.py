@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import held_out, materialise
+from .common import held_out, let, materialise, may_be_in
 from .svm import fit_sigmoid, fit_svm, sigmoid
 
 # At most so many labelled rows are learned from, those with the smallest hash of their id.
@@ -248,50 +248,85 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(model.slope * margin + model.shift))], ["doc_id", "score"])
 
 
-def _smallest_shingle(words: Column) -> Column:
-    """The smallest hash of three words in a row (of all words if there are fewer)."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, 3)))
-    return F.array_min(runs)
+def _mark(words: Column) -> Column:
+    """The smallest hash of three words in a row by each of two hash functions (of all words if there are fewer).
+
+    ``words`` has to be a bound variable (see ``let``): as an expression it would be worked out again
+    for every place.
+    """
+    places = F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1)))
+    runs = F.transform(places, lambda i: F.xxhash64(F.slice(words, i, 3)))
+    return let(runs, lambda r: F.struct(F.array_min(r).alias("a"), F.array_min(F.transform(r, lambda h: F.xxhash64(h))).alias("b")))
+
+
+def _apart(chosen: list[str], word: str, held: np.ndarray) -> bool:
+    """Whether ``word`` is unlike all chosen ones; if so it is written to the next row of ``held``."""
+    s = symbols_of(word)
+    if len(s) < 3:
+        return False
+    v = features([s])[0]
+    if chosen and float((held[: len(chosen)] @ v).max()) >= APART:
+        return False
+    held[len(chosen)] = v
+    return True
 
 
 def choose_landmarks(docs: DataFrame, labels: DataFrame, limit: int = LANDMARKS) -> list[str]:
     """Words that mark toxic texts, unlike one another.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. Texts with the same smallest shingle, which near copies mostly have,
-    count as one, so that a group of copies doesn't make its words look toxic. The words of toxic texts
-    are ranked by how many of these hold them, if nine in ten of the texts that hold them are toxic,
-    they are in ``FEWEST`` texts, and chance would hardly make any of the words looked at so one-sided.
+    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. Texts that agree in the smallest shingle of
+    both of two hash functions, which near copies mostly do, count as one, so that a group of copies
+    doesn't make its words look toxic. The words of toxic texts are ranked by how many of these hold
+    them, if nine in ten of the texts that hold them are toxic, they are in ``FEWEST`` texts, and chance
+    would hardly make any of the words looked at so one-sided. Landmarks are chosen in rounds: the
+    first takes a half of ``limit`` by rank, each later one the words that are in most of the toxic
+    texts without a landmark so far, until no such text is left that holds another candidate.
     """
-    words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
-    tie = F.xxhash64("text").alias("tie")
-    marked = docs.where("text is not null").select("doc_id", tie, _smallest_shingle(F.array_distinct(words)).alias("mark")).join(labels, "doc_id")
+    split = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+    # Texts without a label stay where they are: a filter of bounded size tells most of them. Labels grow
+    # with the corpus, so both joins are planned alike at every size.
+    some = docs.where("text is not null").where(may_be_in(labels, "doc_id")(F.col("doc_id")))
+    known = some.join(labels.hint("merge"), "doc_id").select("doc_id", "toxic", F.xxhash64("text").alias("tie"), F.array_distinct(split).alias("words"))
+    usual = F.filter("words", lambda w: F.length(w).between(3, 24))
+    known = materialise(known.select("doc_id", "toxic", "tie", let(F.col("words"), _mark).alias("mark"), usual.alias("words")), "known")
     # Of texts that count as one, the same one whatever the order of rows; only ids are dealt out for it.
-    turn = F.struct(F.xxhash64("toxic", "tie").alias("turn"), "doc_id", "toxic", "tie")
-    once = materialise(marked.groupBy("mark").agg(F.min(turn).alias("r")).select("r.doc_id", "r.toxic", "r.tie"), "chosen")
-    texts = docs.where("text is not null").select("doc_id", tie, F.array_distinct(words).alias("words")).join(once, ["doc_id", "tie"])
-    texts = texts.dropDuplicates(["doc_id", "tie"])
-    each = texts.select("toxic", F.explode("words").alias("word")).where(F.length("word").between(3, 24))
+    one = known.groupBy("mark", "doc_id", "toxic", "tie").agg(F.count("*").alias("copies"))
+    turn = F.struct(F.xxhash64("toxic", "tie").alias("turn"), "doc_id", "toxic", "tie", "copies")
+    once = materialise(one.groupBy("mark").agg(F.min(turn).alias("r")).select("r.doc_id", "r.toxic", "r.tie", "r.copies"), "chosen")
     totals = once.agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).first()
-    counts = materialise(each.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(F.col("n") >= FEWEST), "words")
+    each = known.select("doc_id", "toxic", "tie", "words").join(once.hint("merge"), ["doc_id", "toxic", "tie"])
+    each = each.select("doc_id", "toxic", "tie", (1 / F.col("copies")).alias("part"), F.explode("words").alias("word"))
+    # A row that comes several times counts once in all.
+    sums = each.groupBy("word").agg(F.round(F.sum(F.col("toxic") * F.col("part"))).alias("bad"), F.round(F.sum("part")).alias("n"))
+    counts = materialise(sums.where(F.col("n") >= FEWEST), "words")
     # Log-likelihood ratio of a word's share of toxic texts against that of all; times the words looked at.
     base = F.lit(min(max((totals["bad"] or 0) / max(1, totals["n"]), 1e-9), 1 - 1e-9))
     good = F.col("n") - F.col("bad")
     ratio = F.col("bad") * F.log(F.col("bad") / (F.col("n") * base)) + F.when(good > 0, good * F.log(good / (F.col("n") * (1 - base)))).otherwise(0.0)
     tested = max(1, counts.count())
     sure = counts.where((F.col("bad") >= 0.9 * F.col("n")) & (ratio >= float(np.log(tested / CHANCE))))
-    bad = [r["word"] for r in sure.orderBy(F.desc("bad"), "word").limit(CANDIDATES).collect()]
+    ranked = sure.orderBy(F.desc("bad"), "word").limit(CANDIDATES).select("word").collect()
+    words = [r["word"] for r in ranked]
     chosen: list[str] = []
     held = np.zeros((limit, SYMBOLS**3), np.float32)
-    for w in bad:
-        if len(chosen) >= limit:
+    # Which toxic texts hold which candidates: at most CANDIDATES words are sent to the texts.
+    candidates = docs.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    among = materialise(each.where("toxic = 1").join(F.broadcast(candidates), "word").select("doc_id", "tie", "word").distinct(), "among") if words else None
+    share = limit // 2
+    while words and len(chosen) < limit:
+        before = len(chosen)
+        for w in words:
+            if len(chosen) >= min(limit, before + share):
+                break
+            if _apart(chosen, w, held):
+                chosen.append(w)
+        if len(chosen) == before:
             break
-        s = symbols_of(w)
-        if len(s) < 3:
-            continue
-        v = features([s])
-        if not chosen or float((held[: len(chosen)] @ v[0]).max()) < APART:
-            held[len(chosen)] = v[0]
-            chosen.append(w)
+        # The next round looks at the texts without any landmark.
+        covered = among.where(F.col("word").isin(chosen)).select("doc_id", "tie")
+        left = among.join(covered, ["doc_id", "tie"], "left_anti").groupBy("word").count()
+        words = [r["word"] for r in left.orderBy(F.desc("count"), "word").limit(CANDIDATES).collect()]
+        share = max(1, limit // 8)
     return chosen
 
 
