@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language, minhash, packing, personal, quality_rules, secrets, suffix_dedup, token_counts, toxicity, whitening
+from . import decontaminate, jaccard_join, language, minhash, packing, personal, phrases, quality_rules, secrets, sql, suffix_dedup, token_counts, toxicity, whitening
 from .common import table, tokenizer_file
 
 
@@ -60,6 +60,10 @@ def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -83,8 +87,9 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_collocations": op12_collocations,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": pipeline,
 }
 # The pipeline learns rules and hashes, so it has no SQL (corpus_pipeline.ORACLE_SQL is None).
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_collocations": sql.COLLOCATIONS}
