@@ -94,7 +94,8 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     """For each chunk its bytes, its words' starts, ends, rows and keys, and whether a word's next one follows in its piece."""
     langs = batch.column("lang").dictionary_encode()
     raw, offsets = tx.text_buffers(langs.dictionary)
-    of_lang = tx.span_hashes(raw, offsets[:-1], offsets[1:])[langs.indices.to_numpy(zero_copy_only=False)]
+    # Mixed once more, since a language may have the name of a word.
+    of_lang = tx.mix(tx.span_hashes(raw, offsets[:-1], offsets[1:]) ^ np.uint64(0x1F123BB5))[langs.indices.to_numpy(zero_copy_only=False)]
     for lo, _, raw, offsets in tx.chunks(batch.column("text")):
         starts, ends, rows = tx.spans(~_GAP[raw], offsets)
         if not len(starts):

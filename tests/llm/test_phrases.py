@@ -47,7 +47,7 @@ def run(spark, rows, least=phrases.LEAST, top=phrases.TOP):
 
 @pytest.fixture(scope="module")
 def rows():
-    words = "New york city of the and or é Ü x-1 #".split()
+    words = "New york city of the and or en de é Ü x-1 #".split()
     share = np.arange(len(words), 0, -1) / sum(range(1, len(words) + 1))
     texts = []
     for i in range(120):
