@@ -6,7 +6,9 @@ adaptive execution splits a fact key that turns out to be hot.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +45,50 @@ def attach_through(
     return attach(fact, table, grain)
 
 
+@dataclass(frozen=True)
+class Step:
+    """Columns that depend on some keys alone.
+
+    ``made`` is a table with one row per value of ``on``, or a function that adds its columns to any
+    table with these keys and keeps its rows.
+    """
+
+    on: Sequence[str]
+    made: DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def attach_by_grain(
+    fact: DataFrame, grains: Sequence[Sequence[str]], steps: Sequence[Step], asked: DataFrame | None = None
+) -> DataFrame:
+    """Attach every step with one join of the fact for each grain in use.
+
+    A step belongs to the smallest of ``grains`` that has its keys. Its columns are worked out on the
+    distinct values of that grain, which all of the grain's steps share, so the number of steps
+    doesn't show in the joins of the fact. Unknown keys are values like others. A step alone in its
+    grain, on all of it, is joined as it is. ``asked`` may name a table with the grains' columns that
+    is cheaper to read than the fact.
+    """
+    source = asked if asked is not None else fact
+    held: dict[tuple[str, ...], list[Step]] = {}
+    for step in steps:
+        fits = [tuple(g) for g in grains if set(step.on) <= set(g)]
+        if not fits:
+            raise ValueError(f"no grain has the keys {list(step.on)}")
+        held.setdefault(min(fits, key=len), []).append(step)
+    out = fact
+    for grain, own in held.items():
+        if len(own) == 1 and isinstance(own[0].made, DataFrame) and set(own[0].on) == set(grain):
+            out = attach(out, own[0].made, grain)
+            continue
+        table = source.select(*grain).distinct()
+        for step in own:
+            table = attach(table, step.made, step.on) if isinstance(step.made, DataFrame) else step.made(table)
+        named = table.withColumnsRenamed({k: f"_grain_{k}" for k in grain})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_grain_{k}")) for k in grain])
+        out = out.join(named, same, "left").drop(*[f"_grain_{k}" for k in grain])
+    return out
+
+
 def attach_prev_day(fact: DataFrame, daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of yesterday's statistic."""
     return attach(fact, daily.withColumn(DATE, F.date_add(DATE, 1)), [*keys, DATE])
@@ -113,23 +159,37 @@ def airport_columns(fact: DataFrame, airports: DataFrame, side: str, prefix: str
     return attach(fact, dim, [side])
 
 
+def _miles() -> Column:
+    return haversine_miles(F.col("_o_lat"), F.col("_o_lon"), F.col("_d_lat"), F.col("_d_lon"))
+
+
+def _placed(fact: DataFrame, airports: DataFrame) -> DataFrame:
+    """Zone and position of both ends, each airport looked up once."""
+    return airport_columns(airport_columns(fact, airports, "Origin", "_o"), airports, "Dest", "_d")
+
+
+_PLACE = [f"{end}_{c}" for end in ("_o", "_d") for c in ("lat", "lon", "TZ")]
+
+
 def haversine_distance(fact: DataFrame, airports: DataFrame) -> DataFrame:
     """``Distance`` from airport positions; NULL when either airport is unknown."""
-    placed = airport_columns(airport_columns(fact, airports, "Origin", "_o"), airports, "Dest", "_d")
-    miles = haversine_miles(F.col("_o_lat"), F.col("_o_lon"), F.col("_d_lat"), F.col("_d_lon"))
-    return placed.withColumn("Distance", miles).drop("_o_lat", "_o_lon", "_o_TZ", "_d_lat", "_d_lon", "_d_TZ")
+    return _placed(fact, airports).withColumn("Distance", _miles()).drop(*_PLACE)
 
 
-def local_times(fact: DataFrame, airports: DataFrame, overnight: bool = True) -> DataFrame:
+def local_times(fact: DataFrame, airports: DataFrame, overnight: bool = True, distance: bool = False) -> DataFrame:
     """Scheduled departure and arrival as local wall clocks and as instants.
 
     Each row uses its own airport's zone. The hour, minute and weekday come from the wall clock, so
     no zone conversion can move them. With ``overnight`` an arrival that is earlier on the clock than
-    the departure falls on the next day; the history pool is built without it.
+    the departure falls on the next day; the history pool is built without it. With ``distance`` the
+    airports' distance comes from the same lookup.
     """
     from ..functions.parse import hhmm_ts, num
 
-    df = airport_columns(airport_columns(fact, airports, "Origin", "Origin"), airports, "Dest", "Dest")
+    df = _placed(fact, airports)
+    if distance:
+        df = df.withColumn("Distance", _miles())
+    df = df.withColumnsRenamed({"_o_TZ": "Origin_TZ", "_d_TZ": "Dest_TZ"}).drop(*_PLACE)
     dep, arr = hhmm_ts(DATE, "CRSDepTime"), hhmm_ts(DATE, "CRSArrTime")
     dep = F.when(F.col("Origin_TZ").isNotNull(), dep)
     arr = F.when(F.col("Dest_TZ").isNotNull(), arr)
@@ -137,7 +197,7 @@ def local_times(fact: DataFrame, airports: DataFrame, overnight: bool = True) ->
         crosses = dep.isNotNull() & (num("CRSArrTime") < num("CRSDepTime"))
         arr = F.when(crosses, arr + F.expr("interval 1 day")).otherwise(arr)
     df = df.withColumns({"dep_dt_local": dep, "arr_dt_local": arr})
-    return df.withColumns(
+    df = df.withColumns(
         {
             "sched_dep_hour": F.hour("dep_dt_local"),
             "sched_dep_minute": F.minute("dep_dt_local"),
@@ -145,10 +205,13 @@ def local_times(fact: DataFrame, airports: DataFrame, overnight: bool = True) ->
             "sched_arr_hour": F.hour("arr_dt_local"),
             "dep_local_date": F.col("dep_dt_local").cast("date"),
             "arr_local_date": F.col("arr_dt_local").cast("date"),
-            "dep_utc": instant(F.col("dep_dt_local"), F.col("Origin_TZ")),
-            "arr_utc": instant(F.col("arr_dt_local"), F.col("Dest_TZ")),
         }
-    ).drop("Origin_lat", "Origin_lon", "Dest_lat", "Dest_lon")
+    )
+    # An arrival is on the flight's day or the one after it.
+    days = fact.select(F.explode(F.array(DATE, F.date_add(DATE, 1))).alias("day"))
+    offsets = zone_days(days, airports.select(F.col("Timezone").alias("zone")))
+    df = with_instant(df, offsets, "dep_utc", "dep_dt_local", "dep_local_date", "Origin_TZ")
+    return with_instant(df, offsets, "arr_utc", "arr_dt_local", "arr_local_date", "Dest_TZ")
 
 
 def instant(local: Column, zone: Column) -> Column:
@@ -159,6 +222,43 @@ def instant(local: Column, zone: Column) -> Column:
     )
 
 
+_MICROS = 1_000_000
+_DAY = 86_400 * _MICROS
+
+
+def zone_days(days: DataFrame, zones: DataFrame) -> DataFrame:
+    """Offsets from UTC for every zone and day: ``zone``, ``day``, ``before``, ``change``, ``after``.
+
+    ``days`` holds a column ``day`` and ``zones`` a column ``zone``; repeats and nulls don't matter.
+    The offset, in microseconds, is ``before`` up to the minute ``change`` of the day and ``after`` from
+    there on; on most days there is none, and ``change`` is NULL. Zone rules are looked at once for each
+    zone and day, and minute by minute only on days whose ends differ.
+    """
+    midnight = F.unix_date("day").cast("bigint") * _DAY
+
+    def offset(minute: Column) -> Column:
+        clock = F.timestamp_add("MINUTE", minute, F.col("day").cast("timestamp_ntz"))
+        return midnight + minute.cast("bigint") * 60 * _MICROS - F.unix_micros(instant(clock, F.col("zone")))
+
+    known = days.where("day is not null").distinct()
+    every = zones.where("zone is not null").agg(F.collect_set("zone").alias("zones"))
+    pairs = known.select("day", F.explode(every.scalar()).alias("zone"))
+    ends = pairs.select("*", offset(F.lit(0)).alias("before"), offset(F.lit(1440)).alias("after"))
+    minutes = F.sequence(F.lit(1), F.lit(1440))
+    first = F.array_min(F.filter(minutes, lambda m: offset(m) != F.col("before")))
+    return ends.select("zone", "day", "before", F.when(F.col("before") != F.col("after"), first).alias("change"), "after")
+
+
+def with_instant(df: DataFrame, offsets: DataFrame, out: str, local: str, day: str, zone: str) -> DataFrame:
+    """``out``, the instant of the wall clock ``local`` (on ``day``) in ``zone``, by a table of ``zone_days``."""
+    named = offsets.select(F.col("zone").alias(zone), F.col("day").alias(day), *[F.col(c).alias(f"_{c}") for c in ("before", "change", "after")])
+    minute = F.hour(local) * 60 + F.minute(local)
+    used = F.when(F.col("_change").isNotNull() & (minute >= F.col("_change")), F.col("_after")).otherwise(F.col("_before"))
+    wall = F.unix_date(day).cast("bigint") * _DAY + minute.cast("bigint") * 60 * _MICROS
+    wall = wall + (F.extract(F.lit("SECOND"), F.col(local)) * _MICROS).cast("bigint")
+    return attach(df, named, [zone, day]).withColumn(out, F.timestamp_micros(wall - used)).drop("_before", "_change", "_after")
+
+
 def daily_weather(fact: DataFrame, weather: DataFrame, side: str, prefix: str) -> DataFrame:
     """Weather of the day at an airport; ``weather`` is keyed (``airport``, ``FlightDate``)."""
     named = {c: f"{prefix}{c}" for c in weather.columns if c not in ("airport", DATE)}
@@ -203,18 +303,23 @@ def merge_hourly(archive: DataFrame, forecast: DataFrame, only_forecast: Sequenc
     return out.withColumns({v: F.lit(None).cast("double") for v in wanted if v not in out.columns})
 
 
-def report_visibility(fact: DataFrame, reports: DataFrame, at: str = "dep_utc") -> DataFrame:
-    """Visibility from the earliest airport report in the hour of departure.
+def hourly_visibility(reports: DataFrame) -> DataFrame:
+    """Visibility of the earliest report of each airport and hour, keyed (``Origin``, ``_hour``).
 
     ``reports`` holds ``airport``, ``valid_utc`` and ``visibility_m``.
     """
-    earliest = (
+    return (
         reports.filter(F.col("valid_utc").isNotNull())
         .groupBy(F.upper("airport").alias("Origin"), F.date_trunc("hour", "valid_utc").alias("_hour"))
         .agg(F.min_by(F.struct("visibility_m"), "valid_utc").alias("_v"))
         .select("Origin", "_hour", F.col("_v.visibility_m").alias("origin_dep_visibility_isd_m"))
     )
-    return attach(fact.withColumn("_hour", F.date_trunc("hour", at)), earliest, ["Origin", "_hour"]).drop("_hour")
+
+
+def report_visibility(fact: DataFrame, reports: DataFrame, at: str = "dep_utc") -> DataFrame:
+    """Visibility from the earliest airport report in the hour of departure."""
+    timed = fact.withColumn("_hour", F.date_trunc("hour", at))
+    return attach(timed, hourly_visibility(reports), ["Origin", "_hour"]).drop("_hour")
 
 
 def populated_rate(df: DataFrame, col: str) -> DataFrame:

@@ -293,8 +293,8 @@ def hub_median_wide(daily: DataFrame, hubs: Sequence[str]) -> DataFrame:
     )
 
 
-def hub_weather(fact: DataFrame, weather: DataFrame, hubs: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """Weather at each hub today and yesterday, on a gap-free range of days.
+def hub_weather_days(weather: DataFrame, hubs: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """Weather at each hub today and yesterday, on a gap-free range of days, one row per day.
 
     ``weather`` holds one row per ``airport`` and ``FlightDate``. A day missing from the range gives
     NULL for both, as yesterday is the calendar day before.
@@ -317,7 +317,13 @@ def hub_weather(fact: DataFrame, weather: DataFrame, hubs: Sequence[str], variab
         for v in variables
         for when in ("today", "yesterday")
     ]
-    return attach(fact, both.groupBy(DATE).agg(*picks), [DATE])
+    return both.groupBy(DATE).agg(*picks)
+
+
+def hub_weather(fact: DataFrame, weather: DataFrame, hubs: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """``hub_weather_days`` on the fact's day, through the fact's distinct days."""
+    days = hub_weather_days(weather, hubs, variables)
+    return attach_through(fact, [DATE], [([DATE], days)])
 
 
 # --- exactly yesterday --------------------------------------------------------------------------

@@ -172,6 +172,12 @@ def prior_leg_stats(
     return row_lags(daily, keys, {"prior_leg_depdelay_mean": "_v"}, windows)
 
 
+def first_leg(df: DataFrame) -> Column:
+    """1 on the aircraft's first leg of the day, 0 on others, NULL if legs aren't numbered."""
+    leg = F.col("tail_leg_num_day") if "tail_leg_num_day" in df.columns else F.lit(None).cast("int")
+    return (leg == 1).cast("int")
+
+
 def prior_leg_features(
     fact: DataFrame,
     hist: DataFrame,
@@ -180,8 +186,7 @@ def prior_leg_features(
     segment: str = SEGMENT,
 ) -> DataFrame:
     """First-leg flag, and how late the inbound leg of this flight number usually is."""
-    leg = F.col("tail_leg_num_day") if "tail_leg_num_day" in fact.columns else F.lit(None).cast("int")
-    out = fact.withColumn("is_first_leg_of_day", (leg == 1).cast("int"))
+    out = fact.withColumn("is_first_leg_of_day", first_leg(fact))
     stats = prior_leg_stats(hist, ties, windows, segment)
     return attach(out, stats, [CARRIER, FLIGHT_NUM, ORIGIN, DATE])
 

@@ -13,7 +13,6 @@ from ..functions.parse import between_days, clean_tail, flown, hhmm_hour, key_in
 from ..functions.weather import row_max, weather_units, wind_x_precip
 from ..operators import actions as act
 from ..operators import congestion, history, joins, lags, ordered, sampling, stats
-from ..operators.joins import attach_through
 from ..session import materialise
 from ..sources import sinks
 from .config import enabled, option
@@ -120,6 +119,26 @@ def dest_parts(cube: DataFrame, values: DataFrame | None, config: Mapping[str, A
     return parts
 
 
+# What the columns of a departure depend on; the finest grain is the row itself.
+STATION, AT_DEST, OF_TAIL = [CARRIER, ORIGIN, DATE], [DEST, DATE], [TAIL, DATE]
+HOUR, MINUTE = [ORIGIN, "_hour"], [ORIGIN, CARRIER, "_d", "_m"]
+FLIGHT = [*lags.FLIGHT_OD, DATE, "_day", "_t"]
+ROW = ["_row"]
+GRAINS = [STATION, AT_DEST, OF_TAIL, HOUR, MINUTE, FLIGHT, ROW]
+LEG = [*ROW, DATE, CARRIER, FLIGHT_NUM, TAIL, ORIGIN, DEST, "dep_dt_local", ordered.DEP, ordered.ARR]
+
+
+def leg_columns(base: DataFrame, ties: Sequence[str]) -> DataFrame:
+    """What follows from the order of an aircraft's and a flight number's legs, one row per row of ``base``.
+
+    Only keys and times go through the windows; the result joins the wide table once, by its row.
+    """
+    legs = base.select(*LEG, *[t for t in ties if t not in LEG])
+    legs = ordered.recent_arrival(ordered.tail_leg_number(legs, ties), ties)
+    legs = ordered.hours_since_first(materialise(ordered.turn_time(legs, ties), "legs"))
+    return ordered.tail_cascade(legs).drop(*[c for c in [*LEG, *ties] if c not in ROW])
+
+
 def features(
     fact: DataFrame,
     hist: DataFrame,
@@ -135,40 +154,50 @@ def features(
 
     ``config`` is the feature block of a configuration, and ``ties`` orders flights that leave at the
     same minute. The history is read once into two small cubes per station and day, which are written
-    down; those statistics meet on the distinct stations and days and reach the fact in one join. Keys
-    and times to look up come from the fact as given, never from the widened one, so a step does not
-    repeat the steps before it.
+    down. Every family of columns names the keys it depends on; families of one grain are put together
+    on its distinct values, and the fact is joined once per grain (``joins.attach_by_grain``). The base
+    is written once with a number for each row, so that what is looked up starts from stored rows.
     """
     windows = [int(w) for w in config.get("rolling_windows_days", lags.WINDOWS)]
-    base = out = base_columns(fact, config)
+    base = base_columns(fact, config).withColumns(congestion.local_minute()).withColumns(history.local_clock())
+    if "dep_utc" in base.columns:
+        base = base.withColumn("_hour", F.date_trunc("hour", "dep_utc"))
+    base = materialise(base.withColumn("_row", F.monotonically_increasing_id()), "base")
     hist = norm_keys(hist, [CARRIER, ORIGIN, DEST], [DATE]).withColumn(FLIGHT_NUM, key_int(FLIGHT_NUM))
     if TAIL in hist.columns:
         hist = hist.withColumn(TAIL, clean_tail(TAIL))
     held = flown() if delays_flown_only and "Cancelled" in hist.columns else F.lit(True)
     delays = hist.filter(held)
-    tails = enabled(config, "tail_history") and TAIL in out.columns
+    steps: list[joins.Step] = []
+    tails = enabled(config, "tail_history") and TAIL in base.columns
     if tails:
-        out = ordered.recent_arrival(ordered.tail_leg_number(out, ties), ties)
-        out = materialise(ordered.turn_time(out, ties), "legs")
-        out = ordered.tail_cascade(ordered.hours_since_first(out))
-    if reports is not None and "dep_utc" in out.columns:
-        out = joins.report_visibility(out, reports)
-    out = congestion.departure_congestion(out, hist, asked=base)
-    out = history.flight_history(out, delays, windows, int(config.get("low_support_leq", 2)), asked=base)
+        steps.append(joins.Step(ROW, leg_columns(base, ties)))
+    if reports is not None and "_hour" in base.columns:
+        steps.append(joins.Step(HOUR, joins.hourly_visibility(reports)))
+    steps.append(joins.Step(MINUTE, congestion.departure_counts(base, hist)))
+    low = int(config.get("low_support_leq", 2))
+    steps.append(joins.Step(FLIGHT, lambda asked: history.with_history(asked, delays, windows, low)))
     cube = materialise(lags.station_cube(hist, held), "cube")
     values = materialise(lags.value_cube(delays), "values") if enabled(config, "delay_median_last1") else None
-    out = attach_through(out, [CARRIER, ORIGIN, DATE], station_parts(cube, values, config, windows), base)
-    out = attach_through(out, [DEST, DATE], dest_parts(cube, values, config, windows), base)
+    for on, part in [*station_parts(cube, values, config, windows), *dest_parts(cube, values, config, windows)]:
+        steps.append(joins.Step(on, part))
     if enabled(config, "otp_rate_last14d"):
-        out = lags.otp_rate(out, hist)
+        steps.append(joins.Step([*lags.FLIGHT_OD, DATE], lags.otp_stats(hist)))
     if actions is not None and enabled(config, "strike"):
-        out = act.days_to_action(out, actions)
+        steps.append(joins.Step([CARRIER, DATE], lambda asked: act.days_to_action(asked, actions)))
     if tails and TAIL in hist.columns:
-        out = lags.tail_history(out, delays, windows)
-    if enabled(config, "prior_leg") and TAIL in hist.columns:
-        out = ordered.prior_leg_features(out, delays, ties, [w for w in windows if w > 1])
+        steps.append(joins.Step(OF_TAIL, lags.tail_stats(delays, windows)))
+    inbound = enabled(config, "prior_leg") and TAIL in hist.columns
+    if inbound:
+        prior = ordered.prior_leg_stats(delays, [t for t in ties if t in hist.columns], [w for w in windows if w > 1])
+        steps.append(joins.Step([CARRIER, FLIGHT_NUM, ORIGIN, DATE], prior))
     if hub_weather is not None:
-        out = lags.hub_weather(out, *hub_weather)
+        steps.append(joins.Step([DATE], lags.hub_weather_days(*hub_weather)))
+    out = joins.attach_by_grain(base, GRAINS, steps, base)
+    out = out.withColumns(congestion.other_departures()).drop("_all", "_mine")
+    if inbound:
+        out = out.withColumn("is_first_leg_of_day", ordered.first_leg(out))
+    out = out.drop("_row", "_hour", "_d", "_m", "_day", "_t")
     return out.withColumns(
         {
             "hub_max_lateaircraft_last1": row_max(out, r"hub_.*_lateaircraft_rate_last1"),

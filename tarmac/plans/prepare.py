@@ -30,7 +30,7 @@ def enrich(
 
     ``daily`` is keyed (``airport``, ``FlightDate``) and ``hourly`` (``airport``, ``hour_utc``).
     """
-    out = joins.haversine_distance(joins.local_times(fact, airports), airports)
+    out = joins.local_times(fact, airports, distance=True)
     if registry:
         out = joins.aircraft_type(out, *registry)
     if build_years is not None:
