@@ -57,9 +57,14 @@ _FLIGHT = {
     "Distance": "CAST(100 + l_partkey % 50 * 40 AS DOUBLE)",
 }
 
+_LEG_ID = {"leg_id": "(l_orderkey * 10 + l_linenumber) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT)"}
 
-def flights(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as flights of one year; the pair of keys is not unique, as in the table."""
+
+def flights(spark: SparkSession, sf: str, numbered: bool = False) -> DataFrame:
+    """Line items as flights of one year; the pair of keys is not unique, as in the table.
+
+    ``numbered`` adds ``leg_id``, which is.
+    """
     rows = table(spark, sf, "lineitem").join(
         table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left"
     )
@@ -68,16 +73,18 @@ def flights(spark: SparkSession, sf: str) -> DataFrame:
         F.date_add(F.lit("2024-01-01").cast("date"), offset.cast("int")).alias("FlightDate"),
         _airport("s_nationkey").alias("Origin"),
         _airport("l_partkey % 5 * 5").alias("Dest"),
-        *[F.expr(e).alias(n) for n, e in _FLIGHT.items()],
+        *[F.expr(e).alias(n) for n, e in (_FLIGHT | (_LEG_ID if numbered else {})).items()],
     )
 
 
-FLIGHTS = (
+_FLIGHTS = (
     "SELECT CAST(DATE '2024-01-01' + CAST((date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 360 + 360) % 360 AS INT) AS DATE)"
     f" AS FlightDate, {_airport_sql('s_nationkey')} AS Origin, {_airport_sql('l_partkey % 5 * 5')} AS Dest, "
     + ", ".join(f"{e} AS {n}" for n, e in _FLIGHT.items())
-    + " FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey"
 )
+_FROM_LINES = " FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey"
+FLIGHTS = _FLIGHTS + _FROM_LINES
+NUMBERED = _FLIGHTS + f", {_LEG_ID['leg_id']} AS leg_id" + _FROM_LINES
 
 _TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 
@@ -296,6 +303,7 @@ ORDERS = (
 
 VIEWS = {
     "flights": FLIGHTS,
+    "numbered": NUMBERED,
     "legs": LEGS,
     "airports": AIRPORT_DIM,
     "daily_wx": DAILY_WX,

@@ -635,11 +635,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     f = b.flights(spark, sf)
-    v = lags.signal_variants(f)
-    out = joins.attach(f.select(*FN_OD, DATE), v["origin_la_rate"], [ORIGIN, DATE])
-    out = joins.attach(out, v["carrier_la_rate"], [CARRIER, DATE])
-    out = joins.attach(out, v["otp_rate_14d"], [*FN_OD, DATE])
-    return plain(joins.attach(out, v["cancel_anomaly"], [CARRIER, DATE]))
+    return plain(lags.signal_variants(f.select(*FN_OD, DATE), f))
 
 
 @query(

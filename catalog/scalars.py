@@ -152,12 +152,14 @@ _HOLIDAYS = [
 ]
 
 
+HOLIDAY_SQL = " OR ".join(f"abs(date_diff('day', CAST({h} AS DATE), d)) <= {w}" for h, w in _HOLIDAYS)
+
+
 @query(
     "holiday_flags",
     "P12 P13",
-    "SELECT CAST(d AS VARCHAR) AS day, count(*) AS n, CAST("
-    + " OR ".join(f"abs(date_diff('day', CAST({h} AS DATE), d)) <= {w}" for h, w in _HOLIDAYS)
-    + " AS INT) AS is_holiday, CAST(strftime(d, '%m%d') BETWEEN '0315' AND '0415' AS INT) AS is_spring_break "
+    f"SELECT CAST(d AS VARCHAR) AS day, count(*) AS n, CAST({HOLIDAY_SQL}"
+    " AS INT) AS is_holiday, CAST(strftime(d, '%m%d') BETWEEN '0315' AND '0415' AS INT) AS is_spring_break "
     "FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY d",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_miles
 from ..functions.parse import registry_number
+from ..session import materialise
 
 DATE = "FlightDate"
 
@@ -81,6 +82,9 @@ def attach_by_grain(
             out = attach(out, own[0].made, grain)
             continue
         table = source.select(*grain).distinct()
+        if any(not isinstance(step.made, DataFrame) for step in own):
+            # Functions look at it several times.
+            table = materialise(table, "grain")
         for step in own:
             table = attach(table, step.made, step.on) if isinstance(step.made, DataFrame) else step.made(table)
         named = table.withColumnsRenamed({k: f"_grain_{k}" for k in grain})

@@ -12,14 +12,16 @@ All of them aggregate to one row per key and day first, so a window holds days,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import day_number, flown, hhmm_minutes, num, time_block, wrap_diff
+from ..session import materialise
 from .daily import daily_agg, daily_mean, daily_median, daily_rate, late_aircraft
-from .joins import attach, attach_asof_parts, attach_through
+from .joins import Step, attach, attach_asof_parts, attach_by_grain, attach_through
 
 DATE = "FlightDate"
 WINDOWS = (1, 7, 14)
@@ -222,6 +224,55 @@ def from_cube(cube: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[s
     )
 
 
+@dataclass(frozen=True)
+class Lag:
+    """One daily ratio of a cube's sums and what is wanted of its earlier days.
+
+    Only days whose ``counts_if`` sum is positive count as observed. ``score`` names a column and a
+    function of the key columns and the ratio's name (``cancel_z``, ``carrier_z``).
+    """
+
+    prefix: str
+    top: str
+    bottom: str
+    counts_if: str
+    windows: Sequence[int] = ()
+    std: str | None = None
+    suffix: str = ""
+    score: tuple[str, Callable[[str, Sequence[str]], Column]] | None = None
+
+
+def cube_lags(cube: DataFrame, keys: Sequence[str], measures: Sequence[Lag]) -> DataFrame:
+    """Rolling statistics of many measures, one row per key and day, from one shuffle of the cube.
+
+    Measures are observed on days of their own. The observed days of a measure are numbered, and its
+    frames run over those numbers, so that all measures share one table of days and one partitioning;
+    on a day that isn't observed a measure is NULL.
+    """
+    sums = sorted({c for m in measures for c in (m.top, m.bottom, m.counts_if)})
+    # Partitioned by the key alone, which serves the sums per day and all windows.
+    days = cube.na.drop(subset=list(keys)).repartition(*keys).groupBy(*keys, DATE).agg(*[F.sum(c).alias(c) for c in sums])
+    so_far = Window.partitionBy(*keys).orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0)
+    numbers = {c: F.count(F.when(F.col(c) > 0, 1)).over(so_far).alias(f"_at_{c}") for c in {m.counts_if for m in measures}}
+    values = [
+        F.when(F.col(m.counts_if) > 0, F.col(m.top) / F.nullif(m.bottom, F.lit(0))).alias(f"_v{i}") for i, m in enumerate(measures)
+    ]
+    days = days.select(*keys, DATE, *sorted({m.counts_if for m in measures}), *[numbers[c] for c in sorted(numbers)], *values)
+    out = []
+    for i, m in enumerate(measures):
+        seen = F.col(m.counts_if) > 0
+        for w in m.windows:
+            frame = Window.partitionBy(*keys).orderBy(f"_at_{m.counts_if}").rangeBetween(-w, -1)
+            out.append(F.when(seen, F.avg(f"_v{i}").over(frame)).alias(f"{m.prefix}_last{w}{m.suffix}"))
+            if m.std and w > 1:
+                spread = F.when(F.count(f"_v{i}").over(frame) >= 2, F.stddev_samp(f"_v{i}").over(frame))
+                out.append(F.when(seen, spread).alias(f"{m.std}_last{w}{m.suffix}"))
+        if m.score:
+            name, made = m.score
+            out.append(made(f"_v{i}", keys).alias(name))
+    return days.select(*keys, DATE, *out)
+
+
 def value_cube(hist: DataFrame) -> DataFrame:
     """Flights per carrier, origin, day and distinct delay, from which every median follows."""
     known = hist.withColumn("_x", num("DepDelayMinutes")).na.drop(subset=[DATE, "_x"])
@@ -377,11 +428,13 @@ def cancel_anomaly_stats(hist: DataFrame) -> DataFrame:
     return cancel_score(daily_agg(hist, [CARRIER], {"_r": F.avg(F.coalesce(num("Cancelled"), F.lit(0.0)))}))
 
 
+def cancel_z(rate: str, keys: Sequence[str]) -> Column:
+    """Mean rate of 7 days against 60, in deviations; every day of the key counts."""
+    return (row_mean(rate, keys, 7) - row_mean(rate, keys, 60, 7)) / F.nullif(row_std(rate, keys, 60, 7), F.lit(0.0))
+
+
 def cancel_score(daily: DataFrame) -> DataFrame:
-    score = (row_mean("_r", [CARRIER], 7) - row_mean("_r", [CARRIER], 60, 7)) / F.nullif(
-        row_std("_r", [CARRIER], 60, 7), F.lit(0.0)
-    )
-    return daily.select(CARRIER, DATE, score.alias("airline_cancel_rate_anomaly_7d"))
+    return daily.select(CARRIER, DATE, cancel_z("_r", [CARRIER]).alias("airline_cancel_rate_anomaly_7d"))
 
 
 def cancel_anomaly(fact: DataFrame, hist: DataFrame) -> DataFrame:
@@ -394,11 +447,15 @@ def carrier_anomaly_stats(hist: DataFrame) -> DataFrame:
     return carrier_score(daily_rate(hist, [CARRIER], held, "_r"))
 
 
-def carrier_score(daily: DataFrame) -> DataFrame:
-    spread = row_std("_r", [CARRIER], 60, 14)
+def carrier_z(rate: str, keys: Sequence[str]) -> Column:
+    """The same with the deviation floored at 0.01 and more days asked for."""
+    spread = row_std(rate, keys, 60, 14)
     floored = F.when(spread.isNotNull(), F.greatest(spread, F.lit(0.01)))
-    score = (row_mean("_r", [CARRIER], 7, 3) - row_mean("_r", [CARRIER], 60, 14)) / floored
-    return daily.select(CARRIER, DATE, score.alias("carrier_delay_rate_anomaly_7d"))
+    return (row_mean(rate, keys, 7, 3) - row_mean(rate, keys, 60, 14)) / floored
+
+
+def carrier_score(daily: DataFrame) -> DataFrame:
+    return daily.select(CARRIER, DATE, carrier_z("_r", [CARRIER]).alias("carrier_delay_rate_anomaly_7d"))
 
 
 def carrier_anomaly(fact: DataFrame, hist: DataFrame) -> DataFrame:
@@ -553,43 +610,82 @@ def trial_rolling(
     return row_lags(daily, keys, {prefix: "_v"}, windows, suffix="d")
 
 
-def trial_features(df: DataFrame) -> DataFrame:
-    """The trial set: taxi times, cancel, divert, weather and NAS rates, elapsed ratio, gate hold."""
-    def rate(c: str) -> Column:
+def trial_cube(df: DataFrame) -> DataFrame:
+    """Sums and known counts of the trial measures per carrier, route and day; one pass over the flights."""
+
+    def late(c: str) -> Column:
         return (F.coalesce(num(c), F.lit(0.0)) > 0).cast("double")
 
-    ratio = num("ActualElapsedTime") / F.nullif(num("CRSElapsedTime"), F.lit(0.0))
-    gate = F.coalesce(num("TotalAddGTime"), F.lit(0.0))
-    specs = [
-        (["TaxiOut"], [ORIGIN], num("TaxiOut"), "taxi_out_mean_origin", WINDOWS),
-        (["TaxiIn"], [DEST], num("TaxiIn"), "taxi_in_mean_dest", WINDOWS),
-        (["Cancelled"], [ORIGIN], num("Cancelled"), "cancel_rate_origin", WINDOWS),
-        (["Cancelled"], [CARRIER], num("Cancelled"), "cancel_rate_carrier", (1, 7)),
-        (["Diverted"], [ORIGIN], num("Diverted"), "divert_rate_origin", (7, 14)),
-        (["ActualElapsedTime", "CRSElapsedTime"], [ORIGIN, DEST], ratio, "elapsed_time_ratio", (14,)),
-        (["WeatherDelay"], [CARRIER], rate("WeatherDelay"), "carrier_wxdelay_rate", (1, 7)),
-        (["NASDelay"], [ORIGIN], rate("NASDelay"), "origin_nasdelay_rate", (1, 7)),
-        (["TotalAddGTime"], [ORIGIN], gate, "gate_hold_mean_origin", (1, 7)),
-    ]
-    out = df
-    for needs, keys, value, prefix, windows in specs:
+    values = {
+        "taxi_out": (["TaxiOut"], lambda: num("TaxiOut")),
+        "taxi_in": (["TaxiIn"], lambda: num("TaxiIn")),
+        "cancelled": (["Cancelled"], lambda: num("Cancelled")),
+        "diverted": (["Diverted"], lambda: num("Diverted")),
+        "ratio": (["ActualElapsedTime", "CRSElapsedTime"], lambda: num("ActualElapsedTime") / F.nullif(num("CRSElapsedTime"), F.lit(0.0))),
+        "weather": (["WeatherDelay"], lambda: late("WeatherDelay")),
+        "nas": (["NASDelay"], lambda: late("NASDelay")),
+        "gate": (["TotalAddGTime"], lambda: F.coalesce(num("TotalAddGTime"), F.lit(0.0))),
+    }
+    sums = [F.count(F.lit(1)).alias("n_all")]
+    for name, (needs, value) in values.items():
         if set(needs) <= set(df.columns):
-            out = attach(out, trial_rolling(df, keys, value, prefix, windows), [*keys, DATE])
-    return out
+            v = value()
+            sums += [F.coalesce(F.sum(v), F.lit(0.0)).alias(f"s_{name}"), F.count(v).alias(f"n_{name}")]
+    return df.filter(F.col(DATE).isNotNull()).groupBy(CARRIER, ORIGIN, DEST, DATE).agg(*sums)
+
+
+_TRIAL = [
+    ([ORIGIN], "taxi_out", "taxi_out_mean_origin", WINDOWS),
+    ([DEST], "taxi_in", "taxi_in_mean_dest", WINDOWS),
+    ([ORIGIN], "cancelled", "cancel_rate_origin", WINDOWS),
+    ([CARRIER], "cancelled", "cancel_rate_carrier", (1, 7)),
+    ([ORIGIN], "diverted", "divert_rate_origin", (7, 14)),
+    ([ORIGIN, DEST], "ratio", "elapsed_time_ratio", (14,)),
+    ([CARRIER], "weather", "carrier_wxdelay_rate", (1, 7)),
+    ([ORIGIN], "nas", "origin_nasdelay_rate", (1, 7)),
+    ([ORIGIN], "gate", "gate_hold_mean_origin", (1, 7)),
+]
 
 
-def signal_variants(hist: DataFrame, late_from: float = 15.0) -> dict[str, DataFrame]:
-    """Readings compared in the signal study, each keyed and dated for an equi-join.
+def trial_features(df: DataFrame) -> DataFrame:
+    """The trial set: taxi times, cancel, divert, weather and NAS rates, elapsed ratio, gate hold.
 
-    Late-aircraft rates of yesterday at a threshold, on-time share from unweighted daily means, and
-    the cancellation z-score dated one more day later.
+    The flights are read into one cube per carrier, route and day. Every key set of it gives one table
+    for all of its measures, and the fact is joined once, through its distinct routes and days. Days
+    without a value keep their place.
     """
-    late = F.coalesce(num("LateAircraftDelay"), F.lit(0.0)) >= late_from
-    kept = hist.filter(flown() & num("DepDelayMinutes").isNotNull())
-    ontime = daily_rate(kept, FLIGHT_OD, num("DepDelayMinutes") <= 15, "_r")
-    return {
-        "origin_la_rate": next_day(daily_rate(hist, [ORIGIN], late, "origin_la_rate")),
-        "carrier_la_rate": next_day(daily_rate(hist, [CARRIER], late, "carrier_la_rate")),
-        "otp_rate_14d": row_lags(ontime, FLIGHT_OD, {"otp_rate_unweighted": "_r"}, [14]),
-        "cancel_anomaly": next_day(cancel_anomaly_stats(hist)),
-    }
+    cube = materialise(trial_cube(df), "trial")
+    steps = []
+    for keys in ([ORIGIN], [DEST], [CARRIER], [ORIGIN, DEST]):
+        own = [Lag(p, f"s_{v}", f"n_{v}", "n_all", w, suffix="d") for k, v, p, w in _TRIAL if k == keys and f"n_{v}" in cube.columns]
+        if own:
+            steps.append(Step([*keys, DATE], cube_lags(cube, keys, own)))
+    return attach_by_grain(df, [[CARRIER, ORIGIN, DEST, DATE]], steps, cube)
+
+
+def signal_variants(fact: DataFrame, hist: DataFrame, late_from: float = 15.0) -> DataFrame:
+    """Readings compared in the signal study, on the fact.
+
+    Late-aircraft rates of yesterday at a threshold, on-time share from unweighted daily means, and the
+    cancellation z-score dated one more day later. All come from one cube per flight number, route and
+    day, and reach the fact in one join.
+    """
+    late = (F.coalesce(num("LateAircraftDelay"), F.lit(0.0)) >= late_from).cast("bigint")
+    known = flown() & num("DepDelayMinutes").isNotNull()
+    cube = hist.filter(F.col(DATE).isNotNull()).groupBy(*FLIGHT_OD, DATE).agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.sum(late).alias("n_late"),
+        F.coalesce(F.sum(F.coalesce(num("Cancelled"), F.lit(0.0))), F.lit(0.0)).alias("s_cancelled"),
+        F.count(F.when(known, 1)).alias("n_known"),
+        F.count(F.when(known & (num("DepDelayMinutes") <= 15), 1)).alias("n_ontime"),
+    )
+    cube = materialise(cube, "signals")
+    z = Lag("", "s_cancelled", "n_all", "n_all", score=("airline_cancel_rate_anomaly_7d", cancel_z))
+    ontime = Lag("otp_rate_unweighted", "n_ontime", "n_known", "n_known", [14])
+    steps = [
+        Step([ORIGIN, DATE], next_day(from_cube(cube, [ORIGIN], {"origin_la_rate": ("n_late", "n_all")}))),
+        Step([CARRIER, DATE], next_day(from_cube(cube, [CARRIER], {"carrier_la_rate": ("n_late", "n_all")}))),
+        Step([*FLIGHT_OD, DATE], cube_lags(cube, FLIGHT_OD, [ontime])),
+        Step([CARRIER, DATE], next_day(cube_lags(cube, [CARRIER], [z]))),
+    ]
+    return attach_by_grain(fact, [[*FLIGHT_OD, DATE]], steps)

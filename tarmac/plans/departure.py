@@ -52,58 +52,52 @@ def base_columns(fact: DataFrame, config: Mapping[str, Any]) -> DataFrame:
 def station_parts(cube: DataFrame, values: DataFrame | None, config: Mapping[str, Any], windows: Sequence[int]) -> list[Part]:
     """Statistics keyed by some of carrier, origin and day, all from the two cubes.
 
-    Delay statistics rest on the rows the cube marks as held, rates on all of them.
+    Delay statistics rest on the rows the cube marks as held, rates on all of them. Each set of keys has
+    one table for all rolling measures, and one for what is asked of exactly yesterday.
     """
-    delay = {"_v": ("s_delay", "n_delay")}
 
-    def rolling(keys: list[str], prefix: str) -> Part:
-        daily = lags.from_cube(cube, keys, delay, "n_delay")
-        return [*keys, DATE], lags.row_lags(daily, keys, {f"{prefix}_mean": "_v"}, windows, {f"{prefix}_std": "_v"})
+    def delay(prefix: str) -> lags.Lag:
+        return lags.Lag(f"{prefix}_mean", "s_delay", "n_delay", "n_delay", windows, f"{prefix}_std")
 
-    causes = {"_nas": ("n_nas", "n_held"), "_late": ("n_late", "n_held"), "_wx": ("n_weather", "n_held")}
-    at_origin = lags.row_lags(
-        lags.from_cube(cube, [ORIGIN], causes, "n_held"),
-        [ORIGIN],
-        {"origin_nas_rate": "_nas", "origin_lateaircraft_rate": "_late", "origin_weather_rate": "_wx"},
-        windows,
-    )
-    by_carrier = lags.row_lags(
-        lags.from_cube(cube, [CARRIER], {"_late": causes["_late"]}, "n_held"),
-        [CARRIER],
-        {"carrier_lateaircraft_rate": "_late"},
-        windows,
-    )
-    parts: list[Part] = [
-        rolling([CARRIER], "carrier_depdelay"),
-        rolling([CARRIER, ORIGIN], "carrier_origin_depdelay"),
-        rolling([ORIGIN], "origin_depdelay"),
-        ([ORIGIN, DATE], at_origin),
-        ([CARRIER, DATE], by_carrier),
-    ]
+    def rate(prefix: str, top: str) -> lags.Lag:
+        return lags.Lag(prefix, top, "n_held", "n_held", windows)
+
+    rolling: dict[str, list[lags.Lag]] = {
+        CARRIER: [delay("carrier_depdelay"), rate("carrier_lateaircraft_rate", "n_late")],
+        ORIGIN: [
+            delay("origin_depdelay"),
+            rate("origin_nas_rate", "n_nas"),
+            rate("origin_lateaircraft_rate", "n_late"),
+            rate("origin_weather_rate", "n_weather"),
+        ],
+    }
+    if enabled(config, "divert_rate_last14d"):
+        rolling[ORIGIN].append(lags.Lag("divert_rate_origin", "n_diverted", "n_all", "n_all", [14], suffix="d"))
+    if enabled(config, "cancel_anomaly_7d"):
+        score = ("airline_cancel_rate_anomaly_7d", lags.cancel_z)
+        rolling[CARRIER].append(lags.Lag("", "s_cancelled", "n_all", "n_all", score=score))
+    if enabled(config, "strike"):
+        score = ("carrier_delay_rate_anomaly_7d", lags.carrier_z)
+        rolling[CARRIER].append(lags.Lag("", "n_carrier_all", "n_all", "n_all", score=score))
+    parts: list[Part] = [([key, DATE], lags.cube_lags(cube, [key], own)) for key, own in rolling.items()]
+    parts.append(([CARRIER, ORIGIN, DATE], lags.cube_lags(cube, [CARRIER, ORIGIN], [delay("carrier_origin_depdelay")])))
+
+    yesterday = {}
+    if enabled(config, "nas_rate_last1d"):
+        yesterday["origin_nasdelay_rate_last1d"] = ("n_nas_all", "n_all")
+    if enabled(config, "cancel_rate_last1d"):
+        yesterday["cancel_rate_origin_last1d"] = ("n_cancelled", "n_all")
+    if yesterday:
+        parts.append(([ORIGIN, DATE], lags.next_day(lags.from_cube(cube, [ORIGIN], yesterday))))
     hubs = option(config, "hub_spillover", "hubs", [])
     if hubs and enabled(config, "hub_spillover", True):
-        daily = lags.from_cube(cube, [ORIGIN], {**delay, "_late": causes["_late"]}, "n_held")
+        daily = lags.from_cube(cube, [ORIGIN], {"_v": ("s_delay", "n_delay"), "_late": ("n_late", "n_held")}, "n_held")
         parts.append(([DATE], lags.hub_lags(daily, hubs, windows)))
     if values is not None:
         for keys, name in (([CARRIER], "carrier_depdelay_median_last1"), ([CARRIER, ORIGIN], "carrier_origin_depdelay_median_last1")):
             parts.append(([*keys, DATE], lags.next_day(lags.median_from(values, keys, name))))
         if hubs:
             parts.append(([DATE], lags.hub_median_wide(lags.median_from(values, [ORIGIN], "_m"), hubs)))
-
-    def rate(keys: list[str], num_: str, den: str, out: str) -> DataFrame:
-        return lags.from_cube(cube, keys, {out: (num_, den)})
-
-    if enabled(config, "nas_rate_last1d"):
-        parts.append(([ORIGIN, DATE], lags.next_day(rate([ORIGIN], "n_nas_all", "n_all", "origin_nasdelay_rate_last1d"))))
-    if enabled(config, "cancel_rate_last1d"):
-        parts.append(([ORIGIN, DATE], lags.next_day(rate([ORIGIN], "n_cancelled", "n_all", "cancel_rate_origin_last1d"))))
-    if enabled(config, "divert_rate_last14d"):
-        daily = rate([ORIGIN], "n_diverted", "n_all", "_r")
-        parts.append(([ORIGIN, DATE], lags.row_lags(daily, [ORIGIN], {"divert_rate_origin": "_r"}, [14], suffix="d")))
-    if enabled(config, "cancel_anomaly_7d"):
-        parts.append(([CARRIER, DATE], lags.cancel_score(rate([CARRIER], "s_cancelled", "n_all", "_r"))))
-    if enabled(config, "strike"):
-        parts.append(([CARRIER, DATE], lags.carrier_score(rate([CARRIER], "n_carrier_all", "n_all", "_r"))))
     return parts
 
 

@@ -266,6 +266,50 @@ def test_actions_either_and_both(spark):
         act.action_severity(fact, calendar, "neither")
 
 
+def test_actions_of_any_length_against_brute_force(spark):
+    """Overlapping intervals, some without end in sight, against every pair of flight and action."""
+    rng = random.Random(4)
+    fields = "event_id string, airline_iata string, scope string, affected_airports string, action_start_date date, action_end_date date, severity int, worker_type string, cooling_off_start date"
+    rows = []
+    for i in range(40):
+        start = DAY0 + dt.timedelta(days=rng.randrange(-20, 60))
+        end = rng.choice([None, start, start + dt.timedelta(days=rng.randrange(1, 30)), start - dt.timedelta(days=2), dt.date(9999, 12, 31)])
+        spots = rng.choice(["ALL", "DEN", "DEN, LAS", "BOS"])
+        cool = rng.choice([None, start - dt.timedelta(days=rng.randrange(0, 40))])
+        rows.append((f"E{i}", rng.choice(["WN", "AA", "ALL"]), rng.choice(["airport_specific", "airline_wide"]), spots, start, end, rng.randrange(1, 6), rng.choice(["pilot", "atc", None]), cool))
+    asked = [(c, o, DAY0 + dt.timedelta(days=d)) for c in ("WN", "UA") for o in ("DEN", "BOS") for d in range(0, 70, 3)]
+    fact = spark.createDataFrame(asked, "Reporting_Airline string, Origin string, FlightDate date")
+    calendar = spark.createDataFrame(rows, fields)
+    got = {(r.Reporting_Airline, r.Origin, r.FlightDate): r for r in act.action_features(fact, calendar).collect()}
+    worst = {(r.Reporting_Airline, r.Origin, r.FlightDate): r.strike_severity for r in act.action_severity(fact, calendar).collect()}
+    for c, o, day in asked:
+        def at(a, c=c, o=o):
+            wide = a[2] == "airline_wide" or a[3] == "ALL"
+            return a[1] in ("ALL", c), wide or o in a[3].split(", ")
+
+        on = [a for a in rows if a[4] <= day <= (a[5] or a[4])]
+        r = got[c, o, day]
+        assert worst[c, o, day] == max([a[6] for a in on if all(at(a))], default=0)
+        assert r.strike_severity == max([a[6] for a in on if any(at(a))], default=0)
+        assert r.strike_active_carrier == int(any(at(a)[0] for a in on)) and r.strike_active_origin == int(any(at(a)[1] for a in on))
+        ahead = [(a[4] - day).days for a in rows if at(a)[0] and 0 <= (a[4] - day).days <= 90]
+        since = [(day - (a[5] or a[4])).days for a in rows if at(a)[0] and 0 <= (day - (a[5] or a[4])).days <= 90]
+        left = [30 - (day - a[8]).days for a in rows if a[8] and at(a)[0] and 0 <= (day - a[8]).days <= 30]
+        assert (r.days_to_strike, r.days_since_strike_end, r.cooling_off_days_remaining) == tuple(min(x, default=None) for x in (ahead, since, left))
+        assert r.strike_spillover_origin == int(any(at(a)[1] and a[1] not in ("ALL", c) for a in on))
+
+
+def test_steps_meet_on_their_grain(spark):
+    fact = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", None), (4, None, "y")], "id int, k string, o string")
+    by_k = spark.createDataFrame([("a", 10), ("b", 20)], "k string, v int")
+    by_o = spark.createDataFrame([("x", 1.5), ("y", 2.5)], "o string, w double")
+    steps = [joins.Step(["k"], by_k), joins.Step(["o"], by_o), joins.Step(["k", "o"], lambda t: t.withColumn("both", F.concat_ws("-", "k", "o")))]
+    got = {r.id: (r.v, r.w, r.both) for r in joins.attach_by_grain(fact, [["k", "o"], ["id"]], steps).collect()}
+    assert got == {1: (10, 1.5, "a-x"), 2: (10, 1.5, "a-x"), 3: (20, None, "b"), 4: (None, 2.5, "y")}
+    with pytest.raises(ValueError):
+        joins.attach_by_grain(fact, [["k"]], [joins.Step(["o"], by_o)])
+
+
 def test_empty_and_incomplete_tables_fail(spark):
     empty = spark.createDataFrame([], "Origin string, Distance double")
     got = {(r.check, r.status) for r in quality.validate_features(empty, ["Origin"]).collect()}
