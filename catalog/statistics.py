@@ -182,6 +182,26 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return plain(stats.spearman_matrix(b.flights(spark, sf), MATRIX))
 
 
+# Every numeric column of the flights; some are unknown in rows of their own.
+NUMERIC = (
+    "CRSDepTime CRSArrTime WheelsOff DepDelayMinutes ArrDelayMinutes CarrierDelay WeatherDelay NASDelay LateAircraftDelay Cancelled Diverted "
+    "CRSElapsedTime ActualElapsedTime AirTime TaxiOut TaxiIn Distance"
+).split()
+
+
+@query(
+    "spearman_every_pair",
+    "A22 A33",
+    b.sql(
+        "flights",
+        "SELECT feature, target, n, round(rho, 6) + 0.0 AS rho FROM h",
+        h=" UNION ALL ".join(rho_sql("flights", x, y) for x, y in combinations(NUMERIC, 2)),
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(stats.spearman(b.flights(spark, sf), list(combinations(NUMERIC, 2))))
+
+
 @query(
     "partial_spearman",
     "A23",

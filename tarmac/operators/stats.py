@@ -9,7 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import average_ranks, long_form, quantile_bins, quantiles
+from ..session import materialise
+from .ranks import long_form, quantile_bins, quantiles, running_totals
 
 PERCENTILES = (0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
 
@@ -234,39 +235,60 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] =
     return one.select(*by, F.inline(F.array(*rows)))
 
 
+def _null_classes(rows: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """A number for each column, equal for columns that are unknown in the same rows.
+
+    Each column has one 64-bit fingerprint of the rows in which it is unknown.
+    """
+    prints = rows.agg(*[F.bit_xor(F.when(F.col(c).isNull(), F.xxhash64("_row"))).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    seen: dict[object, int] = {}
+    return {c: seen.setdefault(prints[i], len(seen)) for i, c in enumerate(cols)}
+
+
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
     """Spearman correlation of many pairs, each over the rows where both are known.
 
-    Rows become counts of distinct (x, y), ranks of x and of y are computed on their own distinct
-    values and joined back to the counts. The mean rank is (N + 1) / 2, so sums are centred and need
-    no second pass.
+    Within those rows a column's ranks depend on which rows its partner lacks, and on nothing else of
+    it. So each column is ranked once for every set of rows that some column lacks (once in all, if none
+    has unknown values), all in one pass over its distinct values. The ranks, less their mean, go back to
+    the rows, and one aggregate sums the products of all pairs. Rows are laid out once per column, not
+    per pair, and equal rows count as one with a weight.
     """
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("feature"),
-                F.lit(b).alias("target"),
-                F.col(a).cast("double").alias("x"),
-                F.col(b).cast("double").alias("y"),
-            )
-            for a, b in pairs
-        ]
-    )
-    keys = [*by, "feature", "target"]
-    rows = df.select(*by, F.inline(cells)).filter("x is not null and y is not null")
-    joint = rows.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    rx = average_ranks(rows, keys, "x").select(*keys, "x", F.col("rank").alias("rx"), "total_n")
-    ry = average_ranks(rows, keys, "y").select(*keys, "y", F.col("rank").alias("ry"))
-    full = joint.join(rx, [*keys, "x"]).join(ry, [*keys, "y"])
-    dx, dy = (F.col(r) - (F.col("total_n") + 1) / 2 for r in ("rx", "ry"))
-    sums = full.groupBy(*keys).agg(
-        F.sum(F.col("n") * dx * dy).alias("_xy"),
-        F.sum(F.col("n") * dx * dx).alias("_xx"),
-        F.sum(F.col("n") * dy * dy).alias("_yy"),
-        F.max("total_n").alias("n"),
-    )
-    rho = F.col("_xy") / F.nullif(F.sqrt(F.col("_xx") * F.col("_yy")), F.lit(0.0))
-    return sums.select(*keys, "n", rho.alias("rho"))
+    cols = sorted({c for pair in pairs for c in pair})
+    known = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    known = known.na.drop(subset=list(by)) if by else known
+    rows = known.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("_w"))
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    of = _null_classes(rows, cols)
+    example = {k: c for c, k in of.items()}
+    sets = sorted(example)
+    # Weight of a row in each set of rows: zero where the set's columns are unknown.
+    weights = [F.when(F.col(example[k]).isNotNull(), F.col("_w")).otherwise(0).alias(f"_n{k}") for k in sets]
+    cells = F.array(*[F.struct(F.lit(c).alias("_feature"), F.col(c).alias("_value")) for c in cols])
+    long = rows.select(*by, "_row", *weights, F.inline(cells)).filter("_value is not null")
+    keys = [*by, "_feature"]
+    counts = long.groupBy(*keys, "_value").agg(*[F.sum(f"_n{k}").alias(f"_n{k}") for k in sets])
+    totals = running_totals(counts, keys, ["_value"], [f"_n{k}" for k in sets])
+    # The mean rank is (N + 1) / 2, so what is left of before + (n + 1) / 2 is this.
+    centred = [(F.col(f"before__n{k}") + (F.col(f"_n{k}") - F.col(f"total__n{k}")) / 2).alias(f"_c{k}") for k in sets]
+    ranked = long.select(*keys, "_value", "_row").join(totals.select(*keys, "_value", *centred), [*keys, "_value"])
+    wanted = sorted({(a, of[b]) for a, b in pairs} | {(b, of[a]) for a, b in pairs})
+    place = {cell: f"_r{i}" for i, cell in enumerate(wanted)}
+    wide = ranked.groupBy("_row").agg(*[F.max(F.when(F.col("_feature") == c, F.col(f"_c{k}"))).alias(place[c, k]) for c, k in wanted])
+    full = rows.join(wide, "_row")
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.col(place[a, of[b]]), F.col(place[b, of[a]])
+        for name, product in (("xy", x * y), ("xx", x * x), ("yy", y * y)):
+            sums.append(F.sum(F.when(both, F.col("_w") * product)).alias(f"_{name}{i}"))
+        sums.append(F.sum(F.when(both, F.col("_w"))).alias(f"_n{i}"))
+    one = full.groupBy(*by).agg(*sums)
+    out = []
+    for i, (a, b) in enumerate(pairs):
+        rho = F.col(f"_xy{i}") / F.nullif(F.sqrt(F.col(f"_xx{i}") * F.col(f"_yy{i}")), F.lit(0.0))
+        out.append(F.struct(F.lit(a).alias("feature"), F.lit(b).alias("target"), F.col(f"_n{i}").alias("n"), rho.alias("rho")))
+    return one.select(*by, F.inline(F.array(*out))).filter("n > 0")
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
