@@ -20,7 +20,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return b.flights(spark, sf).withColumns({"y": y, "month": F.month("FlightDate"), "region": lookups.us_region(F.col("Origin"))})
 
 
-_REGION = {a: r for r, codes in lookups.REGION_AIRPORTS.items() for a in codes.split()}
+_REGION = lookups.REGION
 _REGION_SQL = "CASE Origin " + " ".join(f"WHEN '{a}' THEN '{_REGION.get(a, 'Other')}'" for a in b.AIRPORTS) + " END"
 LAB = f"SELECT *, {Y} AS y, CAST(month(FlightDate) AS INT) AS month, {_REGION_SQL} AS region FROM flights"
 

@@ -14,8 +14,6 @@ from .registry import plain, query
 
 FEATS = models.Features(["TaxiOut", "AirTime", "CRSElapsedTime", "Distance"], ["Reporting_Airline", "Dest"])
 LIMITS = [15, 30, 60, 120]
-# Trees of each fit in these queries; the operators themselves default to 20 of depth 4.
-TREES = {"maxIter": 5, "maxDepth": 4}
 KEY = ["FlightDate", "Reporting_Airline", "Origin", "Dest", "CRSDepTime", "TaxiOut", "AirTime", "Tail_Number"]
 
 
@@ -29,7 +27,7 @@ def rows(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """All thresholds fitted and calibrated on early days, scored on the last ones."""
     train, test = sampling.split_last_days(rows(spark, sf), 60)
-    fitted = models.fit_ordinal(train, [f"y_dep_ge{t}" for t in LIMITS], FEATS, KEY, {f"y_dep_ge{t}": TREES for t in LIMITS})
+    fitted = models.fit_ordinal(train, [f"y_dep_ge{t}" for t in LIMITS], FEATS, KEY)
     scored = models.score(test, {t: fitted[f"y_dep_ge{t}"] for t in LIMITS}, FEATS, [7.5, 22.5, 45.0, 90.0, 150.0])
     cols = [c for c in scored.columns if c.startswith(("p_ge", "p_bin"))]
     return plain(scored.select("FlightDate", "Reporting_Airline", *cols, "expected_delay_minutes", "severity_score", "pred_bin", "delay_probabilities"))
@@ -39,7 +37,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Balanced class weights, calibration, and the cut with the largest TPR - FPR."""
     train, test = sampling.split_last_days(rows(spark, sf), 60)
-    model = models.fit_cancellation(train, "Cancelled", FEATS, KEY, TREES)
+    model = models.fit_cancellation(train, "Cancelled", FEATS, KEY)
     return plain(evaluate.youden(models.probability(model, test, FEATS, "p"), "Cancelled", "p"))
 
 
@@ -47,7 +45,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     train, test = sampling.split_last_days(rows(spark, sf), 60)
     variants = {"base": models.Features(["TaxiOut"]), "with_airtime": models.Features(["TaxiOut", "AirTime"]), "with_carrier": models.Features(["TaxiOut"], ["Reporting_Airline"])}
-    return plain(models.compare_feature_sets(train, test, "y_dep_ge15", variants, TREES))
+    return plain(models.compare_feature_sets(train, test, "y_dep_ge15", variants))
 
 
 @query("logistic_comparison", "M06")
@@ -65,7 +63,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     ahead = ordered.tail_schedule(ordered.turn_time(legs, ["leg_id"]))
     data = sampling.split_dates(days.join(ahead, ["Tail_Number", "FlightDate"]))
     feats = models.Features(["n_legs", "mean_turn", "min_sched_dep", "max_sched_dep", "n_airports", "mean_distance"])
-    model = models.fit_threshold(data.filter("is_train"), "cascade", feats, params=TREES)
+    model = models.fit_threshold(data.filter("is_train"), "cascade", feats)
     scored = models.raw_probability(model, data.filter("not is_train"), feats, "p").withColumn("all", F.lit("all"))
     auc = evaluate.auc_table(scored, ["all"], "cascade", "p")
     return plain(auc.join(evaluate.average_precision(scored, "cascade", "p", ["all"]), ["all"]).drop("all"))
@@ -74,7 +72,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("per_carrier_models", "M08 L09")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     feats = models.Features(["TaxiOut", "AirTime", "CRSElapsedTime"])
-    return plain(models.per_group(rows(spark, sf), "Reporting_Airline", b.CARRIERS, "y_dep_ge15", feats, TREES))
+    return plain(models.per_group(rows(spark, sf), "Reporting_Airline", b.CARRIERS, "y_dep_ge15", feats))
 
 
 @query("feature_importance", "M09")
@@ -82,7 +80,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """Importance per label, next to the share of rows where the feature is known."""
     data = rows(spark, sf)
     parts = []
-    for y in ("y_dep_ge15", "y_dep_ge60"):
-        model = models.fit_threshold(data, y, FEATS, params=TREES)
+    for y in [f"y_dep_ge{t}" for t in LIMITS]:
+        model = models.fit_threshold(data, y, FEATS)
         parts.append(models.importance(model).withColumn("label", F.lit(y)))
     return plain(reduce(lambda x, z: x.unionByName(z), parts))

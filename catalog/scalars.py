@@ -261,7 +261,7 @@ def _case(c: str, table: dict, default: str) -> str:
     return f"CASE {c} {pairs} ELSE '{default}' END"
 
 
-_CLASS = {code: name for name, codes in lookups.WMO_CLASS.items() for code in codes}
+_CLASS = lookups.WMO_CLASS
 
 
 @query(
@@ -275,7 +275,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return t.withColumns({"label": lookups.wmo_label(F.col("code")), "severity": lookups.wmo_class(F.col("code"))})
 
 
-_REGION = {a: r for r, codes in lookups.REGION_AIRPORTS.items() for a in codes.split()}
+_REGION = lookups.REGION
 
 
 @query(
@@ -458,8 +458,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return t.groupBy("feature", lookups.feature_family(F.col("feature")).alias("family")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_TEXTS = [t for texts in lookups.CAUSE_TEXTS.values() for t in texts]
-_DOMAIN = {t: d for d, texts in lookups.CAUSE_TEXTS.items() for t in texts}
+_TEXTS = list(lookups.CAUSE_DOMAIN)
+_DOMAIN = lookups.CAUSE_DOMAIN
 
 
 def causes(spark: SparkSession, sf: str) -> DataFrame:

@@ -224,11 +224,16 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         "flights",
         "SELECT n_active, n_inactive, round(ma, 6) + 0.0 AS mean_active, round(mi, 6) + 0.0 AS mean_inactive, round(ma - mi, 6) + 0.0 AS mean_diff, round((ma - mi) / sqrt(va + vi), 6) + 0.0 AS welch_t, "
         "round((va + vi) * (va + vi) / (va * va / (na - 1) + vi * vi / (ni - 1)), 4) + 0.0 AS welch_df, round((ma - mi) / s, 6) + 0.0 AS cohens_d, round(ra, 6) + 0.0 AS rate_active, "
-        "round(ri, 6) + 0.0 AS rate_inactive, round(ra / ri, 6) + 0.0 AS lift, round(r, 6) + 0.0 AS point_biserial_r FROM g",
+        "round(ri, 6) + 0.0 AS rate_inactive, round(ra / ri, 6) + 0.0 AS lift, round(r, 6) + 0.0 AS point_biserial_r, "
+        "round(2 * exp(lgamma((nu + 1) / 2) - lgamma(nu / 2)) / sqrt(pi()) * area, 6) + 0.0 AS p_value FROM g, w, tail",
         x="SELECT DepDelayMinutes AS v, CAST(CarrierDelay > 0 AS INT) AS f, CAST(coalesce(DepDelayMinutes >= 15, false) AS DOUBLE) AS late FROM flights",
         g="SELECT count(*) FILTER (f = 1) AS n_active, count(*) FILTER (f = 0) AS n_inactive, avg(v) FILTER (f = 1) AS ma, avg(v) FILTER (f = 0) AS mi, "
         "var_samp(v) FILTER (f = 1) / (count(v) FILTER (f = 1)) AS va, var_samp(v) FILTER (f = 0) / (count(v) FILTER (f = 0)) AS vi, count(v) FILTER (f = 1) AS na, count(v) FILTER (f = 0) AS ni, "
         "stddev_samp(v) AS s, avg(late) FILTER (f = 1) AS ra, avg(late) FILTER (f = 0) AS ri, corr(f, v) AS r FROM x",
+        # The tail of Student's t by Simpson's rule over the angle whose tangent is t / sqrt(nu).
+        w="SELECT abs(ma - mi) / sqrt(va + vi) AS t, (va + vi) * (va + vi) / (va * va / (na - 1) + vi * vi / (ni - 1)) AS nu FROM g",
+        steps="SELECT atan(t / sqrt(nu)) AS low, (pi() / 2 - atan(t / sqrt(nu))) / 40000 AS h, nu, unnest(range(0, 40001)) AS i FROM w",
+        tail="SELECT sum(CASE WHEN i IN (0, 40000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(greatest(cos(low + i * h), 0), nu - 1)) * any_value(h) / 3 AS area FROM steps",
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:

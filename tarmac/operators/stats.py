@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,23 +42,36 @@ def scalar_summary(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
 # --- column profiles ----------------------------------------------------------------------------
 
 
+def _wide(df: DataFrame, cols: Sequence[str], measures: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row per column with aggregates of it as a double: one wide aggregate, then laid out."""
+    made = [m(F.col(c).cast("double")).alias(f"_{i}_{n}") for i, c in enumerate(cols) for n, m in measures.items()]
+    rows = [F.struct(F.lit(c).alias("feature"), *[F.col(f"_{i}_{n}").alias(n) for n in measures]) for i, c in enumerate(cols)]
+    return df.agg(*made).select(F.inline(F.array(*rows)))
+
+
 def numeric_stats(df: DataFrame, cols: Sequence[str], sample_std: bool = False) -> DataFrame:
-    """One row per numeric column: counts, range, mean, median, deviation, exact percentiles."""
-    spread = F.stddev_samp("value") if sample_std else F.stddev_pop("value")
-    rows = long_form(df, cols)
-    base = rows.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.count("value").alias("non_null_count"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        spread.alias("std"),
+    """One row per numeric column: counts, range, mean, median, deviation, exact percentiles.
+
+    All but the percentiles come from one wide aggregate; those need the counts of distinct values.
+    """
+    base = _wide(
+        df,
+        cols,
+        {
+            "count": lambda v: F.count(F.lit(1)),
+            "non_null_count": F.count,
+            "min": F.min,
+            "max": F.max,
+            "mean": F.avg,
+            "std": F.stddev_samp if sample_std else F.stddev_pop,
+        },
     )
     names = [f"p{round(p * 100):02d}" for p in PERCENTILES]
-    cuts = quantiles(rows, ["feature"], "value", PERCENTILES, names).drop("n")
+    cuts = quantiles(long_form(df, cols), ["feature"], "value", PERCENTILES, names).drop("n")
     share = 100.0 * (F.col("count") - F.col("non_null_count")) / F.col("count")
     return (
-        base.join(cuts, ["feature"], "left")
+        base.filter(F.col("count") > 0)
+        .join(cuts, ["feature"], "left")
         .withColumns({"null_count": F.col("count") - F.col("non_null_count"), "null_pct": share, "median": F.col("p50")})
     )
 
@@ -109,14 +123,11 @@ def impute_median(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame | Non
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mean, sample deviation and bias-corrected skewness per column."""
-    n = F.count("value")
-    fixed = F.when(n > 2, F.skewness("value") * F.sqrt(n * (n - 1)) / (n - 2))
-    return (
-        long_form(df, cols)
-        .groupBy("feature")
-        .agg(n.alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), fixed.alias("skew"))
-    )
+    """Mean, sample deviation and bias-corrected skewness per column, from one wide aggregate."""
+    made = _wide(df, cols, {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "skew": F.skewness})
+    n = F.col("n")
+    fixed = F.when(n > 2, F.col("skew") * F.sqrt(n * (n - 1)) / (n - 2))
+    return made.select("feature", "n", "mean", "std", fixed.alias("skew"))
 
 
 # --- equal-count bins ---------------------------------------------------------------------------
@@ -393,6 +404,7 @@ def compare_groups(df: DataFrame, flag: str, value: str) -> DataFrame:
         diff.alias("mean_diff"),
         (diff / F.sqrt(a + b)).alias("welch_t"),
         freedom.alias("welch_df"),
+        two_sided_p(diff / F.sqrt(a + b), freedom).alias("p_value"),
         (diff / F.nullif("_std", F.lit(0.0))).alias("cohens_d"),
         "rate_active",
         "rate_inactive",
@@ -401,35 +413,45 @@ def compare_groups(df: DataFrame, flag: str, value: str) -> DataFrame:
     )
 
 
-def t_test_p(t: float, df: float) -> float:
-    """Two-sided p-value of a Student t from its two numbers, by continued fraction."""
-    x = df / (df + t * t)
-    a, b = df / 2.0, 0.5
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    ) if 0 < x < 1 else 0.0
-
-    def fraction(a: float, b: float, x: float) -> float:
-        tiny, c = 1e-300, 1.0
-        d = 1.0 / max(1.0 - (a + b) * x / (a + 1), tiny)
-        h = d
-        for m in range(1, 300):
-            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-            d, c = 1.0 / (1.0 + even * d or tiny), 1.0 + even / c or tiny
-            h *= d * c
-            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-            d, c = 1.0 / (1.0 + odd * d or tiny), 1.0 + odd / c or tiny
-            step = d * c
-            h *= step
-            if abs(step - 1.0) < 1e-14:
-                break
-        return h
-
-    if x >= 1:
-        return 1.0
-    if x < (a + 1) / (a + b + 2):
-        return front * fraction(a, b, x) / a
-    return 1.0 - front * fraction(b, a, 1 - x) / b
+def _log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of x > 0, by Stirling's series at x + 10."""
+    z = x + 10
+    series = 1 / (12 * z) - 1 / (360 * F.pow(z, 3)) + 1 / (1260 * F.pow(z, 5)) - 1 / (1680 * F.pow(z, 7))
+    shifted = F.log(reduce(lambda a, b: a * b, [x + k for k in range(10)]))
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shifted
+
+
+# Steps of the continued fraction; it converges in far fewer where it is used.
+FRACTION_STEPS = 300
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function, from its last step to its first."""
+
+    def step(acc: Column, m: Column) -> Column:
+        # One odd and one even coefficient for each step.
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        inner = F.lit(1.0) + odd / acc
+        return F.when(m == 0, inner).otherwise(F.lit(1.0) + even / inner)
+
+    steps = F.transform(F.sequence(F.lit(FRACTION_STEPS), F.lit(0), F.lit(-1)), lambda m: m.cast("double"))
+    return F.lit(1.0) / F.aggregate(steps, F.lit(1.0), step)
+
+
+def two_sided_p(t: Column, freedom: Column) -> Column:
+    """Two-sided p-value of a Student t with that many degrees of freedom.
+
+    It is the regularised incomplete beta function at df / (df + t^2), or one less that of the
+    mirrored point where the fraction converges faster.
+    """
+    a, b = freedom / 2, F.lit(0.5)
+    x = freedom / (freedom + t * t)
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(x) + b * F.log1p(-x))
+    near = front * _beta_fraction(a, b, x) / a
+    far = 1 - front * _beta_fraction(b, a, 1 - x) / b
+    inside = F.when(x < (a + 1) / (a + b + 2), near).otherwise(far)
+    return F.when(t == 0, F.lit(1.0)).when(t.isNotNull() & (freedom > 0), inside)
 
 
 def continuous_effect(df: DataFrame, feature: str, value: str) -> DataFrame:
