@@ -53,7 +53,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "parquet_paths",
-    "S01 S03 S23 U01",
+    "S01 U01",
     "SELECT 'orders' AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,6 +279,70 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return plain(made.select("airport", "FlightDate", "temperature_2m_max"))
 
 
+@query(
+    "weather_chunk_files",
+    "S16",
+    b.sql(
+        "daily_wx",
+        f"SELECT airport, {DAY}, temperature_2m_max FROM daily_wx WHERE FlightDate BETWEEN DATE '2024-03-10' AND DATE '2024-05-20' "
+        "AND date_trunc('month', FlightDate) + INTERVAL 20 DAY >= DATE '2024-03-10'",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily weather written as one folder of files per airport and month, and read back by their names."""
+    wx = b.daily_weather(spark, sf)
+    month = F.trunc("FlightDate", "month")
+    name = F.concat_ws("_", "airport", month.cast("string"), F.date_add(month, 20).cast("string"), F.lit("UTC_daily"))
+    place = _place(spark, "chunks")
+    wx.withColumn("chunk", name).repartition("chunk").write.partitionBy("chunk").parquet(place)
+    made = weather.load_chunks(spark, f"{place}/chunk=*/*.parquet", "2024-03-10", "2024-05-20", "FlightDate")
+    return plain(made.select("airport", "FlightDate", "temperature_2m_max"))
+
+
+@query(
+    "folder_scan",
+    "S03",
+    b.sql("flights", f"SELECT Reporting_Airline, Origin, Dest, {DAY}, DepDelayMinutes, Cancelled FROM flights WHERE FlightDate >= DATE '2024-03-01' AND Reporting_Airline IN ('AF', 'NO')"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Flights landed by year and month, and every file below the folder read again."""
+    place = _place(spark, "landed")
+    flights.land_months(b.flights(spark, sf), place)
+    columns = ["FlightDate", "Reporting_Airline", "Origin", "Dest", "DepDelayMinutes", "Cancelled"]
+    made = flights.scan_dir(spark, place, columns, start="2024-03-01", airlines=["AF", "NO"])
+    return plain(made.select("Reporting_Airline", "Origin", "Dest", "FlightDate", "DepDelayMinutes", "Cancelled"))
+
+
+@query(
+    "raw_month_files",
+    "S23",
+    b.sql("flights", f"SELECT Reporting_Airline, Origin, Dest, {DAY}, CAST(Flight_Number_Reporting_Airline AS BIGINT) AS Flight_Number_Reporting_Airline FROM flights WHERE Reporting_Airline = 'RO' AND month(FlightDate) IN (2, 3)"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw months under the names that they are published with, read for one carrier."""
+    raw = b.flights(spark, sf).withColumnsRenamed({"Reporting_Airline": " Operating_Airline", "Flight_Number_Reporting_Airline": "Flight_Number_Operating_Airline"})
+    place = _place(spark, "raw")
+    raw.withColumn("month", F.month("FlightDate")).repartition("month").write.partitionBy("month").parquet(place)
+    made = flights.load_raw(spark, [f"{place}/month={m}/*.parquet" for m in (2, 3)], "ro")
+    return plain(made.select("Reporting_Airline", "Origin", "Dest", "FlightDate", "Flight_Number_Reporting_Airline"))
+
+
+@query(
+    "csv_files_converted",
+    "S09",
+    b.sql("daily_wx", f"SELECT airport, strftime(FlightDate, {TS}) AS FlightDate, round(temperature_2m_max, 6) + 0.0 AS temperature_2m_max, CASE WHEN weathercode % 7 = 0 THEN NULL ELSE weathercode END AS weathercode FROM daily_wx"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily weather written as CSV, converted once, and again when nothing is left to convert."""
+    source, target = _place(spark, "csv"), _place(spark, "converted")
+    code = F.when(F.col("weathercode") % 7 == 0, F.lit("n/a")).otherwise(F.col("weathercode").cast("string"))
+    wx = b.daily_weather(spark, sf).select("airport", "FlightDate", "temperature_2m_max", code.alias("weathercode"))
+    wx.write.csv(source, header=True)
+    for _again in range(2):
+        weather.convert_csv(spark, source, target, numbers=["temperature_2m_max", "weathercode"])
+    return plain(spark.read.parquet(target).drop("source_file"))
+
+
 @query(
     "registry_table",
     "S18",
