@@ -33,6 +33,25 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return plain(scored.select("FlightDate", "Reporting_Airline", *cols, "expected_delay_minutes", "severity_score", "pred_bin", "delay_probabilities"))
 
 
+STEPS = 40
+
+
+@query(
+    "isotonic_steps",
+    "M02 P30",
+    b.sql(
+        "scored",
+        # The fitted value is the largest, over starts, of the smallest mean up to any end.
+        "SELECT s.step, s.n, round(s.total / s.n, 6) + 0.0 AS rate, round(max(low), 6) + 0.0 AS fitted FROM s JOIN least ON least.step = s.step GROUP BY s.step, s.n, s.total",
+        s=f"SELECT CAST(least(floor(p * {STEPS}), {STEPS - 1}) AS INT) AS step, count(*) AS n, sum(y) AS total FROM scored GROUP BY 1",
+        sums="SELECT a.step AS a, c.step AS c, sum(m.total) / sum(m.n) AS mean FROM s a JOIN s c ON c.step >= a.step JOIN s m ON m.step BETWEEN a.step AND c.step GROUP BY ALL",
+        least="SELECT x.step, sums.a, min(sums.mean) AS low FROM s x JOIN sums ON sums.a <= x.step AND sums.c >= x.step GROUP BY ALL",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(models.isotonic_steps(b.scored(spark, sf), "p", "y", STEPS))
+
+
 @query("cancellation_model", "M03 A18")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Balanced class weights, calibration, and the cut with the largest TPR - FPR."""

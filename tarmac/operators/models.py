@@ -8,18 +8,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring
 from ..functions.parse import as_category
+from ..session import materialise
 from .evaluate import auc_table, score_metrics
 from .sampling import stratified_split
+from .stats import medians
+
+# Scores are calibrated on a grid of so many equal steps from 0 to 1.
+GRID = 1000
 
 
 @dataclass(frozen=True)
@@ -34,27 +39,27 @@ class ThresholdModel:
 
     label: str
     pipeline: PipelineModel
-    curve: IsotonicRegressionModel | None = None
+    curve: list[float] | None = None
     names: list[str] = field(default_factory=list)
+    filled: dict[str, float] = field(default_factory=dict)
 
 
-def prepare(df: DataFrame, feats: Features) -> DataFrame:
-    """Numbers as double and categories with "missing" folded to one value."""
-    made = {c: F.col(c).cast("double") for c in feats.numeric}
+def prepare(df: DataFrame, feats: Features, filled: Mapping[str, float]) -> DataFrame:
+    """Numbers as double, unknown ones as ``filled`` says, and categories with "missing" folded to one value."""
+    made = {f"{c}_filled": F.coalesce(F.col(c).cast("double"), F.lit(filled[c])) for c in feats.numeric}
     made |= {c: as_category(c) for c in feats.categorical}
     return df.withColumns(made)
 
 
 def assembly(feats: Features) -> tuple[list, list[str]]:
-    """Stages that fill unknown numbers with the training median and index categories."""
-    filled = [f"{c}_filled" for c in feats.numeric]
+    """Stages that index categories and put the features together."""
     indexed = [f"{c}_index" for c in feats.categorical]
-    stages: list = [Imputer(strategy="median", inputCols=list(feats.numeric), outputCols=filled)]
+    stages: list = []
     if feats.categorical:
         stages.append(
             StringIndexer(inputCols=list(feats.categorical), outputCols=indexed, handleInvalid="keep")
         )
-    stages.append(VectorAssembler(inputCols=[*filled, *indexed], outputCol="features"))
+    stages.append(VectorAssembler(inputCols=[*[f"{c}_filled" for c in feats.numeric], *indexed], outputCol="features"))
     return stages, [*feats.numeric, *feats.categorical]
 
 
@@ -74,21 +79,57 @@ def fit_threshold(
         booster = booster.setValidationIndicatorCol(stop)
     if weight:
         booster = booster.setWeightCol(weight)
-    ready = prepare(train, feats).withColumn("_label", F.col(label).cast("double"))
-    return ThresholdModel(label, Pipeline(stages=[*stages, booster]).fit(ready), None, names)
+    # The exact medians of the training rows serve every later split.
+    filled = medians(train, feats.numeric)
+    ready = prepare(train, feats, filled).withColumn("_label", F.col(label).cast("double"))
+    return ThresholdModel(label, Pipeline(stages=[*stages, booster]).fit(ready), None, names, filled)
 
 
 def raw_probability(model: ThresholdModel, df: DataFrame, feats: Features, out: str) -> DataFrame:
-    scored = model.pipeline.transform(prepare(df, feats))
+    scored = model.pipeline.transform(prepare(df, feats, model.filled))
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(out))
 
 
-def calibrate(model: ThresholdModel, held: DataFrame, feats: Features) -> ThresholdModel:
-    """Isotonic curve from raw to observed probability, fitted on rows kept out of training."""
-    rows = raw_probability(model, held, feats, "_raw").select(
-        F.col("_raw").alias("features"), F.col(model.label).cast("double").alias("label")
+def grid_step(score: Column, grid: int = GRID) -> Column:
+    """The step of the grid in which a score lies, from 0; 1 lies in the last."""
+    return F.least(F.floor(score * grid), F.lit(grid - 1)).cast("int")
+
+
+def pool(counts: Sequence[tuple[float, float]]) -> list[float]:
+    """Non-decreasing rates closest to the given (rows, sum) in turn: neighbours that fall are pooled."""
+    blocks: list[list[float]] = []
+    for rows, total in counts:
+        blocks.append([rows, total, 1])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][0] >= blocks[-1][1] * blocks[-2][0]:
+            rows_, total_, steps = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + rows_, blocks[-1][1] + total_, blocks[-1][2] + steps]
+    return [total / rows for rows, total, steps in blocks for _ in range(int(steps))]
+
+
+def isotonic_steps(df: DataFrame, score: str, label: str, grid: int = GRID) -> DataFrame:
+    """(step, n, rate, fitted) of every step of the score grid that has rows.
+
+    Rows are counted per step by Spark; the table that is pooled has at most ``grid`` rows.
+    """
+    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(grid_step(F.col(score), grid).alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("double")).alias("total")
     )
-    model.curve = IsotonicRegression(featuresCol="features", labelCol="label").fit(rows)
+    rows = counts.orderBy("step").collect()
+    fitted = pool([(r["n"], r["total"]) for r in rows])
+    made = [(r["step"], r["n"], r["total"] / r["n"], f) for r, f in zip(rows, fitted)]
+    return df.sparkSession.createDataFrame(made, "step int, n bigint, rate double, fitted double")
+
+
+def calibrate(model: ThresholdModel, held: DataFrame, feats: Features, grid: int = GRID) -> ThresholdModel:
+    """Isotonic curve from raw to observed probability, fitted on rows kept out of training.
+
+    Steps without rows lie on the straight line between their neighbours.
+    """
+    steps = isotonic_steps(raw_probability(model, held, feats, "_raw"), "_raw", model.label, grid).orderBy("step").collect()
+    if steps:
+        at, fitted = [r["step"] for r in steps], [r["fitted"] for r in steps]
+        model.curve = np.interp(range(grid), at, fitted).tolist()
     return model
 
 
@@ -97,8 +138,8 @@ def probability(model: ThresholdModel, df: DataFrame, feats: Features, out: str)
     scored = raw_probability(model, df, feats, "_raw")
     if model.curve is None:
         return scored.withColumnRenamed("_raw", out)
-    curved = model.curve.setFeaturesCol("_raw").setPredictionCol("_curved").transform(scored)
-    return curved.select(*df.columns, F.col("_curved").alias(out))
+    curve = F.array(*[F.lit(p) for p in model.curve])
+    return scored.select(*df.columns, F.element_at(curve, grid_step(F.col("_raw"), len(model.curve)) + 1).alias(out))
 
 
 def fit_ordinal(
@@ -112,7 +153,8 @@ def fit_ordinal(
     """One classifier per threshold, stopped early on a fifth and calibrated on another fifth."""
     out = {}
     for label in labels:
-        split = stratified_split(train, label, [0.6, 0.2, 0.2], ["fit", "stop", "cal"], ids, seed)
+        # Read for the medians, the indexes, the fit and the curve.
+        split = materialise(stratified_split(train, label, [0.6, 0.2, 0.2], ["fit", "stop", "cal"], ids, seed), "split")
         fit = split.filter("split != 'cal'").withColumn("_stop", F.col("split") == "stop")
         model = fit_threshold(fit, label, feats, "_stop", None, (overrides or {}).get(label))
         out[label] = calibrate(model, split.filter("split = 'cal'"), feats)
@@ -130,7 +172,7 @@ def fit_cancellation(
     train: DataFrame, label: str, feats: Features, ids: Sequence[str], params: Mapping[str, object] | None = None
 ) -> ThresholdModel:
     """Cancellation classifier with balanced class weights and a calibration curve."""
-    split = stratified_split(train, label, [0.8, 0.2], ["fit", "cal"], ids)
+    split = materialise(stratified_split(train, label, [0.8, 0.2], ["fit", "cal"], ids), "split")
     weighted = class_weight(split.filter("split = 'fit'"), label)
     model = fit_threshold(weighted, label, feats, None, "_weight", params)
     return calibrate(model, split.filter("split = 'cal'"), feats)

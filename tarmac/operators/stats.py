@@ -112,6 +112,14 @@ def dataset_stats(df: DataFrame, date: str = "FlightDate", carrier: str = "Repor
     )
 
 
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """The exact median of each column, 0 where no value is known."""
+    if not cols:
+        return {}
+    found = {r["feature"]: r["m"] for r in quantiles(long_form(df, cols), ["feature"], "value", [0.5], ["m"]).collect()}
+    return {c: float(found.get(c) or 0.0) for c in cols}
+
+
 def impute_median(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
     """Unknown numbers replaced by the exact median of the training rows, or 0 if none is known."""
     source = fitted_on if fitted_on is not None else df

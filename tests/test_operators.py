@@ -322,6 +322,19 @@ def test_steps_meet_on_their_grain(spark):
         joins.attach_by_grain(fact, [["k"]], [joins.Step(["o"], by_o)])
 
 
+def test_pooling_against_the_minimax_formula():
+    from tarmac.operators import models
+
+    rng = random.Random(9)
+    for _ in range(50):
+        counts = [(rng.randrange(1, 9), 0) for _ in range(rng.randrange(1, 12))]
+        counts = [(n, rng.randrange(0, n + 1)) for n, _ in counts]
+        mean = lambda a, c: sum(t for _, t in counts[a : c + 1]) / sum(n for n, _ in counts[a : c + 1])
+        want = [max(min(mean(a, c) for c in range(i, len(counts))) for a in range(i + 1)) for i in range(len(counts))]
+        assert models.pool(counts) == pytest.approx(want)
+    assert models.pool([]) == []
+
+
 def test_empty_and_incomplete_tables_fail(spark):
     empty = spark.createDataFrame([], "Origin string, Distance double")
     got = {(r.check, r.status) for r in quality.validate_features(empty, ["Origin"]).collect()}
