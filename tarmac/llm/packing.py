@@ -1,8 +1,9 @@
 """Best-fit-decreasing packing of token pieces, certified by lower bounds and repacked where it falls short.
 
 Each group of pieces is packed by itself; dual-feasible functions give a lower bound on its number of
-sequences. Groups that meet their bound are done. The others give up the pieces of their unfilled
-sequences, which are dealt to new groups and packed again, until bounds are met or nothing is won.
+sequences. Groups that meet their bound keep all sequences but the emptiest. The others give up the
+pieces of all their unfilled sequences. These pieces are dealt to new groups and packed again, until
+one group holds them all or a round wins no sequence.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from . import bpe
 from .common import materialise
 
 GROUP_ROWS = 50_000
-MAX_ROUNDS = 4
 END_ID = 0
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -99,58 +99,56 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _pack(batches: Iterator[pa.RecordBatch], capacity: int, turn: int) -> Iterator[pa.RecordBatch]:
-    """One group: its pieces with bin, offset and the bin's room, and whether the bound is met."""
-    held = pa.Table.from_batches(list(batches)) if batches else None
-    if held is None or held.num_rows == 0:
+    """One group: its pieces with sequence and offset, and whether the sequence is open to another round.
+
+    Open are the unfilled sequences of a group that misses its bound, and the emptiest of any other.
+    """
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
         return
     # The same pieces in any order of arrival pack alike.
-    held = held.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("uid", "ascending")])
+    held = pa.Table.from_batches(parts).sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("uid", "ascending")])
     lengths = held.column("length").to_numpy().astype(np.int64)
     bins, offset, room = best_fit(lengths, capacity)
-    gap = len(room) - lower_bound(lengths, capacity)
+    free = (room > 0) & ((len(room) > lower_bound(lengths, capacity)) | (np.arange(len(room)) == room.argmax()))
     group = TaskContext.get().partitionId()
-    out = held.append_column("sequence_id", pa.array((np.int64(turn) << 56) | (np.int64(group) << 32) | bins))
-    out = out.append_column("offset", pa.array(offset)).append_column("room", pa.array(room[bins])).append_column("gap", pa.array(np.full(len(bins), gap, np.int64)))
-    yield from out.to_batches()
+    out = held.append_column("sequence_id", pa.array((np.int64(turn) << 44) | (np.int64(group) << 20) | bins))
+    yield from out.append_column("offset", pa.array(offset)).append_column("open", pa.array(free[bins])).to_batches()
 
 
-PACKED = PIECES + ", uid long, sequence_id long, offset long, room long, gap long"
+PACKED = PIECES + ", uid long, sequence_id long, offset long, open boolean"
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` (columns of ``PIECES``) with ``sequence_id`` and ``offset``.
 
     Every piece is at most ``capacity`` long; full pieces have a sequence each. A group holds about
-    ``group_rows`` pieces in one task, whatever the size of the table. Ties and repeated rows are
-    packed like any others. An empty table gives an empty one.
+    ``group_rows`` pieces in one task, whatever the size of the table, and rounds go on as long as they
+    win. Ties are ordered by id and piece; repeated rows are packed like any others. An empty table
+    gives an empty one.
     """
-    pieces = pieces.withColumn("uid", F.monotonically_increasing_id())
-    pieces = materialise(pieces, "pieces")
-    full = pieces.where(F.col("length") == capacity).select("*", F.col("uid").bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    full = F.col("uid").bitwiseOR(F.lit(1 << 62)).alias("sequence_id")
+    done = pieces.where(F.col("length") == capacity).select("*", full, F.lit(0).cast("long").alias("offset"))
     pool = pieces.where(F.col("length") < capacity)
-    n = pool.count()
-    done = full
-    packed = None
-    turn = 0
-    while n:
-        groups = max(1, -(-n // group_rows))
+    # Pieces of open sequences, as packed so far.
+    current, before, turn = None, 0, 0
+    while n := pool.count():
+        groups = -(-n // group_rows)
         dealt = pool.repartition(groups, F.xxhash64("uid", F.lit(turn)))
         again = materialise(dealt.mapInArrow(partial(_pack, capacity=capacity, turn=turn), PACKED), "packed")
-        if packed is not None:
-            before = packed.select("sequence_id").distinct().count()
-            if again.select("sequence_id").distinct().count() >= before:
-                break
-        # What meets its bound, or fills its sequence, stays; the rest is dealt anew.
-        stays = (F.col("gap") <= 0) | (F.col("room") == 0)
-        done = done.union(again.where(stays).select(done.columns))
-        packed = again.where(~stays)
-        n = packed.count()
-        pool = packed.select(*pieces.columns)
-        turn += 1
-        if turn == MAX_ROUNDS or groups == 1:
+        if current is not None and again.select("sequence_id").distinct().count() >= before:
             break
-    if packed is not None:
-        done = done.union(packed.select(done.columns))
+        if groups == 1:
+            current = again
+            break
+        done = done.union(again.where("not open").select(done.columns))
+        current = again.where("open")
+        before = current.select("sequence_id").distinct().count()
+        pool = current.select(*pieces.columns)
+        turn += 1
+    if current is not None:
+        done = done.union(current.select(done.columns))
     return done.drop("uid")
 
 
@@ -160,7 +158,8 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, capacity: i
 
     A document is its ids and then ``END_ID``; a null or empty text is the end id alone. Longer ones
     than ``capacity`` are cut from their end into full pieces, the first takes the rest. Only
-    ``doc_id`` and ``text`` are used. Repeated rows are packed one by one.
+    ``doc_id`` and ``text`` are used. Repeated rows, and rows without an id, are packed one by one. Very
+    long texts are tokenized whole. An empty table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     made = partial(_pieces, json_path=json_path, ranks_path=ranks_path, capacity=capacity)
