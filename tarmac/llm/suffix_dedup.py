@@ -394,10 +394,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Texts are UTF-8 bytes, null is empty. A byte goes if a string of 100 bytes that covers it also
     starts earlier, in a document of a smaller id or earlier in its own; strings are judged on the
-    input and never cross documents. Repeated rows of one id must have one text; they are one document
-    and each gets its result. A row without an id neither removes nor loses anything. Only ``doc_id``
-    and ``text`` are used; an empty table gives an empty one.
+    input and never cross documents. Repeated rows of one id and text are one document and each gets
+    its result; unlike texts of one id are documents in the order of their hashes. A row without an id
+    neither removes nor loses anything. Texts of any length are looked at whole. Only ``doc_id`` and
+    ``text`` are used; an empty table gives an empty one.
     """
+    repeated = docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long")).count().where("count > 1")
+    if repeated.isEmpty():
+        return _remove_repeats(docs)
+    # Each (id, text) has a number in the order of documents: partitions of a sort are ranges in order.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    ordered = docs.where("doc_id is not null").select("doc_id", "hash").distinct().orderBy("doc_id", "hash")
+    numbers = materialise(ordered.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    named = docs.join(numbers, ["doc_id", "hash"], "left").select(F.col("number").alias("doc_id"), "text")
+    done = _remove_repeats(named).withColumnRenamed("doc_id", "number")
+    return done.join(numbers, "number", "left").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     width = shuffle_width(docs.sparkSession)
     found = docs.where("doc_id is not null").mapInArrow(_anchored, ANCHORS).repartition(2 * width, "ah", "own")
