@@ -173,12 +173,16 @@ def _best(counts: dict[str, dict[int, list[float]]], edges: dict[str, list[float
     return best
 
 
-def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, precision: float = 0.95, least: float = 0.01) -> list[Rule]:
+def learn(rows: DataFrame, max_conditions: int = 4, precision: float = 0.95, least: float = 0.01) -> list[Rule]:
     """Rules, in order, that cover bad rows.
 
     ``rows`` has ``stats`` (struct with ``FEATURES``), ``bad`` (0/1) and ``part`` (0 to 2; 2 prunes).
-    A rule must reach ``precision`` on the pruning rows and cover a share ``least`` of their bad ones;
-    the first that does not ends the list. Rows without either label give no rule.
+    A rule is a conjunction of at most ``max_conditions`` thresholds. It must reach ``precision`` on the
+    pruning rows and cover a share ``least`` of their bad ones; one that does not is dropped, and the
+    rows it matches no longer count for growing. There are as many rules as that gives: the list ends
+    when the next rule would match less than the share ``least`` of the bad growing rows, so after
+    some 1 / ``least`` candidates at most. Of conditions of equal gain the first by feature and threshold
+    is taken. Rows without either label give no rule.
     """
     total = rows.groupBy("part").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")).collect()
     if not total or sum(r["bad"] for r in total) in (0, sum(r["n"] for r in total)):
@@ -192,33 +196,33 @@ def learn(rows: DataFrame, max_rules: int = 8, max_conditions: int = 4, precisio
     edges = {f: [(a + b) / 2 for a, b in zip(v, v[1:], strict=False)] or v for f, v in values.items()}
     places = {f"bin_{f}": _place(F.col("stats")[f], edges[f]) for f in FEATURES}
     rows = materialise(rows.withColumns(places), "labelled")
-    bad_pruning = sum(r["bad"] for r in total if r["part"] == 2)
+    bad_in = {part: sum(r["bad"] for r in total if (r["part"] == 2) == (part == 2)) for part in (0, 2)}
     rules: list[Rule] = []
-    left = rows
+    left, grow = rows.where("part = 2"), rows.where("part <> 2")
     stats = F.col("stats")
-    while len(rules) < max_rules:
+    while True:
         rule: Rule = ()
-        grow = left.where("part <> 2")
+        bad = 0.0
         while len(rule) < max_conditions:
-            _, condition, bad, good = _best(_counts(grow.where(_matches(rule, stats))), edges)
+            _, condition, matched, good = _best(_counts(grow.where(_matches(rule, stats))), edges)
             if condition is None:
                 break
-            rule += (condition,)
+            rule, bad = (*rule, condition), matched
             if good <= 0.01 * bad:
                 break
-        if not rule:
+        if not rule or bad < max(1, least * bad_in[0]):
             break
         # Every prefix of the rule on the pruning rows, in one pass.
         tests = [_matches(rule[:k], stats) for k in range(1, len(rule) + 1)]
         sums = [F.sum(F.when(t, x).otherwise(0)).alias(f"{s}{k}") for k, t in enumerate(tests) for s, x in (("p", F.col("bad")), ("n", 1 - F.col("bad")))]
-        seen = left.where("part = 2").agg(*sums).first()
+        seen = left.agg(*sums).first()
         worth = [((seen[f"p{k}"] or 0), (seen[f"n{k}"] or 0)) for k in range(len(rule))]
-        good_enough = [k for k, (p, n) in enumerate(worth) if p >= max(1, least * bad_pruning) and p >= precision * (p + n)]
-        if not good_enough:
-            break
-        keep = max(good_enough, key=lambda k: (worth[k][0] - worth[k][1], -k))
-        rules.append(rule[: keep + 1])
-        left = left.where(~_matches(rules[-1], stats))
+        good_enough = [k for k, (p, n) in enumerate(worth) if p >= max(1, least * bad_in[2]) and p >= precision * (p + n)]
+        if good_enough:
+            rule = rule[: max(good_enough, key=lambda k: (worth[k][0] - worth[k][1], -k)) + 1]
+            rules.append(rule)
+            left = left.where(~_matches(rule, stats))
+        grow = grow.where(~_matches(rule, stats))
     return rules
 
 
