@@ -94,6 +94,24 @@ def test_decision_list_learns_a_rare_kind(spark):
     assert {i for i, r in by_id(quality_rules.judge(docs, labels, ["doc_id"])).items() if not r["kept"]} == rare
 
 
+def test_decision_list_learns_every_kind(spark):
+    """Twelve kinds of bad rows, each beyond a threshold of its own; the list has as many rules as that takes."""
+    features = quality_rules.FEATURES[:10]
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(6000):
+        values = rng.uniform(0, 1, len(quality_rules.FEATURES))
+        kind = i % 60
+        if kind < len(features):
+            values[kind] += 5
+        rows.append((dict(zip(quality_rules.FEATURES, map(float, values), strict=True)), int(kind < len(features)), int(rng.integers(3))))
+    schema = "stats struct<" + ", ".join(f"{f}: double" for f in quality_rules.FEATURES) + ">, bad long, part long"
+    made = spark.createDataFrame([(tuple(v[f] for f in quality_rules.FEATURES), y, p) for v, y, p in rows], schema)
+    rules = quality_rules.learn(made)
+    wrong = made.where(quality_rules.verdict(rules, made.stats) != (made.bad == 0)).count()
+    assert len(rules) == len(features) and wrong <= 60
+
+
 def test_quality_of_odd_tables(spark, docs, empty):
     labels = spark.createDataFrame([(0, 1), (3, 0), (None, 0)], "doc_id long, quality int")
     out = quality_rules.keep_good(docs, labels)
@@ -173,6 +191,15 @@ def test_repeats_behind_a_common_opening(spark, monkeypatch, shard):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for _, r in sorted(got.items())] == brute_repeats(texts)
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """Unlike texts of an id are documents in the order of their hashes, equal ones are one document."""
+    long, short = LONG[:306], LONG[:40] + " ".join(f"q{i}" for i in range(40))
+    n = len(short)
+    rows = [(1, long), (1, short), (2, long[100:]), (2, long[100:]), (3, short), (None, long)]
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 306, 0), (1, n, 0), (2, 206, 206), (2, 206, 206), (3, n, n), (None, 306, 0)], key=str)
+
+
 def test_suffix_order_and_prefixes():
     raw = RNG.integers(1, 4, 300).astype(np.int64)
     sa = suffix_dedup.suffix_array(raw, len(raw))
@@ -238,6 +265,26 @@ def test_packing(spark, docs, empty):
     assert packing.pack_documents(empty, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_packing_goes_on_while_rounds_win(spark):
+    rng = np.random.default_rng(6)
+    lengths = rng.integers(60, 1400, 3000)
+    pieces = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(lengths)], packing.PIECES)
+    bound = packing.lower_bound(lengths, 2048)
+    used = {}
+    for group in (150, 3000):
+        got = packing.pack(pieces, 2048, group).collect()
+        assert sorted(r["doc_id"] for r in got) == list(range(3000))
+        fill = Counter()
+        for r in got:
+            fill[r["sequence_id"]] += r["length"]
+        assert max(fill.values()) <= 2048
+        used[group] = len(fill)
+    alone = sum(len(packing.best_fit(part, 2048)[2]) for part in np.array_split(lengths, 20))
+    assert bound <= used[3000] <= used[150] < alone
+    # A group may be empty.
+    assert packing.pack(pieces.limit(6), 2048, 1).count() == 6
+
+
 def test_bounds_hold_and_best_fit_is_whole():
     for _ in range(20):
         lengths = RNG.integers(1, 100, 200)
