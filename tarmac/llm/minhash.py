@@ -3,21 +3,22 @@
 Every distinct set of word shingles has ``BANDS`` * ``ROWS`` MinHash samples. Sets that agree in all
 samples of a band are candidates. All samples are also folded into an odd sketch: a bitmap in which
 every sample flips one bit. The samples that two sets share cancel out, so the population count of the
-XOR of two sketches tells how many they don't share, most precisely at high similarity. Candidates
-whose count is beyond what a similar pair ever shows are dropped, the others are judged on their whole
-sets.
+XOR of two sketches tells how many they don't share, most precisely at high similarity. The elements
+themselves are folded into a second one, whose count is a lower bound of the elements in which two sets
+differ and all but exact for small sets. Candidates whose counts are beyond what a similar pair shows
+are dropped, the others are judged on their whole sets.
 
 Candidates of a band aren't all paired. Each set is first compared with one leader of each of its
 bands, and what is linked becomes one class. Only bands that still hold several classes are looked at
-again, and only pairs across classes: small ones as they are; from large ones, keys of two and then
-three bands that the sets share are made, which unlike sets rarely do; what is still large is compared
-block against block in tasks of bounded size.
+again, and only pairs across classes: first the nearest few for each set and class, then, in bands that
+are still open, all that the sketches leave. A large band is cut into blocks; only the sets outside its
+largest class visit the other blocks, and a task holds one block at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import cache, partial, reduce
 from math import comb
 
 import numpy as np
@@ -29,23 +30,30 @@ from . import text as tx
 from .common import filter_bits, filter_table, in_filter, materialise, shuffle_width
 from .graph import attach, components
 
-# A pair of similarity 0.85 agrees in no band at all with a chance of 6e-13, in fewer than three with
-# one of 5e-10.
+# A pair of similarity 0.85 agrees in no band at all with a chance of 6e-13.
 BANDS, ROWS = 48, 5
 SKETCH_BITS = 512
 SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 # The chance that a linked pair's sketches differ by more than is allowed.
 LOST = 1e-9
-# Sets of a band that are compared in one go.
-GROUP = 512
+# The elements' own parities.
+PARITY_BITS = 1024
+PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
+# Sets of a block of a band.
+BLOCK = 4096
+# Pairs that are looked at in one go.
+CELLS = 1 << 19
+# Partners of a set in another class that are tried first.
+NEAREST = 2
 
 _RANDOM = np.random.default_rng(20250511)
 _TIMES = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = tx.mix(np.arange(BANDS * ROWS, dtype=np.uint64) + np.uint64(0xC0FFEE))
 
-SET_SCHEMA = "doc_id long, n_shingles long, sid long, bands array<long>, " + ", ".join(f"{s} long" for s in SKETCH)
+SET_SCHEMA = "doc_id long, n_shingles long, sid long, bands array<long>, " + ", ".join(f"{s} long" for s in [*SKETCH, *PARITY])
 
 
+@cache
 def most_flipped(percent: int) -> int:
     """The largest population count that a pair of ``percent`` similarity shows but for a chance of ``LOST``.
 
@@ -88,6 +96,24 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(value: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each set ``PARITY_BITS`` bits, each flipped by the elements that fall on it, by word.
+
+    Sets that differ in d elements differ in at most d of these bits.
+    """
+    row = np.repeat(np.arange(len(n)), n)
+    slot = tx.mix(value + np.uint64(99)) & np.uint64(PARITY_BITS - 1)
+    # Elements of one bit of one set come together; an odd number of them flips it.
+    cell, times = np.unique(row * PARITY_BITS + slot.astype(np.int64), return_counts=True)
+    cell = cell[times % 2 == 1]
+    word = cell >> 6
+    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(cell) else np.zeros(0, np.int64)
+    out = np.zeros(len(n) * len(PARITY), np.uint64)
+    if len(cell):
+        out[word[starts]] = np.bitwise_or.reduceat(np.uint64(1) << (cell & 63).astype(np.uint64), starts)
+    return out.reshape(len(n), len(PARITY))
+
+
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """One key for each band, unlike between bands."""
     mixed = tx.mix(samples + _SALT).reshape(len(samples), BANDS, ROWS)
@@ -111,99 +137,136 @@ def _described(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
             samples = minima(value, n)
             places = pa.array(np.arange(0, (hi - lo + 1) * BANDS, BANDS, dtype=np.int32))
             bands = pa.ListArray.from_arrays(places, pa.array(band_keys(samples).view(np.int64).ravel()))
-            sketch = [pa.array(c) for c in odd_sketch(samples).view(np.int64).T.copy()]
-            columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(n), pa.array(sid), bands, *sketch]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sid", "bands", *SKETCH])
+            sketch = np.hstack((odd_sketch(samples), parities(value, n))).view(np.int64).T.copy()
+            columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(n), pa.array(sid), bands, *[pa.array(c) for c in sketch]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sid", "bands", *SKETCH, *PARITY])
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether sizes and sketches let two sets (struct columns) be similar."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    flipped = reduce(lambda m, n: m + n, [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH])
-    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (flipped <= most_flipped(percent))
 
+    def flipped(words: list[str]) -> Column:
+        return reduce(lambda m, n: m + n, [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in words])
+
+    fits = 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    return fits & (flipped(SKETCH) <= most_flipped(percent)) & (flipped(PARITY) * (100 + percent) <= (100 - percent) * (x + y))
+
+
+class Block:
+    """The sets at home in one block of a band, and the pairs across classes that they may be part of."""
+
+    def __init__(self, percent: int, most: int | None):
+        self.percent, self.most, self.limit = percent, most, most_flipped(percent)
+        self.parts: list[dict[str, np.ndarray]] = []
+        self.sets: dict[str, np.ndarray] = {}
+
+    def add(self, rows: dict[str, np.ndarray]) -> None:
+        self.parts.append(rows)
+
+    def close(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All sets are here: pairs among them. The largest class comes last; its sets aren't compared."""
+        sets = {c: np.concatenate([r[c] for r in self.parts]) for c in self.parts[0]}
+        _, of, sizes = np.unique(sets["component"], return_inverse=True, return_counts=True)
+        order = np.argsort(of == sizes.argmax(), kind="stable")
+        self.sets = {c: v[order] for c, v in sets.items()}
+        place = np.arange(len(order))
+        yield from self._meet(self.sets, place[: len(order) - int(sizes.max())], lambda i: place[None, :] > i[:, None])
+
+    def visit(self, rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of sets at home in other blocks with those here. Two visitors of each other's blocks meet once."""
+        here, home = self.sets["largest"][None, :], self.sets["home"][None, :]
+        yield from self._meet(rows, np.arange(len(rows["sid"])), lambda i: here | (rows["home"][i][:, None] < home))
+
+    def _meet(self, rows: dict[str, np.ndarray], which: np.ndarray, allowed) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of the given rows with the sets here, as many rows at a time as ``CELLS`` allow."""
+        sets, p = self.sets, self.percent
+        step = max(1, CELLS // len(sets["sid"]))
+        for lo in range(0, len(which), step):
+            own = which[lo : lo + step]
+            n, m = rows["n"][own][:, None], sets["n"][None, :]
+            fits = allowed(own) & (rows["component"][own][:, None] != sets["component"][None, :])
+            fits &= 100 * np.minimum(n, m) >= p * np.maximum(n, m)
+            # Word by word, so that what is held is one number a pair.
+            apart = np.zeros(fits.shape, np.uint16)
+            for w in range(len(SKETCH)):
+                apart += np.bitwise_count(rows["sketch"][own, w][:, None] ^ sets["sketch"][None, :, w])
+            i, j = np.nonzero(fits & (apart <= self.limit))
+            if not len(i):
+                continue
+            near, i = apart[i, j], own[i]
+            differ = np.bitwise_count(rows["parity"][i] ^ sets["parity"][j]).sum(axis=1, dtype=np.int64)
+            good = differ * (100 + p) <= (100 - p) * (rows["n"][i] + sets["n"][j])
+            i, j, near = i[good], j[good], near[good]
+            if self.most is not None and len(i):
+                of = sets["component"][j]
+                order = np.lexsort((sets["sid"][j], near, of, i))
+                i, j, of = i[order], j[order], of[order]
+                first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (of[1:] != of[:-1])])
+                rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
+                i, j = i[rank < self.most], j[rank < self.most]
+            if len(i):
+                yield rows["sid"][i], sets["sid"][j]
+
+
+def _across(batches: Iterator[pa.RecordBatch], percent: int, most: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs across classes, of rows sorted by band, block and whether they visit it.
+
+    Of each set and other class the ``most`` nearest pairs, or all. Only the sets at home in a block
+    are held; visitors pass by.
+    """
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """The rows of each key, of batches sorted by key."""
-    held: dict[str, np.ndarray] | None = None
+    def out(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        found = list(pairs)
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    block, last = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
-        held = new if held is None else {c: np.concatenate((held[c], new[c])) for c in new}
-        edges = np.flatnonzero(np.r_[True, held["key"][1:] != held["key"][:-1]])
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            yield {c: v[a:b] for c, v in held.items()}
-        held = {c: v[edges[-1] :] for c, v in held.items()}
-    if held is not None:
-        yield held
-
-
-def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets of unlike classes in a group that sizes and sketches let be similar.
-
-    A group has ``GROUP`` sets, or two blocks of about half as many; of two blocks only pairs across
-    them are looked at.
-    """
-    limit = most_flipped(percent)
-    for g in _groups(batches):
-        sketch = np.stack([g[s].view(np.uint64) for s in SKETCH], axis=1)
-        n, sid, of, block = g["n"], g["sid"], g["component"], g["block"]
-        both = len(np.unique(block)) > 1
-        left, right = [], []
-        for i in range(len(sid) - 1):
-            rest = slice(i + 1, None)
-            fits = (of[rest] != of[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
-            if both:
-                fits &= block[rest] != block[i]
-            near = np.flatnonzero(fits) + i + 1
-            if len(near):
-                near = near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1) <= limit]
-                left.append(np.full(len(near), sid[i]))
-                right.append(sid[near])
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-
-def _compared(members: DataFrame, percent: int) -> DataFrame:
-    width = 2 * shuffle_width(members.sparkSession)
-    dealt = members.repartition(width, "key").sortWithinPartitions("key", "sid")
-    return dealt.mapInArrow(partial(_across, percent=percent), "a long, b long")
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """Keys whose sets are of several classes, with their numbers of sets."""
-    seen = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held"))
-    return seen.where("low <> high").select("key", "held")
-
-
-def _candidates(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across classes that share a band.
-
-    ``members`` has key, sid, n, component, block, last (the place of the band) and the sketch.
-    """
-    found = members.sparkSession.createDataFrame([], "a long, b long")
-    base = None
-    for level in (1, 2, 3):
-        members = materialise(members.join(_open(members), "key"), "open")
-        found = found.union(_compared(members.where(F.col("held") <= GROUP).drop("held"), percent))
-        large = members.where(F.col("held") > GROUP)
-        if large.isEmpty():
-            return found
-        if level == 3:
-            break
-        # Pairs that meet in large groups alone share two bands of such, and three: the later ones of
-        # each set are joined to its keys. ``last`` is the place of a key's last band.
-        base = large if base is None else base
-        more = base.select("sid", F.col("key").alias("other"), F.col("last").alias("place"))
-        longer = large.drop("held").join(more, "sid").where("place > last")
-        members = longer.withColumns({"key": F.xxhash64("key", "other"), "last": F.col("place")}).drop("other", "place")
-    # Each block of a group meets every other one in a task of its own.
-    large = large.withColumns({"blocks": F.ceil(F.col("held") * 2 / GROUP).cast("int")}).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
-    each = large.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = each.withColumn("key", F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")))
-    return found.union(_compared(met.drop("held", "blocks", "with"), percent))
+        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "visit", "sid", "n", "component", "home", "largest")}
+        for name, words in (("sketch", SKETCH), ("parity", PARITY)):
+            rows[name] = np.stack([batch.column(s).to_numpy().view(np.uint64) for s in words], axis=1)
+        turn = [rows[c][1:] != rows[c][:-1] for c in ("key", "block", "visit")]
+        edges = np.r_[0, np.flatnonzero(turn[0] | turn[1] | turn[2]) + 1, batch.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            own = {c: v[lo:hi] for c, v in rows.items()}
+            at = (own["key"][0], own["block"][0])
+            if at != last:
+                if block is not None and not block.sets and block.parts:
+                    yield from out(block.close())
+                block, last = Block(percent, most), at
+            if own["visit"][0]:
+                # A block without sets of its own has nobody to visit.
+                if not block.sets and block.parts:
+                    yield from out(block.close())
+                if block.sets:
+                    yield from out(block.visit(own))
+            else:
+                block.add(own)
+    if block is not None and not block.sets and block.parts:
+        yield from out(block.close())
+
+
+def _candidates(shared: DataFrame, classes: DataFrame, marks: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (a, b) of sets of one band and unlike classes that sizes and sketches let be similar."""
+    members = shared.select("key", "sid").join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
+    members = members.withColumn("component", F.coalesce("component", "sid"))
+    # Bands of several classes, with their largest one and the number of blocks.
+    of_class = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    seen = of_class.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.sum("n").alias("held"), F.count("*").alias("classes"))
+    still = seen.where("classes > 1").select("key", "most", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
+    members = members.join(still, "key").withColumn("home", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    members = members.withColumn("largest", F.col("component") == F.col("most"))
+    # Sets outside the largest class go to all blocks.
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    dealt = members.withColumn("block", F.explode(F.when(F.col("largest"), F.array("home")).otherwise(everywhere)))
+    dealt = dealt.withColumn("visit", F.col("block") != F.col("home")).drop("most", "blocks")
+    dealt = dealt.join(marks, "sid").select("key", "block", "visit", "sid", "mark.n", "component", "home", "largest", *[f"mark.{s}" for s in [*SKETCH, *PARITY]])
+    dealt = dealt.repartition(2 * shuffle_width(shared.sparkSession), "key", "block").sortWithinPartitions("key", "block", "visit", "sid")
+    return dealt.mapInArrow(partial(_across, percent=percent, most=most), "a long, b long").distinct()
 
 
 def _wanted(batches: Iterator[pa.RecordBatch], size: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -249,11 +312,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     described = materialise(docs.mapInArrow(partial(_described, size=size), SET_SCHEMA), "described")
     known = described.select("doc_id", "n_shingles", "sid")
     sets = materialise(described.where("n_shingles > 0").drop("doc_id").dropDuplicates(["sid"]), "sets")
-    bands = sets.select("sid", F.posexplode("bands").alias("last", "key"))
+    bands = sets.select("sid", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("held"), F.min_by("sid", F.xxhash64("sid")).alias("lead")).where("held > 1")
     shared = materialise(bands.join(shared.select("key", "lead"), "key"), "shared")
     marks = sets.join(shared.select("sid").distinct(), "sid", "left_semi")
-    marks = materialise(marks.select("sid", F.struct(F.col("n_shingles").alias("n"), *SKETCH).alias("mark")), "marks")
+    marks = materialise(marks.select("sid", F.struct(F.col("n_shingles").alias("n"), *SKETCH, *PARITY).alias("mark")), "marks")
     # Each set against one of each of its bands.
     stars = shared.where("sid <> lead").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
     for side in ("a", "b"):
@@ -261,17 +324,17 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     tried = materialise(stars.where(_may_link("mark_a", "mark_b", percent)).select("a", "b"), "pairs")
     links = materialise(_linked(docs, tried, size, percent), "links")
     classes = materialise(components(links), "classes")
-    # Bands whose sets are of several classes by now.
-    members = shared.select("key", "sid", "last").join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
-    members = members.withColumns({"component": F.coalesce("component", "sid"), "block": F.lit(0)})
-    members = members.join(_open(members).select("key"), "key", "left_semi")
-    members = members.join(marks, "sid").select("key", "sid", "mark.n", "component", "block", "last", *[f"mark.{s}" for s in SKETCH])
-    late = _candidates(members, percent).distinct().join(tried, ["a", "b"], "left_anti")
-    late = materialise(late, "pairs")
-    if not late.isEmpty():
+    # Bands whose sets are still of several classes: the nearest pairs across them, then all.
+    for most in (NEAREST, None):
+        late = _candidates(shared, classes, marks, percent, most).join(tried, ["a", "b"], "left_anti")
+        late = materialise(late, "pairs")
+        if late.isEmpty():
+            continue
+        tried = tried.union(late)
         found = materialise(_linked(docs, late, size, percent), "links")
         if not found.isEmpty():
-            classes = materialise(components(links.union(found)), "classes")
+            links = links.union(found)
+            classes = materialise(components(links), "classes")
     # From classes of sets to those of documents.
     first = known.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
     first = first.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tarmac.llm import minhash
@@ -62,16 +63,16 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("group", [512, 2])
-def test_classes_are_those_of_all_pairs(spark, texts, monkeypatch, group):
-    # Groups of two take the way of large bands: keys of several bands, and blocks.
-    monkeypatch.setattr(minhash, "GROUP", group)
+@pytest.mark.parametrize("block", [4096, 2])
+def test_classes_are_those_of_all_pairs(spark, texts, monkeypatch, block):
+    # Blocks of two sets: nearly all bands have several.
+    monkeypatch.setattr(minhash, "BLOCK", block)
     assert run(spark, texts) == brute(texts)
 
 
 def test_texts_around_one_template(spark, monkeypatch):
     """Sets of a similarity of some 0.7 share many bands and must not be linked."""
-    monkeypatch.setattr(minhash, "GROUP", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
     base = list(RNG.choice(WORDS, 120))
     texts = [edited(base, 8) for _ in range(40)] + [edited(base, 2) for _ in range(20)]
     assert run(spark, texts) == brute(texts)
@@ -101,3 +102,33 @@ def test_sketches_tell_similar_sets_from_others():
     limit = minhash.most_flipped(85)
     assert all(pair(0.86) <= limit for _ in range(40)) and all(pair(0.4) > limit for _ in range(40))
     assert minhash.most_flipped(90) < limit < minhash.most_flipped(80)
+
+
+def test_every_pair_across_classes_meets_once_in_some_block():
+    """All sets of one band, dealt to blocks as the plan deals them, against all pairs."""
+    n, blocks = 60, 4
+    words = RNG.integers(0, 1 << 62, 200, dtype=np.uint64)
+    sets = [np.sort(RNG.choice(words, 190, replace=False)) for _ in range(n)]
+    value, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+    sketch = np.hstack((minhash.odd_sketch(minhash.minima(value, sizes)), minhash.parities(value, sizes))).view(np.int64)
+    of = RNG.choice([0, 0, 0, 1, 2, 3, 4], n)
+    home = RNG.integers(0, blocks, n)
+    rows = []
+    for i in range(n):
+        for b in [home[i]] if of[i] == 0 else range(blocks):
+            rows.append((7, int(b), bool(b != home[i]), i, int(sizes[i]), int(of[i]), int(home[i]), bool(of[i] == 0), *sketch[i].tolist()))
+    rows.sort(key=lambda r: r[:4])
+    names = ["key", "block", "visit", "sid", "n", "component", "home", "largest", *minhash.SKETCH, *minhash.PARITY]
+    batches = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows]).to_batches(max_chunksize=13)
+    got = [p for b in minhash._across(iter(batches), 60, None) for p in zip(*b.to_pydict().values(), strict=True)]
+    assert sorted(got) == [(i, j) for i in range(n) for j in range(i + 1, n) if of[i] != of[j]]
+    some = [p for b in minhash._across(iter(batches), 60, 1) for p in zip(*b.to_pydict().values(), strict=True)]
+    assert set(some) <= set(got) and len(some) < len(got)
+
+
+def test_parities_bound_the_difference():
+    for _ in range(30):
+        a, b = (np.unique(RNG.integers(0, 500, RNG.integers(0, 400), dtype=np.uint64)) for _ in range(2))
+        p = minhash.parities(np.concatenate((a, b)), np.array([len(a), len(b)]))
+        ones, apart = int(np.bitwise_count(p[0] ^ p[1]).sum()), len(np.setxor1d(a, b))
+        assert ones <= apart and (apart - ones) % 2 == 0
