@@ -16,8 +16,8 @@ import pyarrow as pa
 from . import text as tx
 
 LIMIT = 0x2100
-SLOTS = 1 << 20
-POOL = 1 << 23
+SLOTS = 1 << 18
+POOL = 1 << 20
 SPECIAL = "<|endoftext|>"
 
 _encoders: dict[tuple[str, str], BatchEncoder] = {}
@@ -35,9 +35,8 @@ class BatchEncoder:
     def __init__(self, json_path: str, ranks_path: str):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(json_path)
+        self.json_path, self.whole = json_path, None
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
@@ -51,8 +50,8 @@ class BatchEncoder:
 
     def _clear(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)
-        self.at = np.zeros(SLOTS, np.int64)
-        self.size = np.zeros(SLOTS, np.int64)
+        self.at = np.zeros(SLOTS, np.int32)
+        self.size = np.zeros(SLOTS, np.int32)
         self.pool = np.zeros(POOL, np.uint32)
         self.used = 0
 
@@ -93,6 +92,11 @@ class BatchEncoder:
 
     def _with_odd(self, raw, offsets, odd, flat, bounds):
         texts = [raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8") for i in np.flatnonzero(odd)]
+        if self.whole is None:
+            # Read only when an odd text comes, as it takes some thirty megabytes.
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.json_path)
         whole = iter(self.whole.encode_batch(texts, add_special_tokens=False))
         parts = [np.asarray(next(whole).ids, np.uint32) if odd[i] else flat[bounds[i] : bounds[i + 1]] for i in range(len(odd))]
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
@@ -145,7 +149,7 @@ class BatchEncoder:
 
     def _look_up(self, chars, starts, ends, hashes, fine):
         slot = (hashes >> np.uint64(20)) & np.uint64(SLOTS - 1)
-        where, size = self.at[slot], self.size[slot]
+        where, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         missing = np.flatnonzero((self.keys[slot] != hashes) & fine)
         if len(missing):
             fresh, first, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
@@ -167,7 +171,6 @@ class BatchEncoder:
             begin = self.used + np.cumsum(lengths) - lengths
             self.pool[self.used : self.used + total] = np.fromiter((i for m in made for i in m), np.uint32, total)
             self.used += total
-            where, size = where.copy(), size.copy()
             where[missing], size[missing] = begin[back], lengths[back]
             place = ((fresh >> np.uint64(20)) & np.uint64(SLOTS - 1)).astype(np.int64)
             self.keys[place], self.at[place], self.size[place] = fresh, begin, lengths
