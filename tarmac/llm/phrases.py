@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import filter_bits, filter_table, in_filter, materialise
+from .common import filter_bits, filter_table, in_filter, materialise, shuffle_width
 
 SHARDS = 4
 LEAST = 10
@@ -151,48 +151,65 @@ def _scan(batches: Iterator[pa.RecordBatch], step: int, progress: Progress) -> I
         yield from sums.flush(length)
 
 
-def _may_be(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _may_be(batches: Iterator[pa.RecordBatch], table: np.ndarray, known: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The rows that the filter lets pass, without those whose slot in ``known`` is set."""
     for batch in batches:
         key = batch.column("key").to_numpy().view(np.uint64)
-        yield batch.filter(pa.array(in_filter(table, key & np.uint64(len(table) * 64 - 1))))
-
-
-def frequent(counts: list[DataFrame], length: int, least: int) -> DataFrame:
-    """(key, n) of the phrases of a length that come ``least`` times or more in all the given counts.
-
-    Such a phrase has its share of ``least`` in one of the shards of its cycle; only keys that do, by a
-    filter of bounded size, are summed up.
-    """
-    own = reduce(DataFrame.union, counts).where(F.col("length") == length).select("key", "n")
-    if length > 1:
-        share = -(-least // SHARDS)
-        often = own.where(F.col("n") >= share).select("key").distinct()
-        bits = filter_bits(4 * often.count())
-        table = filter_table(often.select(F.expr(f"key & {bits - 1}L")), bits)
-        own = own.mapInArrow(partial(_may_be, table=table), "key long, n long")
-    return own.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        good = in_filter(table, key & np.uint64(len(table) * 64 - 1))
+        if known is not None:
+            good &= known[(key & np.uint64(len(known) - 1)).astype(np.int64)] == NEVER
+        yield batch.filter(pa.array(good))
+
+
+class Counts:
+    """The counts of all scans so far."""
+
+    def __init__(self, least: int):
+        self.least = least
+        self.scans: list[DataFrame] = []
+        self.often: list[DataFrame] = []
+
+    def add(self, made: DataFrame) -> None:
+        scan = materialise(made.groupBy("length", "key").agg(F.sum("n").alias("n")), "counts")
+        self.scans.append(scan)
+        # A frequent phrase has its share of the threshold in one of the shards of its cycle.
+        share = -(-self.least // SHARDS)
+        self.often.append(materialise(scan.where((F.col("length") > 1) & (F.col("n") >= share)).select("length", "key"), "often"))
+
+    def frequent(self, length: int, known: np.ndarray | None = None) -> DataFrame:
+        """(key, n) of the phrases of a length that come ``least`` times or more in all scans.
+
+        Of pairs and longer phrases only keys that come often in one shard, by a filter of bounded size,
+        are summed up, and none whose slot in ``known`` is set.
+        """
+        own = reduce(DataFrame.union, self.scans).where(F.col("length") == length).select("key", "n")
+        if length > 1:
+            often = reduce(DataFrame.union, self.often).where(F.col("length") == length).select("key").coalesce(shuffle_width(own.sparkSession))
+            bits = filter_bits(4 * often.count())
+            table = filter_table(often.select(F.expr(f"key & {bits - 1}L")), bits)
+            own = own.mapInArrow(partial(_may_be, table=table, known=known), "key long, n long")
+        return own.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= self.least)
 
 
 def count_phrases(texts: DataFrame, least: int = LEAST) -> dict[int, DataFrame]:
     """For lengths 1 to 3 the (key, n) of all phrases that come ``least`` times or more.
 
-    ``texts`` has lang, text and shard (0 to ``SHARDS`` - 1), by which it should be stored.
+    ``texts`` has lang, text and shard (0 to ``SHARDS`` - 1).
     """
-    progress = Progress()
-    counts: list[DataFrame] = []
+    progress, counts = Progress(), Counts(least)
     # The last step whose scan still meets phrases in their cycle.
     step, last = 0, SHARDS - 1
     while step <= last:
         scanned = texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
-        made = scanned.mapInArrow(partial(_scan, step=step, progress=progress), COUNTS)
-        counts.append(materialise(made.groupBy("length", "key").agg(F.sum("n").alias("n")), "counts"))
+        counts.add(scanned.mapInArrow(partial(_scan, step=step, progress=progress), COUNTS))
         # Words are all counted after the first cycle, pairs after the second.
         for length in (1, 2):
             if step < length * SHARDS and (length == 1 or step):
-                if progress.reach(length, frequent(counts, length, least).select("key"), step):
+                fresh = counts.frequent(length, progress.since.get(length))
+                if progress.reach(length, materialise(fresh.select("key"), "reached"), step):
                     last = max(last, step + SHARDS)
         step += 1
-    return {length: materialise(frequent(counts, length, least), f"frequent{length}") for length in (1, 2, 3)}
+    return {length: materialise(counts.frequent(length), f"frequent{length}") for length in (1, 2, 3)}
 
 
 def _spelled(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -250,7 +267,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     rows. Words and phrases are told apart by 64-bit hashes.
     """
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
-    texts = materialise(docs.withColumn("shard", (F.monotonically_increasing_id() % SHARDS).cast("int")), "texts", by="shard")
+    texts = docs.withColumn("shard", F.pmod(F.xxhash64("lang", "text"), F.lit(SHARDS)))
     counts = count_phrases(texts, least)
     candidates = counts[2].withColumn("length", F.lit(2)).union(counts[3].withColumn("length", F.lit(3)))
     bits = filter_bits(8 * candidates.count())
