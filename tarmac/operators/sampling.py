@@ -3,7 +3,8 @@
 Rows are ordered by a hash of their id. The n first rows of a class are those up to one cut value,
 which is found by counting hash prefixes (at most 65,536 counts per class) and then counting the
 hashes of the prefix in which the cut falls. Taking the sample is then a comparison with that value:
-no sort, no shuffle of the rows, and the complement is the same comparison negated. Where rows share
+no sort, no shuffle of the rows, and the complement is the same comparison negated. The cuts (one row
+a class) are sent to the rows: a join by class would put all rows of a class into one task. Where rows share
 an id, as many of those at the cut are taken as are missing, in the order of a hash of all columns;
 only these rows are numbered.
 """
@@ -59,7 +60,7 @@ def cut_values(
     )
     upto = F.sum("_copies").over(Window.partitionBy(_K, _P).orderBy(_H))
     tallied = (
-        hashed.join(edges.select(_K, _P).distinct(), [_K, _P], "left_semi")
+        hashed.join(F.broadcast(edges.select(_K, _P).distinct()), [_K, _P], "left_semi")
         .groupBy(_K, _P, _H)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_last", upto)
@@ -75,7 +76,7 @@ def _within(
 ) -> DataFrame:
     """``df`` with one boolean per name: whether the row is among the first so many of its class."""
     cuts = cut_values(df, cls, ids, seed, takes, names)
-    joined = _hashed(df, cls, ids, seed).join(cuts, [_K], "left")
+    joined = _hashed(df, cls, ids, seed).join(F.broadcast(cuts), [_K], "left")
     at_cut = F.lit(False)
     for n in names:
         at_cut = at_cut | F.coalesce(F.col(_H) == F.col(n)["hash"], F.lit(False))
