@@ -322,7 +322,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """Raw months under the names that they are published with, read for one carrier."""
     raw = b.flights(spark, sf).withColumnsRenamed({"Reporting_Airline": " Operating_Airline", "Flight_Number_Reporting_Airline": "Flight_Number_Operating_Airline"})
     place = _place(spark, "raw")
-    raw.withColumn("month", F.month("FlightDate")).repartition("month").write.partitionBy("month").parquet(place)
+    # Gathered by month, and a big month cut into pieces of even size, so that no task holds a month.
+    raw.withColumn("month", F.month("FlightDate")).hint("rebalance", "month").write.partitionBy("month").parquet(place)
     made = flights.load_raw(spark, [f"{place}/month={m}/*.parquet" for m in (2, 3)], "ro")
     return plain(made.select("Reporting_Airline", "Origin", "Dest", "FlightDate", "Flight_Number_Reporting_Airline"))
 
