@@ -107,9 +107,10 @@ def quantile_bins(
     edges = quantiles(rows, [*by, "feature"], "value", [i / q for i in range(q + 1)], names)
     edges = edges.select(*by, "feature", F.array_distinct(F.array(*names)).alias("_edges"))
     below = F.size(F.filter("_edges", lambda e: e < F.col("value")))
-    # The array is short (q + 1) and fixed, so the bin number costs no join on ranges.
+    # The array is short (q + 1) and fixed, so the bin number costs no join on ranges. The edges are sent
+    # to the rows: a join by feature would put all rows of a feature into one task.
     return (
-        rows.join(edges, [*by, "feature"])
+        rows.join(F.broadcast(edges), [*by, "feature"])
         .filter(F.size("_edges") > 1)
         .withColumn("bin", F.greatest(below - 1, F.lit(0)))
         .withColumn("n_bins", F.size("_edges") - 1)

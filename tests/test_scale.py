@@ -5,8 +5,9 @@ from __future__ import annotations
 import contextlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from tarmac.operators import sampling
+from tarmac.operators import ranks, sampling, stats
 
 
 @contextlib.contextmanager
@@ -41,3 +42,27 @@ def test_samples_do_not_gather_a_class(spark, made):
     text = plan(spark, made(labelled(spark)))
     joins = [line for line in text.splitlines() if "SortMergeJoin [_class#" in line and ("LeftOuter" in line or "LeftSemi" in line)]
     assert not joins
+
+
+def test_bins_do_not_gather_a_feature(spark):
+    df = labelled(spark)
+    for made in (ranks.quantile_bins(df, ["v"], 4, ["y"]), ranks.quantile_bins(df, ["v"], 4, ["y"], ["g"])):
+        assert not [line for line in plan(spark, made).splitlines() if "SortMergeJoin" in line and "_range#" not in line]
+    curve = {r["bin"]: (r["n"], r["median"]) for r in stats.decile_curve(df, ["v"], "y", 2).collect()}
+    low = [i % 7 for i in range(200) if i % 7 <= 3]
+    assert curve[0] == (len(low), 1.5) and curve[1][0] == 200 - len(low)
+
+
+def test_a_month_is_written_by_several_tasks(spark, tmp_path):
+    from catalog.registry import load_all
+
+    day = F.to_timestamp(F.lit("1992-02-03"))
+    columns = "l_orderkey l_partkey l_suppkey l_linenumber".split()
+    rows = spark.range(40_000).select(*[(F.col("id") % (10_000 + i)).alias(c) for i, c in enumerate(columns)], day.alias("l_shipdate"), F.lit("R").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"), F.lit(0.05).alias("l_discount"), F.lit(0.01).alias("l_tax"), F.rand(1).alias("l_extendedprice"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(100).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    with settings(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}):
+        made = load_all()["raw_month_files"].run(spark, str(tmp_path))
+        assert made.count() == 40_000
+    assert len(made.inputFiles()) > 2
