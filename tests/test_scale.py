@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators import ranks, sampling, stats
+from tarmac.operators import history, ranks, sampling, stats
 
 
 @contextlib.contextmanager
@@ -66,3 +67,18 @@ def test_a_month_is_written_by_several_tasks(spark, tmp_path):
         made = load_all()["raw_month_files"].run(spark, str(tmp_path))
         assert made.count() == 40_000
     assert len(made.inputFiles()) > 2
+
+
+def test_flight_history_joins_no_times(spark):
+    rows = spark.sql(
+        "SELECT 'C' AS Reporting_Airline, 1 AS Flight_Number_Reporting_Airline, 'A' AS Origin, 'B' AS Dest, date'2024-01-01' + int(id % 2) AS FlightDate, "
+        "timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(int(id % 2), 0, int(id), 0) AS dep_dt_local, double(id) AS DepDelayMinutes, id FROM range(300)"
+    )
+    asked = rows.withColumns(history.local_clock())
+    assert "Join" not in plan(spark, history.flight_history_stats(asked, rows, [1, 2]))
+    made = {r["id"]: r for r in history.flight_history(rows, rows, [1, 2]).collect()}
+    # Flight 7 follows all of the day before (even numbers) and 1, 3 and 5 of its own day.
+    seen = [float(i) for i in range(0, 300, 2)] + [1.0, 3.0, 5.0]
+    assert made[7]["flightnum_od_support_count_last2d"] == len(seen)
+    assert made[7]["flightnum_od_depdelay_median_last1"] == statistics.median(seen)
+    assert made[0]["flightnum_od_support_count_last2d"] == 0 and made[0]["flightnum_od_depdelay_mean_last1"] is None
