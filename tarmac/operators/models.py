@@ -71,18 +71,28 @@ def fit_threshold(
     weight: str | None = None,
     params: Mapping[str, object] | None = None,
 ) -> ThresholdModel:
-    """One boosted classifier; ``stop`` names a boolean column whose rows decide when to stop."""
+    """One boosted classifier; ``stop`` names a boolean column whose rows decide when to stop.
+
+    Equal rows (in features, label, ``stop`` and weight) go through the trees as one with their summed
+    weight; medians and the order of categories come from all rows.
+    """
     stages, names = assembly(feats)
     options = {"maxIter": 20, "maxDepth": 4, "seed": 42, "maxBins": 256, **(params or {})}
     booster = GBTClassifier(featuresCol="features", labelCol="_label", **options)
     if stop:
         booster = booster.setValidationIndicatorCol(stop)
-    if weight:
-        booster = booster.setWeightCol(weight)
     # The exact medians of the training rows serve every later split.
     filled = medians(train, feats.numeric)
     ready = prepare(train, feats, filled).withColumn("_label", F.col(label).cast("double"))
-    return ThresholdModel(label, Pipeline(stages=[*stages, booster]).fit(ready), None, names, filled)
+    keys = [*[f"{c}_filled" for c in feats.numeric], *feats.categorical, "_label", *([stop] if stop else [])]
+    once = ready.groupBy(*keys, *([weight] if weight else [])).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+    rows = F.col("_rows") * F.col(weight) if weight else F.col("_rows")
+    # Every round of the trees reads it.
+    once = materialise(once.select(*keys, rows.alias("_rows")), "once")
+    indexers = Pipeline(stages=stages[:-1]).fit(ready).stages
+    ahead = PipelineModel(stages=[*indexers, stages[-1]])
+    fitted = booster.setWeightCol("_rows").fit(ahead.transform(once))
+    return ThresholdModel(label, PipelineModel(stages=[*ahead.stages, fitted]), None, names, filled)
 
 
 def raw_probability(model: ThresholdModel, df: DataFrame, feats: Features, out: str) -> DataFrame:
@@ -165,7 +175,8 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
     """Adds weights under which both classes count the same."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    return df.join(sizes, [label]).withColumn("_weight", total / (2.0 * F.col("_size"))).drop("_size")
+    # Two rows, sent to the others: a join by label would put all rows of a class into one task.
+    return df.join(F.broadcast(sizes), [label]).withColumn("_weight", total / (2.0 * F.col("_size"))).drop("_size")
 
 
 def fit_cancellation(

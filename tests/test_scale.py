@@ -8,7 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators import history, ranks, sampling, stats
+from tarmac.operators import history, models, ranks, sampling, stats
 
 
 @contextlib.contextmanager
@@ -82,3 +82,17 @@ def test_flight_history_joins_no_times(spark):
     assert made[7]["flightnum_od_support_count_last2d"] == len(seen)
     assert made[7]["flightnum_od_depdelay_median_last1"] == statistics.median(seen)
     assert made[0]["flightnum_od_support_count_last2d"] == 0 and made[0]["flightnum_od_depdelay_mean_last1"] is None
+
+
+def test_equal_rows_are_boosted_once(spark, monkeypatch):
+    given = []
+    fit = models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, df, params=None: given.append(df.agg(F.count("*"), F.sum("_rows")).first()) or fit(self, df, params))
+    df = labelled(spark).withColumn("v", F.when(F.col("v") != 6, F.col("v")))
+    model = models.fit_threshold(df, "y", models.Features(["v"], ["g"]), params={"maxIter": 2})
+    assert given == [(12, 200.0)]  # six values, as the unknown one is filled with the median, and two labels
+    assert len(models.raw_probability(model, df, models.Features(["v"], ["g"]), "p").collect()) == 200
+
+
+def test_class_weights_do_not_gather_a_class(spark):
+    assert "SortMergeJoin" not in plan(spark, models.class_weight(labelled(spark), "y"))
