@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.session import METHOD_LIMIT
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,6 +34,8 @@ def query(name: str, ids: str, sql: str | None = None) -> Callable[[Run], Run]:
         def in_utc(spark: SparkSession, sf: str) -> DataFrame:
             # Wall clocks and instants of the tables are read in UTC.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for key, value in METHOD_LIMIT.items():
+                spark.conf.set(key, value)
             return run(spark, sf)
 
         ENTRIES[name] = Entry(name, in_utc, ids, sql)

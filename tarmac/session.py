@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# A generated method of more byte code than this is never compiled by the JVM; Spark's own limit is 65,535.
+# Wide rows pass it easily and are then interpreted; below the limit operators are generated one by one.
+METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on: UTC wall clocks and adaptive plans."""
     builder = SparkSession.builder.appName(app)
@@ -18,6 +23,7 @@ def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        **METHOD_LIMIT,
         **conf,
     }
     for key, value in settings.items():

@@ -96,3 +96,18 @@ def test_equal_rows_are_boosted_once(spark, monkeypatch):
 
 def test_class_weights_do_not_gather_a_class(spark):
     assert "SortMergeJoin" not in plan(spark, models.class_weight(labelled(spark), "y"))
+
+
+def test_queries_keep_generated_methods_small_enough_to_be_compiled(spark):
+    from catalog import registry
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "65535")
+    seen = []
+    try:
+        registry.query("_limit_of_methods", "")(lambda session, sf: seen.append(session.conf.get(name)))
+        registry.ENTRIES["_limit_of_methods"].run(spark, "")
+    finally:
+        registry.ENTRIES.pop("_limit_of_methods", None)
+        spark.conf.set(name, "8000")
+    assert seen == ["8000"]
