@@ -111,3 +111,25 @@ def test_queries_keep_generated_methods_small_enough_to_be_compiled(spark):
         registry.ENTRIES.pop("_limit_of_methods", None)
         spark.conf.set(name, "8000")
     assert seen == ["8000"]
+
+
+def test_a_small_grain_is_sent_to_the_rows_and_comes_in_its_place(spark, monkeypatch):
+    from tarmac.operators import joins
+
+    fact = spark.createDataFrame([(1, "a", 7), (2, "b", 7), (3, None, 8), (4, "a", None)], "id int, k string, o int")
+    by_k = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    by_o = spark.createDataFrame([(7, 10)], "o int, w int")
+    # Null keys find nothing in a step's own table, though the grain is matched null-safely.
+    want = {1: (1, 10), 2: (None, 10), 3: (None, None), 4: (1, None)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for cells, sent in ((joins.SENT_CELLS, 1), (0, 0)):
+            monkeypatch.setattr(joins, "SENT_CELLS", cells)
+            steps = [joins.Step(["k"], by_k), joins.Step(["o"], by_o)]
+            made = joins.attach_by_grain(fact, [["k", "o"]], steps)
+            assert made.columns == ["id", "k", "o", "v", "w"]
+            assert {r.id: (r.v, r.w) for r in made.collect()} == want
+            plan = made._jdf.queryExecution().sparkPlan().toString()
+            assert plan.count("BroadcastHashJoin") == sent
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
