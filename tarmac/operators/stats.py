@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .joins import SENT_CELLS
 from .ranks import long_form, quantile_bins, quantiles, running_totals
 
 PERCENTILES = (0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -270,8 +271,8 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str]
     Within those rows a column's ranks depend on which rows its partner lacks, and on nothing else of
     it. So each column is ranked once for every set of rows that some column lacks (once in all, if none
     has unknown values), all in one pass over its distinct values. The ranks, less their mean, go back to
-    the rows, and one aggregate sums the products of all pairs. Rows are laid out once per column, not
-    per pair, and equal rows count as one with a weight.
+    the rows, by broadcast where few values are distinct, and one aggregate sums the products of all pairs.
+    Rows are laid out once per column, not per pair, and equal rows count as one with a weight.
     """
     cols = sorted({c for pair in pairs for c in pair})
     known = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -290,18 +291,28 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str]
     totals = running_totals(counts, keys, ["_value"], [f"_n{k}" for k in sets])
     # The mean rank is (N + 1) / 2, so what is left of before + (n + 1) / 2 is this.
     centred = [(F.col(f"before__n{k}") + (F.col(f"_n{k}") - F.col(f"total__n{k}")) / 2).alias(f"_c{k}") for k in sets]
-    ranked = long.select(*keys, "_value", "_row").join(totals.select(*keys, "_value", *centred), [*keys, "_value"])
+    ranks = materialise(totals.select(*keys, "_value", *centred), "ranks")
     wanted = sorted({(a, of[b]) for a, b in pairs} | {(b, of[a]) for a, b in pairs})
     place = {cell: f"_r{i}" for i, cell in enumerate(wanted)}
-    wide = ranked.groupBy("_row").agg(*[F.max(F.when(F.col("_feature") == c, F.col(f"_c{k}"))).alias(place[c, k]) for c, k in wanted])
-    full = rows.join(wide, "_row")
+    if ranks.count() * len(ranks.columns) <= SENT_CELLS:
+        # Few distinct values: each column's ranks are sent to the rows, which neither move nor multiply.
+        full = rows
+        for c in cols:
+            named = [F.col(f"_c{k}").alias(place[a, k]) for a, k in wanted if a == c]
+            own = ranks.filter(F.col("_feature") == c).select(*by, F.col("_value").alias(c), *named)
+            full = full.join(F.broadcast(own), [*by, c], "left")
+    else:
+        ranked = long.select(*keys, "_value", "_row").join(ranks, [*keys, "_value"])
+        wide = ranked.groupBy("_row").agg(*[F.max(F.when(F.col("_feature") == c, F.col(f"_c{k}"))).alias(place[c, k]) for c, k in wanted])
+        full = rows.join(wide, "_row")
+    # A rank is kept in the rows of its set alone; what several pairs ask of it is then summed once.
+    full = full.withColumns({place[c, k]: F.when(F.col(example[k]).isNotNull(), F.col(place[c, k])) for c, k in wanted})
     sums = []
     for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
         x, y = F.col(place[a, of[b]]), F.col(place[b, of[a]])
         for name, product in (("xy", x * y), ("xx", x * x), ("yy", y * y)):
-            sums.append(F.sum(F.when(both, F.col("_w") * product)).alias(f"_{name}{i}"))
-        sums.append(F.sum(F.when(both, F.col("_w"))).alias(f"_n{i}"))
+            sums.append(F.sum(F.col("_w") * product).alias(f"_{name}{i}"))
+        sums.append(F.sum(F.when(x.isNotNull(), F.col("_w"))).alias(f"_n{i}"))
     one = full.groupBy(*by).agg(*sums)
     out = []
     for i, (a, b) in enumerate(pairs):

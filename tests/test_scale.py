@@ -133,3 +133,24 @@ def test_a_small_grain_is_sent_to_the_rows_and_comes_in_its_place(spark, monkeyp
             assert plan.count("BroadcastHashJoin") == sent
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rank_correlation_is_the_same_by_either_way_back_to_the_rows(spark, monkeypatch):
+    from tarmac.operators import stats
+
+    cells = [("g", float(i % 5), float(i * 7 % 11) if i % 4 else None, float(-i) if i % 3 else None) for i in range(60)]
+    cells += [("h", -0.0, 2.0, None), ("h", 0.0, 1.0, 3.0), ("h", 4.0, 1.0, 5.0), ("h", None, None, None)]
+    df = spark.createDataFrame(cells, "g string, a double, b double, c double")
+    pairs = [("a", "b"), ("a", "c"), ("b", "c")]
+    got, sent = [], []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (stats.SENT_CELLS, 0):
+            monkeypatch.setattr(stats, "SENT_CELLS", most)
+            made = stats.spearman(df, pairs, ["g"])
+            got.append(sorted((r.g, r.feature, r.target, r.n, None if r.rho is None else round(r.rho, 9)) for r in made.collect()))
+            sent.append(made._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[0] == got[1] and len(got[0]) == 6
+    assert sent == [3, 0]
