@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators import history, models, ranks, sampling, stats
+from tarmac.plans import departure
 
 
 @contextlib.contextmanager
@@ -154,3 +155,14 @@ def test_rank_correlation_is_the_same_by_either_way_back_to_the_rows(spark, monk
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got[0] == got[1] and len(got[0]) == 6
     assert sent == [3, 0]
+
+
+def test_the_first_leg_of_a_key_is_found_on_narrow_rows(spark):
+    """Sorting whole feature rows by their key took most of the arrival table's merge."""
+    rows = [(0, "a", 1, 20), (1, "a", 1, 10), (2, "b", 1, None), (3, None, 1, 5), (4, "c", 2, 7), (5, "c", 2, 7), (6, "a", 2, 3)]
+    base = spark.createDataFrame(rows, "_row long, k string, d int, leg_id long").withColumn("wide", F.struct("k", "d"))
+    made = departure.first_rows(base, ["k", "d"], "leg_id")
+    got = {r["_row"] for r in made.collect()}
+    assert got in ({1, 4, 6}, {1, 5, 6}) and {r["_first"] for r in made.collect()} == {True}
+    text = plan(spark, made)
+    assert "SortAggregate" not in text and "wide" not in text
