@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tarmac.llm import phrases
@@ -92,3 +94,30 @@ def test_a_very_long_text_and_an_empty_table(spark):
     assert run(spark, [(text, "en"), ("w " * 20, "en")]) == brute([(text, "en"), ("w " * 20, "en")], 10, 2000)
     assert run(spark, []) == []
     assert run(spark, [(None, None), ("", "en")]) == []
+
+
+def test_blocks_keep_keys_and_counts_in_fewer_bytes():
+    keys = np.unique(RNG.integers(0, 1 << 56, 4096, dtype=np.uint64))
+    n = RNG.integers(1, 5, len(keys))
+    block = phrases.pack(keys, n)
+    got, counts = phrases.unpack(block)
+    assert got.tolist() == keys.tolist() and counts.tolist() == n.tolist()
+    assert len(zlib.compress(block)) < 7 * len(keys)
+    whole, total = phrases.unpack(phrases._one_block([block, phrases.pack(keys[::2], n[::2])]))
+    assert whole.tolist() == keys.tolist() and total.tolist() == [c * (2 - k % 2) for k, c in enumerate(n.tolist())]
+
+
+def test_a_phrase_is_spelled_by_one_shard():
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 4, "text": ["new york", "New York", "new york", "old york"], "shard": pa.array([0, 1, 2, 3], pa.int32())})
+    keys = {}
+    for _, _, _, _, words, joined in phrases._chunks(batch):
+        two, pairs, _, _ = phrases._phrases(words, joined)
+        keys = dict(zip(two.tolist(), pairs.tolist(), strict=True))
+    slots = 1 << 16
+    table = np.zeros(slots >> 6, np.uint64)
+    slot = (keys[0] ^ (1 * phrases.APART)) & (slots - 1)
+    table[slot >> 6] = np.uint64(1 << (slot & 63))
+    said = [r for made in phrases._spelled(iter([batch]), table) for r in made.to_pylist()]
+    assert [(r["phrase"], r["key"]) for r in said] == [("new york", np.array([keys[0]], np.uint64).view(np.int64)[0])]
+    empty = batch.filter(pa.array([True, False, True, True]))
+    assert not [r for made in phrases._spelled(iter([empty]), table) for r in made.to_pylist()]
