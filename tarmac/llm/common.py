@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import materialise, shuffle_width
 
-__all__ = ["filter_bits", "filter_table", "free_name", "held_out", "in_filter", "let", "materialise", "may_be_in", "shuffle_width", "table", "tokenizer_file"]
+__all__ = ["filter_bits", "filter_table", "free_name", "held_out", "in_filter", "let", "materialise", "may_be_in", "shuffle_width", "small_batches", "table", "tokenizer_file"]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,6 +37,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Spark's setting for the bytes of an Arrow batch (64 MB unless set), and what it is for large rows.
+BATCH_BYTES, SMALL_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile passes rows to Python, and back, a few megabytes at a time.
+
+    Each side holds a batch or two, and buffers that grew to their size, for as long as it lives.
+    """
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, SMALL_BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def tokenizer_file(name: str) -> str:
     """The place of a public tokenizer's file, which every machine has under the same path."""
     import public_tokenizers

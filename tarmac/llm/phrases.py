@@ -11,7 +11,9 @@ that share a slot the first counts, and a slot never changes once set. A phrase
 although it can't be frequent, or start sooner, but each has one start and exactly one cycle.
 
 Counts go through shuffles and files in blocks: the sorted keys of one part of the keys' range, as
-differences and byte by byte, which takes some six bytes for each instead of eleven for a row.
+differences and byte by byte, which takes some six bytes for each instead of eleven for a row. Texts and
+blocks pass between Spark and Python in small batches, and a scan is sent two bits for each slot, so that
+neither side holds much more than the phrases it sums at a time.
 """
 
 from __future__ import annotations
@@ -27,15 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import filter_bits, filter_table, in_filter, materialise, shuffle_width
+from .common import filter_bits, filter_table, in_filter, materialise, shuffle_width, small_batches
 
 SHARDS = 4
 LEAST = 10
 TOP = 2000
 # Drop a phrase that at least so many percent of the time is part of one and the same longer phrase.
 PART = 50
-# Phrases of a task that are summed at a time.
-HELD = 1 << 20
+# Phrases of a task that are summed at a time, and bytes of their blocks that are given out at a time.
+HELD, GIVEN = 1 << 20, 1 << 20
 # Slots for each word or pair that is frequent at first, and their bounds (256 KB and 16 MB).
 SLOTS_EACH, FEWEST_SLOTS, MOST_SLOTS = 64, 1 << 18, 1 << 24
 NEVER = 255
@@ -74,16 +76,14 @@ class Progress:
     shards: int = SHARDS
     since: dict[int, np.ndarray] = field(default_factory=dict)
 
-    def steps(self, length: int, keys: np.ndarray) -> np.ndarray:
-        if length not in self.since:
-            return np.full(len(keys), NEVER)
-        table = self.since[length]
-        return table[(keys & np.uint64(len(table) - 1)).astype(np.int64)].astype(np.int64)
-
     def counted(self, activated: np.ndarray, step: int) -> np.ndarray:
         """Whether phrases whose parts were activated then are in their cycle at ``step``."""
         return (activated < step) & (step <= activated + self.shards)
 
+    def since_bits(self, step: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """For words and pairs the slots activated before ``step``, and those of them still in their cycle, as filters."""
+        return {length: (slot_bits(table < step), slot_bits(self.counted(table.astype(np.int16), step))) for length, table in self.since.items()}
+
     def reach(self, length: int, keys: DataFrame, step: int) -> bool:
         """Activate the keys (one column) after ``step``; whether any slot was new."""
         if length not in self.since:
@@ -99,6 +99,24 @@ class Progress:
         return bool(fresh.any())
 
 
+def slot_bits(slots: np.ndarray) -> np.ndarray:
+    """A filter with the bits of the slots that are true."""
+    return np.packbits(slots, bitorder="little").view(np.uint64)
+
+
+def in_slots(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the slots of the keys are set."""
+    return in_filter(table, keys & np.uint64(len(table) * 64 - 1))
+
+
+def _active(since: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether what is put together from the keys at ``first`` and the next ones is in its cycle: both were activated, one of them not a cycle ago."""
+    if since is None:
+        return np.zeros(len(first), bool)
+    reached, fresh = (in_slots(table, keys) for table in since)
+    return reached[first] & reached[first + 1] & (fresh[first] | fresh[first + 1])
+
+
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     """For each chunk its bytes, its words' starts, ends, rows and keys, and whether a word's next one follows in its piece."""
     langs = batch.column("lang").dictionary_encode()
@@ -123,15 +141,25 @@ def _phrases(keys: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def pack(keys: np.ndarray, n: np.ndarray) -> bytes:
-    """Sorted keys, as differences, and their counts, byte by byte from the lowest: the high ones are mostly zeros."""
-    pair = np.stack((np.diff(keys, prepend=np.uint64(0)), n.astype(np.uint64)))
-    return pair.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes()
+    """Sorted keys, as the first and differences, and their counts, byte by byte from the lowest, without the high ones that are all zero."""
+    head, planes = keys[:1].tobytes(), []
+    for column in (np.diff(keys, prepend=keys[:1]), n.astype(np.uint64)):
+        width = (int(column.max()).bit_length() + 7) // 8
+        head += bytes([width])
+        planes.append(column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return head + b"".join(planes)
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(block, np.uint8).reshape(2, 8, -1)
-    pair = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
-    return np.cumsum(pair[0]), pair[1]
+    widths, at, columns = block[8:10], 10, []
+    size = (len(block) - at) // sum(widths)
+    for width in widths:
+        column = np.zeros((size, 8), np.uint8)
+        column[:, :width] = np.frombuffer(block, np.uint8, width * size, at).reshape(width, size).T
+        columns.append(column.view(np.uint64)[:, 0])
+        at += width * size
+    columns[0][0] = np.frombuffer(block, np.uint64, 1)[0]
+    return np.cumsum(columns[0]), columns[1]
 
 
 def part_bits(width: int) -> int:
@@ -156,13 +184,22 @@ class Sums:
 
     def flush(self, length: int) -> Iterator[pa.RecordBatch]:
         if self.held[length]:
-            keys, n = np.unique(np.concatenate(self.held[length]), return_counts=True)
+            keys = np.concatenate(self.held[length])
             self.held[length], self.size[length] = [], 0
+            keys.sort()
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            n = np.diff(first, append=len(keys))
+            keys = keys[first]
             parts = (keys >> np.uint64(64 - self.bits)).astype(np.int32)
             first = np.flatnonzero(np.diff(parts, prepend=-1))
-            blocks = [pack(keys[lo:hi], n[lo:hi]) for lo, hi in zip(first, [*first[1:], len(keys)], strict=True)]
-            columns = [pa.array(np.full(len(first), length, np.int32)), pa.array(parts[first]), pa.array(blocks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["length", "part", "block"])
+            blocks, size, given = [], 0, 0
+            for k, (lo, hi) in enumerate(zip(first, [*first[1:], len(keys)], strict=True), 1):
+                blocks.append(pack(keys[lo:hi], n[lo:hi]))
+                size += len(blocks[-1])
+                if size >= GIVEN or k == len(first):
+                    columns = [pa.array(np.full(len(blocks), length, np.int32)), pa.array(parts[first[given:k]]), pa.array(blocks, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["length", "part", "block"])
+                    blocks, size, given = [], 0, k
 
 
 def _one_block(blocks: list[bytes]) -> bytes:
@@ -196,30 +233,30 @@ def _often(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), length, np.int32)), pa.array(keys.view(np.int64))], ["length", "key"])
 
 
-def _scan(batches: Iterator[pa.RecordBatch], step: int, progress: Progress, bits: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases that are in their cycle at ``step``."""
+def _scan(batches: Iterator[pa.RecordBatch], words: bool, since: dict[int, tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the words, if they are still counted, and of the phrases that are in their cycle."""
     sums = Sums(bits)
     for batch in batches:
         for _, _, _, _, keys, joined in _chunks(batch):
-            if step < progress.shards:
+            if words:
                 yield from sums.add(1, keys)
+            if 1 not in since:
+                continue
             two, pairs, three, triples = _phrases(keys, joined)
-            word = progress.steps(1, keys)
-            yield from sums.add(2, pairs[progress.counted(np.maximum(word[two], word[two + 1]), step)])
-            pair = progress.steps(2, pairs)
-            yield from sums.add(3, triples[progress.counted(np.maximum(pair[three], pair[three + 1]), step)])
+            yield from sums.add(2, pairs[_active(since[1], keys, two)])
+            yield from sums.add(3, triples[_active(since.get(2), pairs, three)])
     for length in (1, 2, 3):
         yield from sums.flush(length)
 
 
 def _may_be(batches: Iterator[pa.RecordBatch], table: np.ndarray | None, known: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Key and count of what the filter lets pass, without those whose slot in ``known`` is set."""
+    """Key and count of what the filter lets pass, without those whose slot is set in ``known``."""
     for batch in batches:
         for block in batch.column("block").to_pylist():
             keys, n = unpack(block)
-            good = np.ones(len(keys), bool) if table is None else in_filter(table, keys & np.uint64(len(table) * 64 - 1))
+            good = np.ones(len(keys), bool) if table is None else in_slots(table, keys)
             if known is not None:
-                good &= known[(keys & np.uint64(len(known) - 1)).astype(np.int64)] == NEVER
+                good &= ~in_slots(known, keys)
             yield _rows(keys[good], n[good])
 
 
@@ -248,7 +285,7 @@ class Counts:
         """(key, n) of the phrases of a length that come ``least`` times or more in all scans.
 
         Of pairs and longer phrases only keys that come often in one shard, by a filter of bounded size,
-        are summed up. None whose slot in ``known`` is set is.
+        are summed up. None whose slot is set in ``known`` is.
         """
         own = reduce(DataFrame.union, self.scans).where(F.col("length") == length).select("block")
         table = None
@@ -271,11 +308,12 @@ def count_phrases(texts: DataFrame, least: int = LEAST) -> dict[int, DataFrame]:
     bits = part_bits(shuffle_width(texts.sparkSession))
     while step <= last:
         scanned = texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
-        counts.add(scanned.mapInArrow(partial(_scan, step=step, progress=progress, bits=bits), BLOCKS), step % SHARDS)
+        counts.add(scanned.mapInArrow(partial(_scan, words=step < SHARDS, since=progress.since_bits(step), bits=bits), BLOCKS), step % SHARDS)
         # Words are all counted after the first cycle, pairs after the second.
         for length in (1, 2):
             if step < length * SHARDS and (length == 1 or step):
-                fresh = counts.frequent(length, progress.since.get(length))
+                known = progress.since.get(length)
+                fresh = counts.frequent(length, None if known is None else slot_bits(known != NEVER))
                 if progress.reach(length, materialise(fresh.select("key"), "reached"), step):
                     last = max(last, step + SHARDS)
         step += 1
@@ -343,13 +381,14 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     """
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
     texts = docs.withColumn("shard", F.pmod(F.xxhash64("lang", "text"), F.lit(SHARDS)))
-    counts = count_phrases(texts, least)
-    candidates = counts[2].withColumn("length", F.lit(2)).union(counts[3].withColumn("length", F.lit(3)))
-    bits = filter_bits(8 * candidates.count())
-    # A phrase is spelled by the texts of one shard that has it.
-    table = filter_table(candidates.select(F.expr(f"(key ^ (shard * {APART}L)) & {bits - 1}L")), bits)
-    said = texts.select("lang", "text", F.col("shard").cast("int").alias("shard")).mapInArrow(partial(_spelled, table=table), SPELLED).dropDuplicates(["key"])
-    named = materialise(candidates.select("key", F.col("n").alias("a")).join(said, "key"), "candidates")
+    with small_batches(docs.sparkSession):
+        counts = count_phrases(texts, least)
+        candidates = counts[2].withColumn("length", F.lit(2)).union(counts[3].withColumn("length", F.lit(3)))
+        bits = filter_bits(8 * candidates.count())
+        # A phrase is spelled by the texts of one shard that has it.
+        table = filter_table(candidates.select(F.expr(f"(key ^ (shard * {APART}L)) & {bits - 1}L")), bits)
+        said = texts.select("lang", "text", F.col("shard").cast("int").alias("shard")).mapInArrow(partial(_spelled, table=table), SPELLED).dropDuplicates(["key"])
+        named = materialise(candidates.select("key", F.col("n").alias("a")).join(said, "key"), "candidates")
     # Pairs within a phrase of three that comes half as often or more; the most frequent one decides.
     longer = named.where("length = 3").select("a", F.explode(F.array("first2", "rest1")).alias("key")).groupBy("key").agg(F.max("a").alias("most"))
     kept = named.join(longer, "key", "left").where(f"most is null or 100 * most < {PART} * a")

@@ -121,3 +121,49 @@ def test_a_phrase_is_spelled_by_one_shard():
     assert [(r["phrase"], r["key"]) for r in said] == [("new york", np.array([keys[0]], np.uint64).view(np.int64)[0])]
     empty = batch.filter(pa.array([True, False, True, True]))
     assert not [r for made in phrases._spelled(iter([empty]), table) for r in made.to_pylist()]
+
+
+def test_blocks_hold_no_bytes_that_are_all_zero():
+    for keys, n in (([5], [1]), ([0, 1, 2, 1 << 63], [1, 256, 3, 1 << 40]), (list(range(7, 5000, 3)), [2] * 1665)):
+        got, counts = phrases.unpack(phrases.pack(np.array(keys, np.uint64), np.array(n)))
+        assert got.tolist() == keys and counts.tolist() == n
+    keys = np.unique(RNG.integers(0, 1 << 56, 4096, dtype=np.uint64))
+    assert len(phrases.pack(keys, np.ones(len(keys), np.int64))) < 8 * len(keys)
+
+
+def test_counts_are_given_out_a_few_blocks_at_a_time(monkeypatch):
+    monkeypatch.setattr(phrases, "GIVEN", 1 << 12, raising=False)
+    keys = RNG.integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2)
+    sums = phrases.Sums(6)
+    got = [*sums.add(2, keys[:30_000]), *sums.add(2, keys[30_000:]), *sums.add(2, keys[:5]), *sums.flush(2)]
+    assert len(got) > 16 and max(b.nbytes for b in got) < 1 << 14
+    found = [phrases.unpack(row["block"]) for batch in got for row in batch.to_pylist()]
+    assert sorted(np.concatenate([np.repeat(k, n.astype(int)) for k, n in found]).tolist()) == sorted([*keys.tolist(), *keys[:5].tolist()])
+    parts = [row["part"] for batch in got for row in batch.to_pylist()]
+    assert parts == sorted(set(parts)) and all((k >> np.uint64(58) == part).all() for part, (k, _) in zip(parts, found, strict=True))
+
+
+def test_a_scan_is_sent_two_bits_a_slot():
+    progress = phrases.Progress(since={1: RNG.choice(np.array([*range(9), phrases.NEVER], np.uint8), 1 << 12)})
+    keys = RNG.integers(0, 1 << 63, 500, dtype=np.uint64)
+    first = np.arange(499)
+    at = progress.since[1][keys & np.uint64((1 << 12) - 1)].astype(int)
+    for step in range(12):
+        made = progress.since_bits(step)
+        assert sum(table.nbytes for table in made[1]) == (1 << 12) // 4
+        want = progress.counted(np.maximum(at[:-1], at[1:]), step)
+        assert phrases._active(made[1], keys, first).tolist() == want.tolist()
+    assert not phrases._active(None, keys, first).any()
+
+
+def test_batches_are_small_while_phrases_are_counted_and_as_before_after(spark, rows, monkeypatch):
+    name, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", set(), phrases.materialise
+
+    def materialise(df, label):
+        seen.add(spark.conf.get(name))
+        return write(df, label)
+
+    monkeypatch.setattr(phrases, "materialise", materialise)
+    before = spark.conf.get(name)
+    assert run(spark, rows) == brute(rows, 10, 2000)
+    assert seen == {"4m"} and spark.conf.get(name) == before
