@@ -102,4 +102,5 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     for y in [f"y_dep_ge{t}" for t in LIMITS]:
         model = models.fit_threshold(data, y, FEATS)
         parts.append(models.importance(model).withColumn("label", F.lit(y)))
-    return plain(reduce(lambda x, z: x.unionByName(z), parts))
+    every = reduce(lambda x, z: x.unionByName(z), parts)
+    return plain(every.join(models.known_rates(data, FEATS), ["feature"], "left"))

@@ -229,6 +229,14 @@ def importance(model: ThresholdModel) -> DataFrame:
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
+def known_rates(df: DataFrame, feats: Features) -> DataFrame:
+    """Share of rows, of all of ``df``, in which each feature is known: no null number, no spelling of "missing"."""
+    known = {c: F.col(c).cast("double").isNotNull() for c in feats.numeric}
+    known |= {c: as_category(c) != "Unknown" for c in feats.categorical}
+    cells = [F.struct(F.lit(c).alias("feature"), F.avg(held.cast("double")).alias("known_rate")) for c, held in known.items()]
+    return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+
+
 def compare_feature_sets(
     train: DataFrame, test: DataFrame, label: str, variants: Mapping[str, Features], params: Mapping[str, object] | None = None
 ) -> DataFrame:

@@ -124,6 +124,23 @@ def test_scored_columns_add_up(spark):
     assert got[0].expected_delay_minutes == pytest.approx(0.1 * 7.5 + 0.4 * 22.5 + 0.3 * 45 + 0.1 * 90 + 0.1 * 150)
 
 
+def test_importance_comes_with_the_share_of_rows_where_the_feature_is_known(spark, tmp_path):
+    columns = "l_orderkey l_partkey l_suppkey l_linenumber".split()
+    rows = spark.range(400).select(
+        *[(F.col("id") % (50 + i)).alias(c) for i, c in enumerate(columns)], F.to_timestamp(F.lit("1992-02-03")).alias("l_shipdate"),
+        F.expr("CASE WHEN id % 4 > 0 THEN 'R' END").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"), F.expr("CASE WHEN id % 2 = 0 THEN 0.0 ELSE 0.05 END").alias("l_discount"),
+        F.lit(0.01).alias("l_tax"), F.rand(1).alias("l_extendedprice"),
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    made = load_all()["feature_importance"].run(spark, str(tmp_path)).collect()
+    assert len(made) == 24 and {r.label for r in made} == {f"y_dep_ge{t}" for t in (15, 30, 60, 120)}
+    # Every second flight has no air time and every fourth no carrier.
+    want = {"TaxiOut": 1.0, "AirTime": 0.5, "CRSElapsedTime": 1.0, "Distance": 1.0, "Reporting_Airline": 0.75, "Dest": 1.0}
+    assert {(r.feature, r.known_rate) for r in made} == set(want.items())
+
+
 def test_catalog_names_and_sql():
     entries = load_all()
     assert len(entries) > 180
