@@ -166,3 +166,74 @@ def test_the_first_leg_of_a_key_is_found_on_narrow_rows(spark):
     assert got in ({1, 4, 6}, {1, 5, 6}) and {r["_first"] for r in made.collect()} == {True}
     text = plan(spark, made)
     assert "SortAggregate" not in text and "wide" not in text
+
+
+def by_parts(monkeypatch):
+    """Small tables as if they were large: nothing is sent, and work is cut into parts of a few rows."""
+    from tarmac.operators import joins
+
+    monkeypatch.setattr(joins, "SENT_CELLS", 0)
+    monkeypatch.setattr(joins, "PART_ROWS", 80)
+
+
+def some_flights(spark, n=150):
+    return spark.sql(
+        f"""SELECT date'2024-01-01' + int(id % 6) AS FlightDate, CASE WHEN id % 3 = 0 THEN 'AA' ELSE 'WN' END AS Reporting_Airline, id % 4 AS Flight_Number_Reporting_Airline,
+        CASE WHEN id % 19 = 0 THEN NULL WHEN id % 2 = 0 THEN 'DEN' ELSE 'LAS' END AS Origin, CASE WHEN id % 2 = 0 THEN 'LAS' ELSE 'DEN' END AS Dest,
+        CASE WHEN id % 11 > 0 THEN 'N' || id % 5 END AS Tail_Number, int(id * 7 % 24 * 100 + id % 60) AS CRSDepTime, int((id * 7 + 2) % 24 * 100 + id % 60) AS CRSArrTime,
+        double(id * 37 % 140) AS DepDelayMinutes, double(id * 31 % 120) AS ArrDelayMinutes, 90d AS CRSElapsedTime, double(80 + id % 30) AS ActualElapsedTime, double(60 + id % 30) AS AirTime,
+        int(id * 7 % 24 * 100 + (id + 9) % 60) AS WheelsOff, double(id % 2) AS CarrierDelay, double(id % 3) AS WeatherDelay, double(id % 4) AS NASDelay, double(id % 29) AS LateAircraftDelay,
+        double(id % 13 = 0) AS Cancelled, double(id % 17 = 0) AS Diverted, id AS leg_id FROM (SELECT explode(array(id, id)) AS id0, id FROM range({n}))"""
+    ).drop("id0")
+
+
+def timed_flights(spark):
+    from tarmac.operators import joins
+
+    airports = spark.createDataFrame([("DEN", 39.8, -104.6, "America/Denver"), ("LAS", 36.0, -115.1, "America/Los_Angeles")], "IATA string, Latitude double, Longitude double, Timezone string")
+    return joins.local_times(some_flights(spark), airports)
+
+
+def sorted_rows(df):
+    cols = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    return sorted(map(repr, df.select(*cols).collect()))
+
+
+TABLE = {"rolling_windows_days": [1, 3], "hub_spillover": {"hubs": ["DEN"]}, "delay_median_last1": True, "otp_rate_last14d": True, "tail_history": True, "prior_leg": True, "cancel_rate_last1d": True}
+
+
+def test_a_departure_table_by_row_has_the_same_rows_and_shuffles_none_of_them(spark, monkeypatch):
+    by_parts(monkeypatch)
+    pool = timed_flights(spark)
+    # Rows that come twice are told apart by nothing but their number, so they must not be ordered by it.
+    pool = pool.dropDuplicates(["leg_id"])
+    want = departure.features(pool, pool, TABLE, ties=["leg_id"])
+    made = departure.features(pool, pool, TABLE, ties=["leg_id"], by_row=True)
+    assert made.columns == want.columns and made.count() == 150
+    assert sorted_rows(made) == sorted_rows(want)
+    assert "Exchange" not in plan(spark, made)
+
+
+def test_each_row_is_numbered_once_whatever_the_parts(spark, monkeypatch):
+    by_parts(monkeypatch)
+    made = departure.number_rows(some_flights(spark))
+    assert made.count() == 300 and made.select("_row").distinct().count() == 300
+    assert sorted_rows(made.drop("_row")) == sorted_rows(some_flights(spark))
+
+
+def test_what_is_written_leaves_no_shuffle_files(spark):
+    import glob
+    import os
+    import time
+
+    from tarmac.session import materialise
+
+    folder = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    seen = lambda: {p for p in glob.glob(f"{os.path.dirname(folder)}/**/shuffle_*.data", recursive=True)}
+    before = seen()
+    assert materialise(spark.range(1000).repartition(7, "id"), "t").count() == 1000
+    for _ in range(50):
+        if seen() <= before:
+            break
+        time.sleep(0.1)
+    assert not [p for p in seen() - before if os.path.getsize(p) > 500]
