@@ -221,6 +221,37 @@ def test_each_row_is_numbered_once_whatever_the_parts(spark, monkeypatch):
     assert sorted_rows(made.drop("_row")) == sorted_rows(some_flights(spark))
 
 
+def test_the_first_leg_of_a_key_is_merged_without_dealing_its_own_row(spark, monkeypatch):
+    from tarmac.operators import joins
+
+    by_parts(monkeypatch)
+    rows = [(0, "a", 20, 1), (1, "a", 10, 2), (2, "b", None, 3), (3, None, 5, 4), (4, "c", 7, 5), (5, "a", 30, 6)]
+    from tarmac.session import materialise_rows
+
+    df = materialise_rows([spark.createDataFrame(rows, "_row long, k string, leg_id long, v int")], "t", "_row", 6)
+    first = joins.leaders(df, ["k"], "leg_id", "_row")
+    assert {(r["_row"], r["_at"]) for r in first.collect()} == {(0, 1), (1, 1), (4, 4), (5, 1)}
+    made = joins.merge_first(df.drop("v"), df.withColumn("w", F.col("v") * 10), first, "_row")
+    assert {r["_row"]: r["w"] for r in made.collect()} == {0: 20, 1: 20, 2: None, 3: None, 4: 50, 5: 20}
+
+
+def test_an_arrival_table_by_row_has_the_same_rows(spark, monkeypatch):
+    from tarmac.operators import joins
+    from tarmac.plans import arrival
+
+    by_parts(monkeypatch)
+    pool = timed_flights(spark).dropDuplicates(["leg_id"])
+    config = {"arrdelay_median_14d": True, "elapsed_time_ratio": True}
+    flown = pool.filter("Cancelled = 0")
+    # Some keys come twice: flights 120 numbers apart.
+    extra = pool.na.drop(subset=arrival.MERGE_KEYS).groupBy(*arrival.MERGE_KEYS).agg(F.min("leg_id").alias("extra"))
+    want = arrival.features(pool, flown, config, extra)
+    numbered = departure.number_rows(pool)
+    first = joins.leaders(numbered, arrival.MERGE_KEYS, "leg_id", "_row")
+    made = arrival.features(numbered, numbered.filter("Cancelled = 0"), config, numbered.withColumn("extra", F.col("leg_id")), first=first)
+    assert sorted_rows(made.select(*want.columns)) == sorted_rows(want)
+
+
 def test_what_is_written_leaves_no_shuffle_files(spark):
     import glob
     import os
